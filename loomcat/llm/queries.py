@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcat.llm import near_dedup
+from loomcat.llm import decontamination, language_id, mixing, near_dedup, toxicity
 from loomcat.llm.common import table
 
 
@@ -15,5 +15,31 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "class_id")
 
 
-QUERIES = {"op1_near_dedup": op1_near_dedup}
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the probability of each category of the chain, rejected."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, item_id and the best window of each pair that matches."""
+    return decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, mix_tokens, mix_rate, mix_copies."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return mixing.mixed(docs, table(spark, sf_dir, "labels")).select("doc_id", "mix_tokens", "mix_rate", "mix_copies")
+
+
+QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
+    "op3_toxicity": op3_toxicity,
+    "op5_language_id": op5_language_id,
+    "op8_decontamination": op8_decontamination,
+    "op9_mixing": op9_mixing,
+}
 ORACLES: dict[str, str] = {}
