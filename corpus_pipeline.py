@@ -4,16 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loomcat.llm import decontamination, language_id, mixing, near_dedup, toxicity
 from loomcat.llm.common import table, written
-from loomcat.llm.near_dedup import one_of_each
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain's last category rejects go. It learns from the labelled rows of `documents`."""
+    model = toxicity.learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.kept(docs, model)
+
+
+def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language that is told with a score of one half go."""
+    return language_id.kept(docs, language_id.learn(docs))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays: that with the least id."""
-    return one_of_each(docs)
+    return near_dedup.one_of_each(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontamination.kept(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their rates; those that get no copy go. It learns from the labelled rows of `documents`."""
+    mixed = mixing.mixed(docs, table(spark, sf_dir, "labels"), labelled=table(spark, sf_dir, "documents"))
+    return mixed.filter("mix_copies > 0")
 
 
-STAGES = [("near_dedup", near_dedup)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("language_id", keep_known_language),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+]
+#: Trained models and similarity joins can't be said in SQL; tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
