@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcat.llm import decontamination, language_id, mixing, near_dedup, toxicity
+from loomcat.llm import decontamination, html_text, language_id, mixing, near_dedup, toxicity, vector_search, warc
 from loomcat.llm.common import table
 
 
@@ -15,11 +15,20 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "class_id")
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the probability of each category of the chain, rejected."""
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -35,11 +44,34 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs, table(spark, sf_dir, "labels")).select("doc_id", "mix_tokens", "mix_rate", "mix_copies")
 
 
+def op10_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_html_text": op2_html_text,
     "op3_toxicity": op3_toxicity,
+    "op4_warc": op4_warc,
     "op5_language_id": op5_language_id,
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
+    "op10_vector_search": op10_vector_search,
+}
+ORACLES: dict[str, str] = {
+    "op10_vector_search": """
+        with v as (
+            select vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as v
+            from embeddings
+            where vec_id is not null and embedding is not null and len(embedding) > 0
+              and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+        ), scored as (
+            select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) as bigint) as score
+            from v q join v c on q.vec_id <> c.vec_id
+            where q.vec_id % 50 = 0
+        ), ranked as (
+            select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored
+        )
+        select query_id, rank, vec_id, score from ranked where rank <= 5
+    """,
 }
-ORACLES: dict[str, str] = {}
