@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcat.llm import decontamination, html_text, language_id, mixing, near_dedup, toxicity, vector_search, warc
-from loomcat.llm.common import table
+from loomcat.llm import chat_format, decontamination, html_text, language_id, license_scan, mixing, near_dedup, toxicity, vector_search, warc
+from loomcat.llm.common import table, written
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +33,18 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, scope, license_id and digest of what matches."""
+    return license_scan.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    more = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.unionByName(spark.createDataFrame(more, "conv_id long, turn long, role string, text string"))
+    return chat_format.digests(written(chat_format.format_windows(turns), "windows"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, item_id and the best window of each pair that matches."""
     return decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
@@ -54,19 +66,22 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
     "op5_language_id": op5_language_id,
+    "op6_license_scan": op6_license_scan,
+    "op7_chat_format": op7_chat_format,
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
     "op10_vector_search": op10_vector_search,
 }
 ORACLES: dict[str, str] = {
+    "op6_license_scan": license_scan.oracle(),
     "op10_vector_search": """
         with v as (
-            select vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as v
+            select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
             from embeddings
             where vec_id is not null and embedding is not null and len(embedding) > 0
-              and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
         ), scored as (
-            select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) as bigint) as score
+            select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
             from v q join v c on q.vec_id <> c.vec_id
             where q.vec_id % 50 = 0
         ), ranked as (
