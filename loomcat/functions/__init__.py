@@ -1 +1 @@
-"""Catalog analytics on Spark."""
+"""Column expressions."""

@@ -1 +1 @@
-"""Catalog analytics on Spark."""
+"""Relational operators."""

@@ -1 +1 @@
-"""Catalog analytics on Spark."""
+"""Loaders and sinks."""
