@@ -30,7 +30,7 @@ PER_LANGUAGE = 700
 ORDERS = (5, 4, 3, 2, 1)
 LETTERS = re.compile(r"[^\W\d_]+")
 EVIDENCE = 20.0  # words from which on the score grows no surer
-CACHE = 400_000
+CACHE = 150_000  # tokens whose scores a worker keeps; this bounds its memory, not its results
 
 
 def held_out(id_col: str) -> Column:
@@ -47,7 +47,7 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_langu
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> dict:
-    """Tables of log frequencies: {"langs", "words", "grams" by order}; rows are languages' logs."""
+    """Log frequencies: {"langs", "words", "grams" by order}, each as places by text and a table of languages' logs."""
     words = sample(docs, id_col, text_col, lang_col, per_language).select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
     counted = words.groupBy("lang", "word").agg(F.count("*").alias("n")).toArrow()
     langs = sorted(set(counted.column("lang").to_pylist()))
@@ -61,60 +61,63 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             for i in range(len(padded) - k + 1):
                 grams[k].setdefault(padded[i : i + k], np.zeros(len(langs)))[place[lang]] += n
 
-    def logs(counts: dict[str, np.ndarray], least: int) -> dict[str, np.ndarray]:
-        kept = {k: v for k, v in counts.items() if v.sum() >= least}
-        total = sum(kept.values(), np.zeros(len(langs))) + 0.5 * len(kept)
-        return {k: np.log((v + 0.5) / total) for k, v in kept.items()}
+    def logs(counts: dict[str, np.ndarray], least: int) -> tuple[dict[str, int], np.ndarray]:
+        kept = [k for k, v in counts.items() if v.sum() >= least]
+        every = np.array([counts[k] for k in kept]).reshape(len(kept), len(langs))
+        total = every.sum(axis=0) + 0.5 * len(kept)
+        return {k: i for i, k in enumerate(kept)}, np.log((every + 0.5) / total).astype(np.float32)
 
     return {"langs": langs, "words": logs(by_word, 2), "grams": {k: logs(v, 3) for k, v in grams.items()}}
 
 
 def word_score(model: dict, word: str) -> np.ndarray:
-    known = model["words"].get(word)
-    if known is not None:
-        return known
+    places, table = model["words"]
+    if word in places:
+        return table[places[word]]
     padded = f"^{word}$"
     for k in ORDERS:
-        table = model["grams"][k]
-        own = [padded[i : i + k] for i in range(len(padded) - k + 1)]
-        found = [table[x] for x in own if x in table]
-        if found and 2 * len(found) >= len(own):
-            return np.mean(found, axis=0)
-    return np.zeros(len(model["langs"]))
+        places, table = model["grams"][k]
+        found = [places[x] for x in (padded[i : i + k] for i in range(len(padded) - k + 1)) if x in places]
+        if found and 2 * len(found) >= len(padded) - k + 1:
+            return table[found].mean(axis=0)
+    return np.zeros(len(model["langs"]), dtype=np.float32)
 
 
 def scorer(model: dict) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
     """A function from texts to the language's place (-1: unknown) and the score."""
     count = len(model["langs"])
-    cache: dict[str, tuple] = {}
+    cache: dict[str, int] = {}
+    kept = np.zeros((CACHE, count + 1), dtype=np.float32)
 
-    def token(text: str) -> tuple:
+    def token(text: str) -> np.ndarray:
         words = LETTERS.findall(text)
-        total = np.zeros(count)
+        total = np.zeros(count + 1, dtype=np.float32)
         for w in words:
-            total = total + word_score(model, w)
-        return (*total.tolist(), float(len(words)))
+            total[:count] += word_score(model, w)
+        total[count] = len(words)
+        return total
 
     def score(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         lists = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
         offsets = np.asarray(lists.offsets) - (lists.offsets[0].as_py() if len(lists.offsets) else 0)
         coded = lists.flatten().dictionary_encode()
-        rows = []
-        for t in coded.dictionary.to_pylist():
-            row = cache.get(t)
-            if row is None:
-                row = token(t)
-                if len(cache) >= CACHE:
-                    cache.clear()
+        table = np.empty((len(coded.dictionary), count + 1), dtype=np.float32)
+        for i, t in enumerate(coded.dictionary.to_pylist()):
+            place = cache.get(t)
+            if place is None:
+                table[i] = token(t)
                 if len(t) <= 64:
-                    cache[t] = row
-            rows.append(row)
-        table = np.array(rows, dtype=np.float64).reshape(len(rows), count + 1)
+                    if len(cache) == CACHE:
+                        cache.clear()
+                    kept[len(cache)] = table[i]
+                    cache[t] = len(cache)
+            else:
+                table[i] = kept[place]
         sums = np.zeros((len(texts), count + 1))
         filled = np.flatnonzero(np.diff(offsets))
         if len(filled):
             each = table[np.asarray(coded.indices)]
-            sums[filled] = np.add.reduceat(each, offsets[:-1][filled], axis=0)
+            sums[filled] = np.add.reduceat(each.astype(np.float64), offsets[:-1][filled], axis=0)
         seen = sums[:, count]
         if not count:
             return np.full(len(texts), -1), np.zeros(len(texts))
