@@ -31,10 +31,14 @@ def decoded(files: DataFrame) -> DataFrame:
     return files.withColumn("text", F.try_validate_utf8(F.col("content").cast("string"))).filter("text is not null")
 
 
+def _matches(text: str, rule: str, pattern: str) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.struct(F.lit(rule).alias("rule"), m.alias("found")))
+
+
 def text_findings(texts: DataFrame, key: str, text: str = "text", patterns: Mapping[str, str] = PATTERNS, exempt: Mapping[str, Iterable[str]] | None = None) -> DataFrame:
     """(key, rule, line, found) of every match of a pattern; exempt: matches to pass over by rule, in lower case."""
     lines = texts.select(key, F.posexplode(F.split(text, "\n")).alias("line", "content"))
-    matches = F.concat(*[F.transform(F.regexp_extract_all("content", F.lit(p), F.lit(0)), lambda m, n=name: F.struct(F.lit(n).alias("rule"), m.alias("found"))) for name, p in patterns.items()])
+    matches = F.concat(*[_matches("content", name, p) for name, p in patterns.items()])
     out = lines.select(key, (F.col("line") + 1).alias("line"), F.explode(matches).alias("m")).select(key, "m.rule", "line", "m.found")
     for rule, known in (exempt or {}).items():
         out = out.filter(~((F.col("rule") == rule) & F.lower("found").isin([k.lower() for k in known])))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomcat.functions.texts import search_document, slug
+from loomcat.functions.values import norm_key
 
 PAGE_SIZE = 24
 SEARCHED = ["paper_id", "record_id", "title", "title_zh", "authors_as_listed", "frontiers", "frontier_labels", "topics", "primary_arxiv_category"]
@@ -79,7 +80,8 @@ def order_columns(sort: str, title: str = "title", record_id: str = "record_id",
 
 
 def canonical(records: DataFrame) -> DataFrame:
-    return records.orderBy(F.lower("title"), F.lower("record_id"))
+    """By case-folded title and id."""
+    return records.orderBy(norm_key(F.col("title"), strip=False), norm_key(F.col("record_id"), strip=False))
 
 
 def page(records: DataFrame, query: CatalogQuery, size: int = PAGE_SIZE) -> tuple[DataFrame, int, int]:
