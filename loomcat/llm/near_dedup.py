@@ -9,8 +9,9 @@ two signatures agree in a component with the weighted Jaccard similarity as prob
 
 Candidates share a band. A bucket's least member is compared with all others (no pairs
 within a bucket are emitted); buckets that still hold several classes are then compared
-in blocks, which emit only pairs of different classes whose signatures are close. Every
-candidate is verified on the exact multisets.
+in pairs of blocks: signatures tell the close pairs, which are verified from the closest on
+while their classes differ, and only links that join two classes leave the task. Every link
+is verified on the exact multisets.
 
 Defined results: equal texts, and so all empty ones, are of one class. A null text, and a
 text without words that has no equal, is a class of its own; a null text's class is its own
@@ -27,7 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomcat.llm.common import mapped, mix64, slices, written
-from loomcat.llm.words import shingles, weighted_overlap, word_hashes
+from loomcat.llm.words import bag_overlap, shingles, weighted_overlap, word_hashes
+
 
 BANDS, ROWS = 42, 6  # at similarity 0.8 a pair shares no band with probability 3e-6
 THRESHOLD = 0.8
@@ -145,20 +147,48 @@ def _verified(threshold: float):
     return run
 
 
-def _across(least: float):
-    """Of the members in two blocks of a bucket, close pairs of different classes."""
+def _joined(least: float, threshold: float):
+    """Of the members in two blocks of a bucket, links that join different classes.
+
+    Close pairs are verified from the closest on, while their classes differ; a pair is looked at in its first common band only.
+    """
 
     def run(pdf):
         import pandas as pd
 
-        sign = np.frombuffer(b"".join(pdf["sign"]), dtype=np.uint8).reshape(len(pdf), -1)
-        keys, labels, blocks = pdf["key"].to_numpy(), pdf["label"].to_numpy(), pdf["block"].to_numpy()
-        left, right = (int(pdf["one"].iloc[0]), int(pdf["two"].iloc[0]))
-        rows, out = np.flatnonzero(blocks == right), []
-        for i in np.flatnonzero(blocks == left):
-            near = rows[(sign[rows] == sign[i]).mean(axis=1) >= least]
-            out += [(min(keys[i], keys[j]), max(keys[i], keys[j])) for j in near if labels[i] != labels[j]]
-        return pd.DataFrame(out, columns=["a", "b"]).drop_duplicates()
+        signs = np.frombuffer(b"".join(pdf["sign"]), dtype=np.uint8).reshape(len(pdf), -1)
+        bands = np.stack(pdf["bands"].to_numpy())
+        keys, labels, blocks = pdf["key"].tolist(), pdf["label"].tolist(), pdf["block"].to_numpy()
+        one, two, bucket = int(pdf["one"].iloc[0]), int(pdf["two"].iloc[0]), pdf["bucket"].iloc[0]
+        rows, close = np.flatnonzero(blocks == two), []
+        for i in np.flatnonzero(blocks == one):
+            other = rows[rows > i] if one == two else rows
+            like = (signs[other] == signs[i]).mean(axis=1)
+            for j, x in zip(other[like >= least], like[like >= least], strict=True):
+                if labels[i] != labels[j] and bands[i][np.argmax(bands[i] == bands[j])] == bucket:
+                    close.append((-x, int(i), int(j)))
+        words, starts, _ = word_hashes(pa.array(pdf["text"], pa.string()))
+        items, begin = shingles(words, starts)
+        bags: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        above = {x: x for x in labels}
+
+        def root(x: bytes) -> bytes:
+            while above[x] != x:
+                x = above[x] = above[above[x]]
+            return x
+
+        links = []
+        for _, i, j in sorted(close):
+            a, b = root(labels[i]), root(labels[j])
+            if a == b:
+                continue
+            for k in (i, j):
+                if k not in bags:
+                    bags[k] = np.unique(items[begin[k] : begin[k + 1]], return_counts=True)
+            if bag_overlap(bags[i], bags[j]) >= threshold:
+                above[a] = b
+                links.append((min(keys[i], keys[j]), max(keys[i], keys[j])))
+        return pd.DataFrame(links, columns=["a", "b"])
 
     return run
 
@@ -189,12 +219,6 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _pairs(links: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs (a, b) with sizes that allow the threshold, with both signatures."""
-    side = lambda x: reps.select(F.col("key").alias(x), F.col("n").alias(f"n{x}"), F.col("sign").alias(f"s{x}"))
-    return links.join(side("b"), "b").join(side("a"), "a")
-
-
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, margin: float = MARGIN
 ) -> DataFrame:
@@ -207,34 +231,31 @@ def near_duplicates(
     shared = members.groupBy("bucket").agg(F.min("key").alias("hub"), F.max("key").alias("last")).filter("hub <> last").select("bucket", "hub")
     shared = written(members.join(shared, "bucket"), "buckets")
 
-    texts = None
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        nonlocal texts
-        fit = f"least(na, nb) >= {threshold} * greatest(na, nb)"
-        close = written(mapped(_pairs(pairs, reps).filter(fit).select("a", "b", "sa", "sb"), _close(threshold - margin), "a binary, b binary"), "close")
-        ends = close.select(F.col("a").alias("key")).unionByName(close.select(F.col("b").alias("key"))).distinct()
-        if texts is None or not ends.join(texts, "key", "left_anti").isEmpty():
-            wanted = ends if texts is None else ends.join(texts, "key", "left_anti")
-            wanted = row_keys(wanted.join(reps.select("key", "id"), "key")).select(*ROW)
-            found = row_keys(base).join(wanted, ROW, "left_semi")
-            found = written(found.groupBy("key").agg(F.any_value("text").alias("text")), "texts")
-            texts = found if texts is None else texts.unionByName(found)
-        side = lambda x: texts.select(F.col("key").alias(x), F.col("text").alias(f"t{x}"))
-        both = close.join(side("b"), "b").join(side("a"), "a").select("a", "b", "ta", "tb")
-        return mapped(both, _verified(threshold), "a binary, b binary")
-
-    links = written(verified(shared.filter("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()), "near")
+    def texts_of(keys: DataFrame) -> DataFrame:
+        """(key, text) of the keys, each once."""
+        wanted = row_keys(keys.join(reps.select("key", "id"), "key")).select(*ROW)
+        return written(row_keys(base).join(wanted, ROW, "left_semi").groupBy("key").agg(F.any_value("text").alias("text")), "texts")
+
+    pairs = shared.filter("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
+    side = lambda x: reps.select(F.col("key").alias(x), F.col("n").alias(f"n{x}"), F.col("sign").alias(f"s{x}"))
+    pairs = pairs.join(side("b"), "b").join(side("a"), "a").filter(f"least(na, nb) >= {threshold} * greatest(na, nb)")
+    pairs = written(mapped(pairs.select("a", "b", "sa", "sb"), _close(threshold - margin), "a binary, b binary"), "close")
+    texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+    side = lambda x: texts.select(F.col("key").alias(x), F.col("text").alias(f"t{x}"))
+    pairs = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "ta", "tb")
+    links = written(mapped(pairs, _verified(threshold), "a binary, b binary"), "links")
     labels = components(links)
+
     named = shared.join(labels, "key", "left").select("bucket", "key", F.coalesce("label", "key").alias("label"))
     mixed = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).filter("low <> high and size > 2")
-    split = named.join(mixed.select("bucket", F.ceil(F.col("size") / BLOCK).alias("blocks")), "bucket").join(reps.select("key", "sign"), "key")
-    split = split.withColumn("block", F.pmod(F.xxhash64("key"), "blocks")).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    split = split.select("bucket", "key", "label", "sign", "block", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"))
-    rest = split.groupBy("bucket", "one", "two").applyInPandas(_across(threshold - margin), "a binary, b binary").distinct()
-    more = written(verified(rest), "near")
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
+    split = written(named.join(mixed.select("bucket", F.ceil(F.col("size") / BLOCK).alias("blocks")), "bucket"), "mixed")
+    if not split.isEmpty():
+        split = split.join(reps.select("key", "sign", "bands"), "key").join(texts_of(split.select("key").distinct()), "key")
+        split = split.withColumn("block", F.pmod(F.xxhash64("key"), "blocks")).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        split = split.select("bucket", "key", "label", "sign", "bands", "text", "block", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"))
+        more = written(split.groupBy("bucket", "one", "two").applyInPandas(_joined(threshold - margin, threshold), "a binary, b binary").distinct(), "links")
+        if not more.isEmpty():
+            labels = components(links.unionByName(more))
 
     classes = reps.join(labels, "key", "left").select("key", "id", F.coalesce("label", "key").alias("label"))
     least = classes.groupBy("label").agg(F.min("id").alias("class_id"))

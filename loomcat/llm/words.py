@@ -111,12 +111,15 @@ def shingles(words: np.ndarray, starts: np.ndarray, short_texts: bool = True) ->
     return mix64(total), begin
 
 
-def weighted_overlap(a: np.ndarray, b: np.ndarray) -> float:
-    """Sum of the lesser counts over the sum of the greater ones, of two multisets; 0 for two empty ones."""
-    if not len(a) or not len(b):
+def bag_overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """Sum of the lesser counts over the sum of the greater ones, of two multisets as sorted items and counts; 0 for two empty ones."""
+    if not len(a[0]) or not len(b[0]):
         return 0.0
-    x, n = np.unique(a, return_counts=True)
-    y, m = np.unique(b, return_counts=True)
-    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    common = int(np.minimum(n[i], m[j]).sum())
-    return common / (len(a) + len(b) - common)
+    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    common = int(np.minimum(a[1][i], b[1][j]).sum())
+    return common / (int(a[1].sum()) + int(b[1].sum()) - common)
+
+
+def weighted_overlap(a: np.ndarray, b: np.ndarray) -> float:
+    """bag_overlap of two lists of items."""
+    return bag_overlap(np.unique(a, return_counts=True), np.unique(b, return_counts=True))
