@@ -24,7 +24,7 @@ def demand_none(rows: DataFrame, rule: str, sample: int = 5) -> None:
 
 def if_small(df: DataFrame, most: int = SMALL_BYTES) -> DataFrame:
     """Hints a broadcast where the optimizer's size estimate is known to be small, and leaves it to adaptive joins otherwise."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return F.broadcast(df) if size <= most else df
 
 

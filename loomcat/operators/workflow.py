@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from loomcat import schemas as S
 from loomcat.operators.keys import duplicate_keys, orphans
 
-LAST_STATES = Window.partitionBy("request_id").orderBy("occurred_at", "event_id")
 
 
 def outside(df: DataFrame, key: str, domains: dict[str, list[str]]) -> DataFrame:

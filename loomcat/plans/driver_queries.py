@@ -55,9 +55,9 @@ def _groups(spark: SparkSession, sf_dir: str, group: Column) -> DataFrame:
     return found.select(*[r(n) if n in doubles else F.col(n).cast("string").alias(n) if n == "group" else F.col(n) for n in found.columns])
 
 
-def _group_query(name: str, group: Column, rows: str) -> None:
+def _group_query(name: str, group: Callable[[], Column], rows: str) -> None:
     def f(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _groups(spark, sf_dir, group)
+        return _groups(spark, sf_dir, group())
 
     f.__name__ = name
     QUERIES[name] = f
@@ -65,11 +65,11 @@ def _group_query(name: str, group: Column, rows: str) -> None:
 
 
 PRIORITIES = {"1-URGENT": "fast", "2-HIGH": "fast", "3-MEDIUM": "slow"}
-_group_query("a16_frontier_statistics", F.col("frontiers"), "select *, unnest(frontiers) as g from recs")
-_group_query("a17_topic_statistics", F.transform("frontiers", lambda f: F.concat(f, F.lit(": "), F.col("o_orderstatus"))), "select *, unnest(frontiers) || ': ' || o_orderstatus as g from recs")
-_group_query("a18_category_statistics", F.col("o_orderpriority"), "select *, o_orderpriority as g from recs")
-_group_query("a19_family_statistics", V.family(F.col("o_orderpriority"), PRIORITIES), "select *, case o_orderpriority when '1-URGENT' then 'fast' when '2-HIGH' then 'fast' when '3-MEDIUM' then 'slow' else o_orderpriority end as g from recs")
-_group_query("a20_year_statistics", F.col("year"), "select *, year as g from recs")
+_group_query("a16_frontier_statistics", lambda: F.col("frontiers"), "select *, unnest(frontiers) as g from recs")
+_group_query("a17_topic_statistics", lambda: F.transform("frontiers", lambda f: F.concat(f, F.lit(": "), F.col("o_orderstatus"))), "select *, unnest(frontiers) || ': ' || o_orderstatus as g from recs")
+_group_query("a18_category_statistics", lambda: F.col("o_orderpriority"), "select *, o_orderpriority as g from recs")
+_group_query("a19_family_statistics", lambda: V.family(F.col("o_orderpriority"), PRIORITIES), "select *, case o_orderpriority when '1-URGENT' then 'fast' when '2-HIGH' then 'fast' when '3-MEDIUM' then 'slow' else o_orderpriority end as g from recs")
+_group_query("a20_year_statistics", lambda: F.col("year"), "select *, year as g from recs")
 
 # ---------------------------------------------------------------- gate and record table
 
