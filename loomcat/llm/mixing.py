@@ -36,24 +36,37 @@ STEPS = 60
 PENALTY = 0.02
 
 
-def cell_features(text: Column, lang: Column) -> list[Column]:
-    """tokens and the bucketed features of a whole text."""
-    text = F.coalesce(text, F.lit(""))
-    chars = F.greatest(F.length(text), F.lit(1))
-    spaces = chars - F.length(F.replace(text, F.lit(" "), F.lit("")))
-    lines = chars - F.length(F.replace(text, F.lit("\n"), F.lit("")))
-    shouts = chars - F.length(F.replace(text, F.lit("!"), F.lit("")))
-    capitals = F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "")) * -1 + chars
-    words = F.when(F.length(text) > 0, spaces + lines + 1).otherwise(0)
+def featured(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    """docs with __tokens and __cell, from counts over whole texts that are taken once each."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    less = lambda c: F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c), F.lit("")))
+    counts = docs.withColumns({
+        "__chars": F.octet_length(text), "__spaces": less(" "), "__lines": less("\n"), "__shouts": less("!"),
+        "__capitals": F.octet_length(text) - F.octet_length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "")),
+    })
+    words = F.when(F.col("__chars") > 0, F.col("__spaces") + F.col("__lines") + 1).otherwise(0)
+    size = F.greatest("__chars", F.lit(1))
     bucket = lambda x, *cuts: sum((F.when(x >= c, 1).otherwise(0) for c in cuts), F.lit(0))
-    return [
-        words.cast("long").alias("tokens"),
-        F.pmod(F.xxhash64(F.coalesce(lang, F.lit(""))), F.lit(LANGS)).cast("int").alias("f_lang"),
-        F.least(F.floor(F.log2(words + F.lit(1.0))), F.lit(LENGTHS - 1)).cast("int").alias("f_length"),
-        bucket(capitals / chars, 0.02, 0.05, 0.2).cast("int").alias("f_capitals"),
-        bucket(shouts / chars, 0.001, 0.02).cast("int").alias("f_shouts"),
-        bucket(words / (lines + 1), 8, 16, 40).cast("int").alias("f_lines"),
-    ]
+    levels = {
+        "f_lang": F.pmod(F.xxhash64(F.coalesce(F.col(lang_col).cast("string"), F.lit(""))), F.lit(LANGS)),
+        "f_length": F.least(F.floor(F.log2(words + F.lit(1.0))), F.lit(LENGTHS - 1)),
+        "f_capitals": bucket(F.col("__capitals") / size, 0.02, 0.05, 0.2),
+        "f_shouts": bucket(F.col("__shouts") / size, 0.001, 0.02),
+        "f_lines": bucket(words / (F.col("__lines") + 1), 8, 16, 40),
+    }
+    cell = F.lit(0)
+    for f in FEATURES:
+        cell = cell * LEVELS[f] + levels[f]
+    return counts.withColumns({"__tokens": words.cast("long"), "__cell": cell.cast("int")}).drop("__chars", "__spaces", "__lines", "__shouts", "__capitals")
+
+
+def levels_of(cell: Column) -> dict[str, Column]:
+    """The features' levels, read from a cell's number."""
+    out, rest = {}, cell
+    for f in reversed(FEATURES):
+        out[f] = F.pmod(rest, F.lit(LEVELS[f])).cast("int")
+        rest = F.floor(rest / LEVELS[f]).cast("int")
+    return out
 
 
 def posteriors(cells: DataFrame, marked: DataFrame, domains: list[str]) -> DataFrame:
@@ -98,35 +111,45 @@ def fitted_rates(cells: DataFrame, domains: list[str], targets: dict[str, float]
         slope = sum((F.col("p")[i] * F.lit(float(off[i])) for i in range(len(domains))), F.lit(0.0))
         now = now.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") * F.lit(1 - step * penalty) + F.lit(step * penalty) - slope * F.lit(step)))
         if k % 10 == 9:
-            now = written(now.coalesce(1) if CELLS <= 100_000 else now, "rates")
+            now = written(now, "rates")
     return now
 
 
-def mixed(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", domain: str = DOMAIN,
-    targets: dict[str, float] = TARGETS, budget: float = 1.0, steps: int = STEPS, penalty: float = PENALTY, labelled: DataFrame | None = None,
-) -> DataFrame:
-    """The columns of docs with mix_tokens, mix_rate and mix_copies. labelled: the documents that the classifier learns from, docs if None."""
+def cell_rates(
+    documents: DataFrame, labels: DataFrame, id_col: str, domain: str = DOMAIN, targets: dict[str, float] = TARGETS, budget: float = 1.0, steps: int = STEPS, penalty: float = PENALTY
+) -> DataFrame:
+    """(__cell, mix_rate) from documents that have __tokens and __cell."""
     marks = labels.select(F.col(id_col).alias("i"), F.expr(domain).alias("domain")).filter("i is not null and domain is not null")
-    features = lambda d: d.select(F.col(id_col).alias("i"), *cell_features(F.col(text_col).cast("string"), F.col(lang_col).cast("string")))
-    number = F.lit(0)
-    for f, levels in LEVELS.items():
-        number = number * levels + F.col(f)
-    own = docs.withColumns({f"__{c}": x for c, x in zip(["tokens", *FEATURES], cell_features(F.col(text_col).cast("string"), F.col(lang_col).cast("string")), strict=True)})
-    marked = features(docs if labelled is None else labelled).join(marks, "i").groupBy("domain", *FEATURES).agg(F.count("*").alias("n"))
-    marked = written(marked, "marked")
+    own = documents.select(F.col(id_col).alias("i"), F.col("__cell").alias("cell"), F.col("__tokens").alias("tokens"))
+    marked = own.join(marks, "i").groupBy("domain", "cell").agg(F.count("*").alias("n"))
+    marked = written(marked.withColumns(levels_of(F.col("cell"))), "marked")
     domains = sorted({*targets, *(r.domain for r in marked.select("domain").distinct().collect())})
-    cells = features(docs).groupBy(*FEATURES).agg(F.sum("tokens").alias("t"), F.count("*").alias("n"))
-    cells = written(cells.withColumn("cell", number.cast("int")), "cells")
+    cells = written(own.groupBy("cell").agg(F.sum("tokens").alias("t")).withColumns(levels_of(F.col("cell"))), "cells")
     every = cells.agg(F.sum("t")).first()[0] or 0
-    if every and not marked.isEmpty():
-        shares = written(posteriors(cells, marked, domains).select("cell", (F.col("t") / F.lit(float(every))).alias("w"), "p"), "shares")
-        rates = fitted_rates(shares, domains, targets, budget, steps, penalty).select("cell", "rate")
-    else:
-        rates = cells.select("cell", F.lit(1.0).alias("rate"))
-    place = F.lit(0)
-    for f, levels in LEVELS.items():
-        place = place * levels + F.col(f"__{f}")
-    out = own.withColumn("__cell", place.cast("int")).join(F.broadcast(rates.select(F.col("cell").alias("__cell"), F.col("rate").alias("mix_rate"))), "__cell", "left")
+    if not every or marked.isEmpty():
+        return cells.select(F.col("cell").alias("__cell"), F.lit(1.0).alias("mix_rate"))
+    shares = written(posteriors(cells, marked, domains).select("cell", (F.col("t") / F.lit(float(every))).alias("w"), "p").coalesce(1), "shares")
+    return fitted_rates(shares, domains, targets, budget, steps, penalty).select(F.col("cell").alias("__cell"), F.col("rate").alias("mix_rate"))
+
+
+def with_copies(documents: DataFrame, rates: DataFrame, id_col: str) -> DataFrame:
+    """documents with mix_tokens, mix_rate and mix_copies for their __tokens and __cell; rates have at most CELLS rows."""
     chance = F.pmod(F.xxhash64(F.coalesce(F.col(id_col), F.lit(0))), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("__tokens").alias("mix_tokens"), "mix_rate", F.floor(F.col("mix_rate") + chance).cast("long").alias("mix_copies"))
+    out = documents.join(F.broadcast(rates), "__cell", "left")
+    return out.withColumn("mix_copies", F.floor(F.col("mix_rate") + chance).cast("long")).withColumnRenamed("__tokens", "mix_tokens").drop("__cell")
+
+
+def document_rates(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
+    """One row per row of docs: the id, mix_tokens, mix_rate and mix_copies. Texts are read once."""
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    small = written(featured(base, "text", "lang").select("id", "__tokens", "__cell"), "features")
+    rates = cell_rates(small.withColumnRenamed("id", id_col), labels, id_col, **options)
+    return with_copies(small, rates, "id").select("id", "mix_tokens", "mix_rate", "mix_copies")
+
+
+def mixed(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
+    """The columns of docs (but for older mix_ columns) with mix_tokens, mix_rate and mix_copies."""
+    docs = docs.drop("mix_tokens", "mix_rate", "mix_copies")
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    small = written(featured(base, "text", "lang").select(F.col("id").alias(id_col), "__tokens", "__cell"), "features")
+    return with_copies(featured(docs, text_col, lang_col), cell_rates(small, labels, id_col, **options), id_col)

@@ -52,8 +52,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, mix_tokens, mix_rate, mix_copies."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return mixing.mixed(docs, table(spark, sf_dir, "labels")).select("doc_id", "mix_tokens", "mix_rate", "mix_copies")
+    found = mixing.document_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.withColumnRenamed("id", "doc_id")
 
 
 def op10_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +73,35 @@ QUERIES = {
     "op10_vector_search": op10_vector_search,
 }
 ORACLES: dict[str, str] = {
+    # Every pair that shares a shingle, and classes by a walk over the links.
+    "op1_near_dedup": r"""
+        with recursive words as (
+            select doc_id, list_filter(list_transform(regexp_split_to_array(lower(text), '\s+'), lambda x: regexp_replace(x, '[\x00-\x2f\x3a-\x60\x7b-\x7f]', '', 'g')), lambda x: x <> '') as w
+            from documents where text is not null
+        ), shingles as (
+            select doc_id, s, count(*) as n from (
+                select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')] else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s from words
+            ) group by all
+        ), sizes as (select doc_id, sum(n) as n from shingles group by 1),
+        common as (select a.doc_id as a, b.doc_id as b, sum(least(a.n, b.n)) as n from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all),
+        links as (
+            select a, b from common c join sizes x on x.doc_id = a join sizes y on y.doc_id = b where c.n >= 0.8 * (x.n + y.n - c.n)
+            union select min(doc_id) over (partition by text), doc_id from documents where text is not null
+        ), both_ways as (select a, b from links union select b, a from links),
+        reached as (select doc_id as a, doc_id as b from documents union select r.a, l.b from reached r join both_ways l on l.a = r.b)
+        select a as doc_id, min(b) as class_id from reached group by 1
+    """,
+    # Base32: 32 groups of five bits of the digest.
+    "op4_warc": """
+        with digests as (
+            select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as h, cast(cast(unhex(sha1(coalesce(html, ''))) as bit) as varchar) as bits from pages
+        ), named as (
+            select page_id, payload_bytes, min(page_id) over (partition by h) as first,
+                   array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(list_sum(list_transform(range(5), lambda j: cast(substr(bits, i * 5 + j + 1, 1) as integer) * (16 >> j))) as integer) + 1, 1)), '') as payload_digest
+            from digests
+        )
+        select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest, case when page_id = first then 'response' else 'revisit' end as record_type, case when page_id <> first then first end as refers_to from named
+    """,
     "op6_license_scan": license_scan.oracle(),
     "op10_vector_search": """
         with v as (
