@@ -30,9 +30,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their rates; those that get no copy go. It learns from the labelled rows of `documents`."""
-    mixed = mixing.mixed(docs, table(spark, sf_dir, "labels"), labelled=table(spark, sf_dir, "documents"))
-    return mixed.filter("mix_copies > 0")
+    """Documents with their rates; those that get no copy go. It learns from the labels of the documents that are left."""
+    return mixing.mixed(docs, table(spark, sf_dir, "labels")).filter("mix_copies > 0")
 
 
 STAGES = [
