@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomcat.llm.common import mapped, mix64, slices, written
+from loomcat.llm.common import mapped, mix64, own_columns, slices, written
 from loomcat.llm.words import bag_overlap, shingles, weighted_overlap, word_hashes
 
 
@@ -36,6 +36,8 @@ THRESHOLD = 0.8
 MARGIN = 0.1  # four deviations of the estimate from a signature: closer pairs are verified
 BLOCK = 256
 
+TICKS = 2.0**34
+
 _GAMMA = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -56,16 +58,19 @@ def _processes(hashes: np.ndarray, counts: np.ndarray, owner: np.ndarray) -> tup
 
 
 def bag_minhash(hashes: np.ndarray, counts: np.ndarray, owner: np.ndarray, texts: int, size: int) -> np.ndarray:
-    """The signatures (texts x size, uint64) of weighted sets, given as elements, counts and owners."""
+    """The signatures (texts x size, uint64) of weighted sets, given as elements, counts and owners.
+
+    Times are whole numbers of TICKS, so that their sums don't depend on how points are grouped.
+    """
     seed, doc, rate, low, bound = _processes(hashes, counts, owner)
-    first = np.full(texts * size, np.inf)
-    time, point, run = np.zeros(len(seed)), 0, 1
+    first = np.full(texts * size, np.iinfo(np.int64).max)
+    time, point, run = np.zeros(len(seed), dtype=np.int64), 0, 1
     while len(seed):
         n = np.arange(point + 1, point + run + 1, dtype=np.uint64) * _GAMMA
         x = mix64(seed[:, None] + n[None, :])
         y = mix64(x + _GAMMA)
         gaps = -np.log(((x >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0**-53)
-        at = time[:, None] + np.cumsum(gaps, axis=1) / rate[:, None]
+        at = time[:, None] + np.cumsum((gaps * (TICKS / rate[:, None])).astype(np.int64), axis=1)
         bucket = ((y >> np.uint64(40)) % np.uint64(size)).astype(np.int64) + doc[:, None] * size
         weight = low[:, None] + rate[:, None] * ((y & np.uint64(0xFFFFFFFF)).astype(np.float64) + 0.5) * 2.0**-32
         good = weight < bound[:, None]
@@ -270,4 +275,4 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = found.filter("key is not null").groupBy("class_id").agg(least("r")).select("r.id", "r.key")
     tagged = row_keys(docs.withColumns({"__id": F.col(id_col).cast("long"), "__text_key": text_key(text_col)}), "__id", "__text_key")
     once = tagged.filter(F.col("__text_key").isNotNull()).join(row_keys(kept).select(*ROW), ROW, "left_semi").dropDuplicates(ROW)
-    return once.unionByName(tagged.filter(F.col("__text_key").isNull())).select(*docs.columns)
+    return once.unionByName(tagged.filter(F.col("__text_key").isNull())).select(*own_columns(docs))
