@@ -10,7 +10,8 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +58,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def own_columns(df: DataFrame) -> list[Column]:
+    """The columns of df by name, whatever characters the names have."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose texts have about `size` bytes, or one row that is longer."""
     if not batch.num_rows:

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomcat.llm.common import ship, slices
+from loomcat.llm.common import own_columns, ship, slices
 
 UNKNOWN = "und"
 PER_LANGUAGE = 700
@@ -162,4 +162,4 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 def kept(docs: DataFrame, model: dict, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of docs whose language is told with at least that score."""
     told = docs.withColumn("__told", predicted(docs, model, text_col))
-    return told.filter((F.col("__told.lang_pred") != UNKNOWN) & (F.col("__told.score") >= least)).select(*docs.columns)
+    return told.filter((F.col("__told.lang_pred") != UNKNOWN) & (F.col("__told.score") >= least)).select(*own_columns(docs))

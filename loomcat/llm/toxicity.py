@@ -20,11 +20,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomcat.llm.common import mapped, ship, slices
+from loomcat.llm.common import mapped, own_columns, ship, slices
 from loomcat.llm.words import word_hashes
 
 SAMPLE = 8000
 FEATURES = 2000
+LEAST_DEVIATION = 3.0  # deviations by which a feature's rate in a category differs from the category's
 FOLDS = 3
 SPACE = 1 << 20
 PREFIX = 4
@@ -95,7 +96,7 @@ def fit_chain(lists: list[np.ndarray], labels: np.ndarray, features: int = FEATU
         best = np.maximum(best, np.abs(got - seen * rate) / np.sqrt(seen * rate * (1 - rate) + 1))
     best[(seen < 3) | (seen > n - 3)] = 0
     chosen = np.sort(np.argsort(-best, kind="stable")[:features])
-    chosen = chosen[best[chosen] > 0]
+    chosen = chosen[best[chosen] >= LEAST_DEVIATION]
     place = np.full(len(names), -1)
     place[chosen] = np.arange(len(chosen))
     cols = place[cols]
@@ -183,4 +184,4 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def kept(docs: DataFrame, model: dict, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs that are not rejected."""
     told = docs.withColumn("__told", probabilities(docs, model, text_col))
-    return told.filter(F.col("__told")[model["names"][-1]] < threshold).select(*docs.columns)
+    return told.filter(F.col("__told")[model["names"][-1]] < threshold).select(*own_columns(docs))

@@ -191,7 +191,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     last = first.groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n"))
     last = queries.join(last, queries["id"] == last["query_id"], "left").withColumn("least", F.when(F.col("n") >= k, F.col("least")))
     own = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    limit = F.when(F.col("least").isNull(), F.lit(float("inf"))).otherwise(F.sqrt(F.greatest(F.lit(0.0), own + F.lit(longest) - 2 * F.col("least"))))
+    limit = F.when(F.col("least").isNull(), F.lit(float("inf"))).otherwise(F.sqrt(F.greatest(F.lit(0.0), own + F.lit(longest) - F.lit(2.0) * F.col("least"))))
     rest = mapped(last.select("id", "v", limit.alias("limit"), "least"), _routes(sent, width, k, False, slack), schema)
     found = first.select("query_id", "vec_id", "score").unionByName(searched(rest))
     return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
