@@ -39,12 +39,15 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 BOILER = frozenset("nav footer aside form menu dialog fieldset".split())
 MAIN = frozenset("article main".split())
 BOILER_WORDS = frozenset(
-    "nav navbar navigation menu menubar footer header masthead topbar sidebar aside banner ad ads adv advert adverts advertisement sponsor sponsored promo promotion cookie cookies consent gdpr notice alert popup modal overlay "
+    "nav navbar navigation menu menubar footer topbar sidebar aside ad ads adv advert adverts advertisement sponsor sponsored promo promotion cookie cookies consent gdpr notice alert popup modal overlay "
     "comment comments reply replies respond disqus discussion share sharing social related recommended breadcrumb breadcrumbs pagination pager subscribe newsletter signup login search toolbar widget copyright legal disclaimer skip".split()
 )
+HEAD_WORDS = frozenset("header masthead banner".split())  # inside the main element they head the article
+MAIN_WORDS = frozenset("content article post entry story main".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog toolbar".split())
 # Costs of places, in units of log odds.
-IN_MAIN, IN_BOILER, PLAIN = 3.0, -9.0, -0.5
+IN_MAIN, IN_BOILER, PLAIN = 2.5, -9.0, -0.5
+LEAST, MOST = -3.5, 2.0  # bounds of what a block's text can add
 ADJACENT, SIBLING, DECAY = 0.6, 0.4, 0.7
 DEFAULT = np.array([-1.2, 0.8, -3.0, 0.6, 0.4])  # constant, log words, link share, sentence end, heading
 
@@ -63,18 +66,20 @@ class Block:
     linked: int
 
 
-def _place(name: str, attributes: str) -> tuple[bool, bool]:
-    """Whether an element is the main one, and whether it is boilerplate."""
-    main, boiler = name in MAIN, name in BOILER
+def _place(name: str, attributes: str, inside: bool) -> tuple[bool, bool]:
+    """Whether an element is the main one, and whether it is boilerplate; inside: whether it is within a main one."""
+    main, boiler = name in MAIN, name in BOILER or not inside and name in ("header", "hgroup")
     for key, *values in _ATTRIBUTE.findall(attributes):
         value, key = "".join(values), key.lower()
         if key == "hidden":
             boiler = boiler or value.lower() in ("", "hidden", "true")
         elif key == "role":
             main, boiler = main or value.lower() in ("main", "article"), boiler or value.lower() in BOILER_ROLES
-        elif any(w.lower() in BOILER_WORDS for w in _NAME.findall(value)):
-            boiler = True
-    return main, boiler
+        else:
+            words = {w.lower() for w in _NAME.findall(value)}
+            boiler = boiler or bool(words & BOILER_WORDS) or not inside and name not in MAIN and bool(words & HEAD_WORDS)
+            main = main or bool(words & MAIN_WORDS)
+    return main and (name in MAIN or not boiler), boiler
 
 
 def blocks(page: str) -> list[Block]:
@@ -125,7 +130,7 @@ def blocks(page: str) -> list[Block]:
         heading = not closing and len(name) == 2 and name[0] == "h" and name[1].isdigit()
         if name == "p" or heading or (closing and len(name) == 2 and name[0] == "h" and name[1].isdigit()):
             if not closing:
-                main, boiler = _place(name, token[3])
+                main, boiler = _place(name, token[3], bool(stack and stack[-1][2]))
                 if boiler:
                     while stack and stack[-1][0] == "p":
                         stack.pop()
@@ -142,13 +147,11 @@ def blocks(page: str) -> list[Block]:
         else:
             while stack and (stack[-1][0] == "p" or name == stack[-1][0] and name in ("li", "dt", "dd", "tr", "td", "th", "option")):
                 stack.pop()
-            main, boiler = _place(name, token[3])
             _, _, in_main, in_boiler = stack[-1] if stack else ("", 0, False, False)
-            if name in ("header", "hgroup") and not in_main:
-                boiler = True
+            main, boiler = _place(name, token[3], in_main)
             number += 1
             if name not in ("html", "body", "head"):
-                stack.append((name, number, in_main or main, in_boiler or (boiler and not (main and name in MAIN))))
+                stack.append((name, number, in_main or main, in_boiler or (boiler and name not in MAIN)))
         path = tuple(x[1] for x in stack)
     if at < len(page):
         parts.append(page[at:])
@@ -232,7 +235,7 @@ def main_text(page: str | None, weights: np.ndarray = DEFAULT) -> str:
     costs = []
     for b in found:
         z = sum(x * y for x, y in zip(w, features(b), strict=True))
-        costs.append(max(-2.0, min(2.0, z)) + (IN_BOILER if b.boiler else IN_MAIN if b.main else PLAIN))
+        costs.append(max(LEAST, min(MOST, z)) + (IN_BOILER if b.boiler else IN_MAIN if b.main else PLAIN))
     edges, last = [], {}
     for i, b in enumerate(found):
         if i:

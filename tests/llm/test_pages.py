@@ -29,6 +29,8 @@ PAGES = "page_id long, url string, html string, text string"
         ("<article><p>&lt;b&gt; &#233;&#x41; &amp &unknown; &am", "<b> éA & &unknown; &am"),
         ("<div class='cookie-consent'>We use cookies</div><div hidden>gone</div><article><div><p>kept</p></div></article>", "kept"),
         ("<body><div><p>Words enough to make a paragraph of a page, and it ends here.</p></div><div><a href=1>one</a> <a href=2>two</a></div></body>", "Words enough to make a paragraph of a page, and it ends here."),
+        ("<body><div class='masthead'>Site</div><div class='article'><div class='article-header'><h1>T</h1></div><p>Text of it.</p><div class='share'>Share</div></div></body>", "T\nText of it."),
+        ("<main><p>Long words of a paragraph that has a meaning.</p><div><a href=1>One story</a></div><div><a href=2>Two stories</a></div><div><a href=3>Three stories</a></div></main>", "Long words of a paragraph that has a meaning."),
         ("<article></div></p></span><p>stray ends</p></article>", "stray ends"),
     ],
 )
