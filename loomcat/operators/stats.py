@@ -6,8 +6,10 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from loomcat.functions.values import or_unknown
+from loomcat.operators.ordering import running_totals
 
 
 def counts(df: DataFrame, column: Column, name: str = "key", unknown: bool = False) -> DataFrame:
@@ -33,28 +35,33 @@ def facet_values(df: DataFrame, column: str, many: bool = False) -> DataFrame:
     return values.filter(F.coalesce(F.col("value"), F.lit("")) != "").distinct().orderBy("value")
 
 
+def value_counts(df: DataFrame, column: str) -> DataFrame:
+    """(v, n, upto, rows): each distinct non-null value, its count, the count up to it, and the count of all.
+
+    Whole numbers repeat, and their distinct values fit one window; other numbers may all be distinct and are
+    summed up in range partitions.
+    """
+    each = df.select(F.col(column).alias("v")).dropna().groupBy("v").agg(F.count("*").alias("n"))
+    if isinstance(df.schema[column].dataType, IntegralType):
+        over = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+        return each.withColumn("upto", F.sum("n").over(over)).withColumn("rows", F.sum("n").over(Window.partitionBy()))
+    return running_totals(each, [F.col("v")], {"upto": F.col("n")}).withColumnRenamed("all_upto", "rows")
+
+
 def summary(df: DataFrame, column: str, digits: int | None = 2, extremes: bool = False) -> DataFrame:
     """count, total, mean, median, p25 and p75 of the non-null values; one row also for none.
 
-    A quartile is the value at the index round((n - 1) q), half to even. Ranks come from a count
-    of each distinct value and a running sum over the distinct values, so that repeated values
-    (most of what integers measure) are one row before anything is sorted.
+    A quartile is the value at the index round((n - 1) q), half to even.
     """
-    rows = df.select(F.col(column).alias("v")).dropna()
-    each = rows.groupBy("v").agg(F.count("*").alias("n"))
-    totals = each.agg(F.sum("n").alias("count"), F.sum(F.col("v") * F.col("n")).alias("total"), F.min("v").alias("min"), F.max("v").alias("max"))
-    order = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = each.withColumn("upto", F.sum("n").over(order)).crossJoin(F.broadcast(totals.select("count")))
+    last = F.col("rows") - 1
     at = lambda rank: F.min(F.when(F.col("upto") > rank, F.col("v")))
-    last = F.col("count") - 1
-    picks = ranked.agg(
-        ((at(F.floor(last / 2)) + at(F.ceil(last / 2))) / 2).alias("median"), at(F.bround(last * F.lit(0.25))).alias("p25"), at(F.bround(last * F.lit(0.75))).alias("p75")
+    found = value_counts(df, column).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("count"), F.coalesce(F.sum(F.col("v") * F.col("n")), F.lit(0)).alias("total"),
+        ((at(F.floor(last / 2)) + at(F.ceil(last / 2))) / 2).alias("median"), at(F.bround(last * F.lit(0.25))).alias("p25"), at(F.bround(last * F.lit(0.75))).alias("p75"),
+        F.min("v").alias("min"), F.max("v").alias("max"),
     )
-    mean = F.col("total") / F.col("count")
-    out = totals.crossJoin(F.broadcast(picks)).select(
-        F.coalesce("count", F.lit(0)).alias("count"), F.coalesce("total", F.lit(0)).alias("total"), (mean if digits is None else F.bround(mean, digits)).alias("mean"), "median", "p25", "p75", *(["min", "max"] if extremes else [])
-    )
-    return out
+    mean = F.when(F.col("count") > 0, F.col("total") / F.col("count"))
+    return found.select("count", "total", (mean if digits is None else F.bround(mean, digits)).alias("mean"), "median", "p25", "p75", *(["min", "max"] if extremes else []))
 
 
 def shares(list_column: str) -> Column:
@@ -92,14 +99,8 @@ def by_count(grouped: DataFrame, count: str = "paper_count", name: str = "group"
 
 
 def mid_rank(df: DataFrame, column: str, to: str) -> DataFrame:
-    """df with the mid-rank percentile of a column, among its non-null values: (less + half of the equal) / n.
-
-    Only distinct values are ranked over one window; rows get theirs back by a join on the value.
-    """
-    each = df.select(F.col(column).alias("__v")).dropna().groupBy("__v").agg(F.count("*").alias("__n"))
-    upto = F.sum("__n").over(Window.orderBy("__v").rowsBetween(Window.unboundedPreceding, 0))
-    total = each.agg(F.sum("__n").alias("__all"))
-    ranks = each.withColumn("__upto", upto).crossJoin(F.broadcast(total)).select("__v", ((F.col("__upto") - F.col("__n") * F.lit(0.5)) / F.col("__all")).alias(to))
+    """df with the mid-rank percentile of a column, among its non-null values: (less + half of the equal) / n."""
+    ranks = value_counts(df, column).select(F.col("v").alias("__v"), ((F.col("upto") - F.col("n") * F.lit(0.5)) / F.col("rows")).alias(to))
     return df.join(ranks, df[column] == ranks["__v"], "left").drop("__v")
 
 

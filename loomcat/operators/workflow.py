@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomcat import schemas as S
 from loomcat.operators.keys import duplicate_keys, orphans
+from loomcat.operators.ordering import previous
 
 
 
@@ -40,6 +41,16 @@ def _orphaned(child: DataFrame, key: str, parent: DataFrame, column: str) -> Dat
     return orphans(child, parent, {column: column}).select(F.col(key).cast("string").alias("key"), F.lit(f"{column} exists").alias("rule"), F.col(column).alias("value"))
 
 
+def with_defaults(df: DataFrame) -> DataFrame:
+    """df with the store's defaults in place of nulls, for the columns that it has."""
+    given = {c: F.uuid() for c in ("contact_id", "request_id", "event_id")} | {c: F.current_timestamp() for c in ("created_at", "updated_at", "occurred_at")}
+    given |= {c: F.lit(v) for c, v in {
+        "translation_status": "not-started", "authorization_status": "not-reviewed", "publication_allowed": False, "publication_basis": "manual-hold", "verification_status": "unverified",
+        "request_type": S.REQUEST_TYPE, "status": "draft", "permission_decision": "unknown", "metadata": "{}",
+    }.items()}
+    return df.withColumns({c: F.coalesce(c, given[c]) for c in df.columns if c in given})
+
+
 def _all(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
@@ -87,7 +98,10 @@ def rewritten(before: DataFrame, after: DataFrame, key: str = "event_id") -> Dat
     return both.select(F.col(key).cast("string").alias("key"), F.when(F.col("now").isNull(), "deleted").otherwise("updated").alias("rule"), F.lit(None).cast("string").alias("value"))
 
 
-def with_previous(events: DataFrame, request: str = "request_id", time: str = "occurred_at", event: str = "event_id", status: str = "new_status", to: str = "previous_status") -> DataFrame:
+def with_previous(events: DataFrame, request: str = "request_id", time: str = "occurred_at", event: str = "event_id", status: str = "new_status", to: str = "previous_status", spread: bool = False) -> DataFrame:
+    """events with the status before each; spread: in range partitions, for logs in which one request has very many events."""
+    if spread:
+        return previous(events, request, [F.col(time), F.col(event)], status, to)
     return events.withColumn(to, F.lag(status).over(Window.partitionBy(request).orderBy(time, event)))
 
 

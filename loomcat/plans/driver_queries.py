@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loomcat import schemas as S
 from loomcat.functions import texts as X
 from loomcat.functions import values as V
-from loomcat.operators import audit, gate, keys, progress, search, stats, workflow
+from loomcat.operators import audit, gate, keys, ordering, progress, search, stats, workflow
 from loomcat.plans import instances as I
 from loomcat.plans.instances import t
 
@@ -273,7 +273,7 @@ def w01_p34_mid_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select record_id, title, row_number() over (order by lower(title), record_id) as position, count(*) over () as of, lpad(cast(row_number() over (order by lower(title), record_id) as varchar), 3, '0') as label from records where doc_id < 900", I.RECORDS_SQL)
 def w02_w03_p31_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = I.records(spark, sf_dir).filter("doc_id < 900").select("record_id", "title")
-    found = search.numbered(rows, [F.lower("title"), F.col("record_id")])
+    found = ordering.numbered(rows, [F.lower("title"), F.col("record_id")])
     return found.select("record_id", "title", "position", "of", V.padded(F.col("position")).alias("label"))
 
 
@@ -504,6 +504,14 @@ def p43_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.filter(F.size("n") > 0).select("doc_id", X.joined(F.col("n"), "|").alias("notices"))
 
 
+@query("""select doc_id, coalesce(case when doc_id % 2 = 0 then translation_status end, 'not-started') as translation_status, coalesce(case when doc_id % 3 = 0 then publication_basis end, 'manual-hold') as publication_basis,
+    true as has_id, true as has_time from records""", I.RECORDS_SQL)
+def p45_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = I.records(spark, sf_dir).select("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("translation_status")).alias("translation_status"), F.when(F.col("doc_id") % 3 == 0, F.col("publication_basis")).alias("publication_basis"))
+    found = workflow.with_defaults(rows.withColumns({"contact_id": F.lit(None).cast("string"), "created_at": F.lit(None).cast("timestamp")}))
+    return found.select("doc_id", "translation_status", "publication_basis", (F.length("contact_id") == 36).alias("has_id"), F.col("created_at").isNotNull().alias("has_time"))
+
+
 # ---------------------------------------------------------------- sets
 
 

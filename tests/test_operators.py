@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomcat import schemas as S
-from loomcat.operators import audit, gate, keys, progress, search, stats, workflow
+from loomcat.operators import audit, gate, keys, ordering, progress, search, stats, workflow
 
 
 def rows(df):
@@ -73,9 +73,9 @@ def expected_summary(values):
 def test_summary_takes_nearest_ranks(spark, n):
     rng = random.Random(n)
     values = [rng.randrange(9) for _ in range(n)]
-    df = spark.createDataFrame([(v,) for v in [*values, None]], "v long")
-    r = stats.summary(df, "v", digits=None).first()
-    assert tuple(r) == pytest.approx(expected_summary(values))
+    for kind in ("long", "double"):
+        df = spark.createDataFrame([(v,) for v in [*values, None]], "v long").select(F.col("v").cast(kind)).repartition(3)
+        assert tuple(stats.summary(df, "v", digits=None).first()) == pytest.approx(expected_summary(values))
 
 
 def test_summary_extremes_and_digits(spark):
@@ -206,7 +206,7 @@ def test_query_strings():
 
 def test_positions_links_and_lookups(spark):
     df = catalog(spark)
-    got = sorted((r.position, r.of, r.title) for r in search.numbered(df.select("title", "record_id"), [F.col("title"), F.col("record_id")]).collect())
+    got = sorted((r.position, r.of, r.title) for r in ordering.numbered(df.select("title", "record_id"), [F.col("title"), F.col("record_id")]).collect())
     assert [g[0] for g in got] == list(range(1, 61)) and {g[1] for g in got} == {60} and [g[2] for g in got] == sorted(g[2] for g in got)
     links = search.page_links(spark.createDataFrame([(6, 12), (1, 1)], "c int, n int"), "c", "n").collect()
     assert [tuple(x) for x in links[0].links] == [(1, False), (4, True), (5, False), (6, False), (7, False), (8, False), (12, True)]
@@ -214,6 +214,15 @@ def test_positions_links_and_lookups(spark):
     assert search.by_slug(df, "R7").first().record_id == "r7" and search.by_id(df, "zz").count() == 0
 
 
+def test_running_totals_over_many_partitions(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("v"), (F.col("id") % 5).alias("n"))
+    got = sorted((r.v, r.n, r.t, r.all_t) for r in ordering.running_totals(df, [F.col("v")], {"t": F.col("n")}).collect())
+    total = 0
+    for _, n, upto, every in got:
+        total += n
+        assert upto == total and every == 10_000
+
+
 def test_audit(spark):
     text = "ok\nmail a.b@example.invalid and Known@Example.invalid\nsk-abcdefghijklmnop\n-----BEGIN RSA PRIVATE KEY-----"
     files = spark.createDataFrame([("tmp/x", 1, bytearray(b"")), ("private/README.md", 1, bytearray(b"")), ("private/people.csv", 60 << 20, bytearray(b"\xff\xfe")), ("docs/a.txt", 9, bytearray(text.encode()))], "path string, length long, content binary")
@@ -238,6 +247,12 @@ def test_workflow_rules(spark):
     assert [r.request_id for r in workflow.mailable(wanted, contacts, sent, "2026-01-01").collect()] == ["q1"]
 
 
+def test_previous_states_of_a_hot_request(spark):
+    events = spark.range(3000).select(F.concat(F.lit("e"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("event_id"), F.when(F.col("id") % 10 < 9, "hot").otherwise(F.concat(F.lit("q"), F.col("id") % 7)).alias("request_id"), (F.col("id") % 500).alias("occurred_at"), F.concat(F.lit("s"), F.col("id") % 11).alias("new_status"))
+    plain, spread = (sorted((r.event_id, r.previous_status or "") for r in workflow.with_previous(events, spread=s).collect()) for s in (False, True))
+    assert plain == spread
+
+
 def test_states_over_the_log(spark):
     events = spark.createDataFrame([("e1", "q", "2026-01-01", "not-reviewed"), ("e2", "q", "2026-01-02", "needs-permission"), ("e3", "q", "2026-01-03", "permission-granted"), ("e4", "q", "2026-01-04", "withdrawn")], "event_id string, request_id string, occurred_at string, new_status string")
     changes = workflow.with_previous(events)
