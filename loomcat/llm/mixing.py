@@ -1,10 +1,12 @@
 """Mixing by soft membership: a classifier's domain posteriors, and nonnegative document rates.
 
 Native: DataFrame and SQL functions only. Every document falls into a cell of bucketed
-features (language, length, share of capitals, share of exclamation marks, words per line);
-a naive Bayes classifier counted on all labelled documents gives each cell its posterior over
-the labelled domains. Cells are bounded in number (`CELLS`), whatever the input, so documents
-are counted up to cells before anything is shuffled. The rates minimise
+features: language, length, share of capitals, share of exclamation marks, words per line, and how
+often it has terms of each domain. A domain's terms are the at most `TERMS` words that
+lean most to it in `SAMPLE` labelled documents (those with the least hash of their id). A naive Bayes
+classifier counted on all labelled documents gives each cell its posterior over the labelled
+domains. Cells are bounded in number whatever the input (by CELLS * 3 ** domains, with at most
+`DOMAINS` domains), so documents are counted up to cells before anything is shuffled. The rates minimise
 
     1/2 |E(r) - T|^2 + penalty/2 * mean((r - 1)^2),  r >= 0,
 
@@ -25,56 +27,83 @@ from pyspark.sql import functions as F
 
 from loomcat.llm.common import written
 
-LANGS, LENGTHS, CAPITALS, SHOUTS, LINES = 16, 16, 4, 3, 4
+LANGS, LENGTHS, CAPITALS, SHOUTS, LINES = 16, 10, 4, 3, 4
 CELLS = LANGS * LENGTHS * CAPITALS * SHOUTS * LINES
 FEATURES = ["f_lang", "f_length", "f_capitals", "f_shouts", "f_lines"]
+DOMAINS, TERMS, TERM_LEVELS, SAMPLE, LEAST_DEVIATION = 5, 24, 3, 4000, 5.0
 LEVELS = dict(zip(FEATURES, (LANGS, LENGTHS, CAPITALS, SHOUTS, LINES), strict=True))
-#: Shares of the tokens by domain: labelled quality, then labelled toxicity.
-TARGETS = {"good": 0.9, "poor": 0.1, "toxic": 0.0}
+#: Target shares of the tokens by domain.
+TARGETS = {"good": 0.9, "poor": 0.08, "toxic": 0.02}
 DOMAIN = "case when toxic = 1 then 'toxic' when quality = 1 then 'good' when quality = 0 then 'poor' end"
-STEPS = 60
-PENALTY = 0.02
+STEPS = 80
+PENALTY = 0.005
+
+
+def levels_by_name(terms: dict[str, list[str]]) -> dict[str, int]:
+    return LEVELS | {f"f_terms_{i}": TERM_LEVELS for i in range(len(terms))}
+
+
+def domain_terms(docs: DataFrame, marks: DataFrame, domains: list[str]) -> dict[str, list[str]]:
+    """The terms of each domain, from docs (i, text) and marks (i, domain). Bounded by SAMPLE documents."""
+    first = marks.withColumn("h", F.xxhash64("i")).orderBy("h", "i", "domain").limit(SAMPLE).select("i", "domain")
+    texts = docs.filter("text is not null").join(F.broadcast(first), "i")
+    # a document's words once, so that counts are of documents
+    words = texts.select("domain", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))).alias("word"))
+    counts = words.groupBy("word").agg(F.count("*").alias("n"), *[F.count_if(F.col("domain") == d).alias(f"n{i}") for i, d in enumerate(domains)]).filter("n >= 5")
+    counts = written(counts, "terms")
+    sizes = {r.domain: r.n for r in texts.groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    every = sum(sizes.values())
+    out = {}
+    for i, d in enumerate(domains):
+        rate = sizes.get(d, 0) / every if every else 0.0
+        lean = (F.col(f"n{i}") - F.col("n") * rate) / F.sqrt(F.col("n") * (rate * (1 - rate)) + 1)
+        out[d] = [r.word for r in counts.select("word", lean.alias("z")).filter(F.col("z") >= LEAST_DEVIATION).orderBy(F.desc("z"), "word").limit(TERMS).collect()]
+    return out
 
 
-def featured(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+def featured(docs: DataFrame, text_col: str, lang_col: str, terms: dict[str, list[str]]) -> DataFrame:
     """docs with __tokens and __cell, from counts over whole texts that are taken once each."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     less = lambda c: F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c), F.lit("")))
+    hits = lambda ws: F.regexp_count(F.lower(text), F.lit(r"(?<!\p{L})(?:" + "|".join(ws) + r")(?!\p{L})")) if ws else F.lit(0)
     counts = docs.withColumns({
         "__chars": F.octet_length(text), "__spaces": less(" "), "__lines": less("\n"), "__shouts": less("!"),
         "__capitals": F.octet_length(text) - F.octet_length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "")),
+        **{f"__terms_{i}": hits(ws) for i, ws in enumerate(terms.values())},
     })
     words = F.when(F.col("__chars") > 0, F.col("__spaces") + F.col("__lines") + 1).otherwise(0)
     size = F.greatest("__chars", F.lit(1))
     bucket = lambda x, *cuts: sum((F.when(x >= c, 1).otherwise(0) for c in cuts), F.lit(0))
     levels = {
         "f_lang": F.pmod(F.xxhash64(F.coalesce(F.col(lang_col).cast("string"), F.lit(""))), F.lit(LANGS)),
-        "f_length": F.least(F.floor(F.log2(words + F.lit(1.0))), F.lit(LENGTHS - 1)),
+        "f_length": F.least(F.greatest(F.floor(F.log2(words + F.lit(1.0))) - 4, F.lit(0)), F.lit(LENGTHS - 1)),
         "f_capitals": bucket(F.col("__capitals") / size, 0.02, 0.05, 0.2),
         "f_shouts": bucket(F.col("__shouts") / size, 0.001, 0.02),
         "f_lines": bucket(words / (F.col("__lines") + 1), 8, 16, 40),
+        **{f"f_terms_{i}": bucket(F.col(f"__terms_{i}"), 1, 2) for i in range(len(terms))},
     }
     cell = F.lit(0)
-    for f in FEATURES:
-        cell = cell * LEVELS[f] + levels[f]
-    return counts.withColumns({"__tokens": words.cast("long"), "__cell": cell.cast("int")}).drop("__chars", "__spaces", "__lines", "__shouts", "__capitals")
+    for f, n in levels_by_name(terms).items():
+        cell = cell * n + levels[f]
+    counted = [c for c in counts.columns if c not in docs.columns]
+    return counts.withColumns({"__tokens": words.cast("long"), "__cell": cell.cast("int")}).drop(*counted)
 
 
-def levels_of(cell: Column) -> dict[str, Column]:
+def levels_of(cell: Column, levels: dict[str, int]) -> dict[str, Column]:
     """The features' levels, read from a cell's number."""
     out, rest = {}, cell
-    for f in reversed(FEATURES):
-        out[f] = F.pmod(rest, F.lit(LEVELS[f])).cast("int")
-        rest = F.floor(rest / LEVELS[f]).cast("int")
+    for f, n in reversed(levels.items()):
+        out[f] = F.pmod(rest, F.lit(n)).cast("int")
+        rest = F.floor(rest / n).cast("int")
     return out
 
 
-def posteriors(cells: DataFrame, marked: DataFrame, domains: list[str]) -> DataFrame:
+def posteriors(cells: DataFrame, marked: DataFrame, domains: list[str], levels: dict[str, int] = LEVELS) -> DataFrame:
     """cells with p, an array of probabilities in the order of domains: naive Bayes with add-one smoothing."""
     spark = cells.sparkSession
     totals = marked.groupBy("domain").agg(F.sum("n").alias("n"))
     counts = None
-    for name in FEATURES:
+    for name in levels:
         own = marked.groupBy("domain", F.lit(name).alias("feature"), F.col(name).alias("level")).agg(F.sum("n").alias("n"))
         counts = own if counts is None else counts.unionByName(own)
     # at most domains x levels rows
@@ -88,11 +117,11 @@ def posteriors(cells: DataFrame, marked: DataFrame, domains: list[str]) -> DataF
 
     for d in domains:
         n = prior.get(d, 0)
-        for f, levels in LEVELS.items():
-            rows += [(d, f, k, log((known.get((d, f, k), 0) + 1) / (n + levels))) for k in range(levels)]
+        for f, size in levels.items():
+            rows += [(d, f, k, log((known.get((d, f, k), 0) + 1) / (n + size))) for k in range(size)]
         rows.append((d, "prior", 0, log((n + 1) / (every + len(domains)))))
     logs = spark.createDataFrame(rows, "domain string, feature string, level int, log double")
-    wide = cells.select("cell", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("level")) for f in FEATURES], F.struct(F.lit("prior").alias("feature"), F.lit(0).alias("level")))).alias("x"))
+    wide = cells.select("cell", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("level")) for f in levels], F.struct(F.lit("prior").alias("feature"), F.lit(0).alias("level")))).alias("x"))
     scored = wide.select("cell", "x.*").join(F.broadcast(logs), ["feature", "level"]).groupBy("cell").pivot("domain", domains).agg(F.sum("log"))
     top = F.greatest(*[F.col(f"`{d}`") for d in domains]) if len(domains) > 1 else F.col(f"`{domains[0]}`")
     odds = scored.select("cell", F.array(*[F.exp(F.col(f"`{d}`") - top) for d in domains]).alias("o"))
@@ -115,41 +144,57 @@ def fitted_rates(cells: DataFrame, domains: list[str], targets: dict[str, float]
     return now
 
 
-def cell_rates(
-    documents: DataFrame, labels: DataFrame, id_col: str, domain: str = DOMAIN, targets: dict[str, float] = TARGETS, budget: float = 1.0, steps: int = STEPS, penalty: float = PENALTY
-) -> DataFrame:
-    """(__cell, mix_rate) from documents that have __tokens and __cell."""
-    marks = labels.select(F.col(id_col).alias("i"), F.expr(domain).alias("domain")).filter("i is not null and domain is not null")
-    own = documents.select(F.col(id_col).alias("i"), F.col("__cell").alias("cell"), F.col("__tokens").alias("tokens"))
-    marked = own.join(marks, "i").groupBy("domain", "cell").agg(F.count("*").alias("n"))
-    marked = written(marked.withColumns(levels_of(F.col("cell"))), "marked")
-    domains = sorted({*targets, *(r.domain for r in marked.select("domain").distinct().collect())})
-    cells = written(own.groupBy("cell").agg(F.sum("tokens").alias("t")).withColumns(levels_of(F.col("cell"))), "cells")
+def marked_domains(labels: DataFrame, id_col: str, domain: str) -> DataFrame:
+    return labels.select(F.col(id_col).alias("i"), F.expr(domain).alias("domain")).filter("i is not null and domain is not null")
+
+
+def domains_of(marks: DataFrame, targets: dict[str, float]) -> list[str]:
+    found = sorted({*targets, *(r.domain for r in marks.select("domain").distinct().limit(DOMAINS + 1).collect())})
+    if len(found) > DOMAINS:
+        raise ValueError(f"more than {DOMAINS} domains: {found}")
+    return found
+
+
+def cell_rates(documents: DataFrame, marks: DataFrame, domains: list[str], levels: dict[str, int], targets: dict[str, float], budget: float, steps: int, penalty: float) -> DataFrame:
+    """(__cell, mix_rate) from documents (i, tokens, cell)."""
+    marked = documents.join(marks, "i").groupBy("domain", "cell").agg(F.count("*").alias("n"))
+    marked = written(marked.withColumns(levels_of(F.col("cell"), levels)), "marked")
+    cells = written(documents.groupBy("cell").agg(F.sum("tokens").alias("t")).withColumns(levels_of(F.col("cell"), levels)), "cells")
     every = cells.agg(F.sum("t")).first()[0] or 0
     if not every or marked.isEmpty():
         return cells.select(F.col("cell").alias("__cell"), F.lit(1.0).alias("mix_rate"))
-    shares = written(posteriors(cells, marked, domains).select("cell", (F.col("t") / F.lit(float(every))).alias("w"), "p").coalesce(1), "shares")
+    shares = written(posteriors(cells, marked, domains, levels).select("cell", (F.col("t") / F.lit(float(every))).alias("w"), "p").coalesce(1), "shares")
     return fitted_rates(shares, domains, targets, budget, steps, penalty).select(F.col("cell").alias("__cell"), F.col("rate").alias("mix_rate"))
 
 
 def with_copies(documents: DataFrame, rates: DataFrame, id_col: str) -> DataFrame:
-    """documents with mix_tokens, mix_rate and mix_copies for their __tokens and __cell; rates have at most CELLS rows."""
+    """documents with mix_tokens, mix_rate and mix_copies for their __tokens and __cell; rates have a bounded number of rows."""
     chance = F.pmod(F.xxhash64(F.coalesce(F.col(id_col), F.lit(0))), F.lit(1 << 30)) / F.lit(float(1 << 30))
     out = documents.join(F.broadcast(rates), "__cell", "left")
     return out.withColumn("mix_copies", F.floor(F.col("mix_rate") + chance).cast("long")).withColumnRenamed("__tokens", "mix_tokens").drop("__cell")
 
 
-def document_rates(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
-    """One row per row of docs: the id, mix_tokens, mix_rate and mix_copies. Texts are read once."""
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    small = written(featured(base, "text", "lang").select("id", "__tokens", "__cell"), "features")
-    rates = cell_rates(small.withColumnRenamed("id", id_col), labels, id_col, **options)
+def fitted(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", domain: str = DOMAIN, targets: dict[str, float] = TARGETS, budget: float = 1.0, steps: int = STEPS, penalty: float = PENALTY
+) -> tuple[dict[str, list[str]], DataFrame, DataFrame]:
+    """The domains' terms, (id, __tokens, __cell) of each row of docs, and (__cell, mix_rate)."""
+    marks = marked_domains(labels, id_col, domain)
+    domains = domains_of(marks, targets)
+    base = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    terms = domain_terms(base.select("i", "text"), marks, domains)
+    small = written(featured(base, "text", "lang", terms).select("i", F.col("__tokens").alias("tokens"), F.col("__cell").alias("cell")), "features")
+    rates = cell_rates(small, marks, domains, levels_by_name(terms), targets, budget, steps, penalty)
+    return terms, small.select(F.col("i").alias("id"), F.col("tokens").alias("__tokens"), F.col("cell").alias("__cell")), rates
+
+
+def document_rates(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """One row per row of docs: id, mix_tokens, mix_rate and mix_copies."""
+    _, small, rates = fitted(docs, labels, **options)
     return with_copies(small, rates, "id").select("id", "mix_tokens", "mix_rate", "mix_copies")
 
 
 def mixed(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
     """The columns of docs (but for older mix_ columns) with mix_tokens, mix_rate and mix_copies."""
     docs = docs.drop("mix_tokens", "mix_rate", "mix_copies")
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    small = written(featured(base, "text", "lang").select(F.col("id").alias(id_col), "__tokens", "__cell"), "features")
-    return with_copies(featured(docs, text_col, lang_col), cell_rates(small, labels, id_col, **options), id_col)
+    terms, _, rates = fitted(docs, labels, id_col, text_col, lang_col, **options)
+    return with_copies(featured(docs, text_col, lang_col, terms), rates, id_col)

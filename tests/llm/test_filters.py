@@ -39,7 +39,7 @@ def toxic_rows(n=400):
 def test_toxicity_on_held_out_rows(spark):
     rows, labels = toxic_rows()
     df, marks = docs(spark, rows), spark.createDataFrame(labels[:200], "doc_id long, quality int, toxic int")
-    found = {r.id: r.rejected for r in toxicity.classify(df, marks).collect()}
+    found = {r.id: r.toxic for r in toxicity.classify(df, marks).collect()}
     held = labels[200:]
     assert sum(found[i] == bool(t) for i, _, t in held) >= 0.98 * len(held)
     assert not any(found[i] for i, _, t in held if not t)
@@ -60,7 +60,7 @@ def test_toxicity_of_odd_tables(spark):
     odd = docs(spark, [(None, None, None), (1, "", "en"), (1, "", "en"), (2, "vile foul " * 200_000, "en")])
     model = toxicity.learn(docs(spark, rows), marks)
     assert toxicity.kept(odd, model).count() <= 4 and toxicity.kept(odd, model).columns == odd.columns
-    assert toxicity.classify(odd, marks.limit(0)).filter("rejected").count() == 0
+    assert toxicity.classify(odd, marks.limit(0)).filter("toxic").count() == 0
     assert toxicity.classify(odd.limit(0), marks).count() == 0
 
 
@@ -208,5 +208,18 @@ def test_mixing_of_odd_tables(spark):
     assert {r.mix_tokens for r in mixing.mixed(odd, marks).collect()} == {0, 300_001}
 
 
+def test_terms_and_levels(spark):
+    rows, labels = toxic_rows(300)
+    marks = mixing.marked_domains(spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), "doc_id", mixing.DOMAIN)
+    terms = mixing.domain_terms(docs(spark, rows).select(F.col("doc_id").alias("i"), "text"), marks, ["good", "poor", "toxic"])
+    assert set(terms["toxic"]) == {"vile", "foul"} and terms["good"] == []
+    levels = mixing.levels_by_name(terms)
+    got = mixing.featured(docs(spark, [(1, "VILE and foul!", "en"), (2, "vile", "en"), (3, "evile", "en")]), "text", "lang", terms)
+    found = {r.doc_id: r.f_terms_2 for r in got.withColumns(mixing.levels_of(F.col("__cell"), levels)).collect()}
+    assert found == {1: 2, 2: 1, 3: 0}
+    with pytest.raises(ValueError, match="domains"):
+        mixing.domains_of(marks, {str(i): 0.1 for i in range(6)})
+
+
 def test_cells_are_numbered_apart():
     assert mixing.CELLS == np.prod(list(mixing.LEVELS.values()))
