@@ -202,7 +202,7 @@ ROW = ["__null", "__row", "__key"]  # tells rows by id and text, with no nulls,
 
 
 def text_key(text_col: str) -> Column:
-    return F.unhex(F.md5(F.encode(F.col(text_col).cast("string"), "UTF-8")))
+    return F.unhex(F.md5(F.col(text_col).cast("string").cast("binary")))
 
 
 def row_keys(df: DataFrame, id_col: str = "id", key_col: str = "key") -> DataFrame:

@@ -120,7 +120,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     store, at = fs.FileSystem.from_uri(folder)
     store.create_dir(at)
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.lit(1).alias("tag"), F.unhex(F.sha1(F.encode(payload, "UTF-8"))).alias("digest"), F.lit(None).cast("long").alias("refers_to"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
+    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.lit(1).alias("tag"), F.unhex(F.sha1(payload.cast("binary"))).alias("digest"), F.lit(None).cast("long").alias("refers_to"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     digests = rows.select("id", "digest")
     first = digests.groupBy("digest").agg(F.min("id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1 and refers_to is not null").select("digest", "refers_to")
     marks = digests.distinct().join(first, "digest").filter("id is null or id > refers_to")
