@@ -77,16 +77,20 @@ def group_statistics(
 
     The fraction of a record is always one over its number of frontiers. Ties for the most cited go to the least id.
     """
-    total = records.agg(F.count("*").alias("catalog"))
     kind = dict(records.select(group.alias("g")).dtypes)["g"]
+    own = F.array_distinct(group) if kind.startswith("array") else F.array(group)
+    # every record is also in the group of all, so that the catalog is counted in the same pass
+    everyone = F.array(F.struct(F.lit(True).alias("all"), F.lit(None).cast(kind.removeprefix("array<").removesuffix(">")).alias("group")))
+    members = F.concat(F.transform(own, lambda g: F.struct(F.lit(False).alias("all"), g.alias("group"))), everyone)
     rows = records.select(
-        (F.explode(F.array_distinct(group)) if kind.startswith("array") else group).alias("group"), shares(frontiers).alias("w"), F.col(citations).alias("c"), F.col(velocity).alias("y"), F.col(title).alias("t"), F.col(record_id).alias("i")
-    )
+        F.explode(F.coalesce(members, everyone)).alias("m"),
+        shares(frontiers).alias("w"), F.col(citations).alias("c"), F.col(velocity).alias("y"), F.col(title).alias("t"), F.col(record_id).alias("i"),
+    ).select("m.*", "w", "c", "y", "t", "i")
     first = F.min_by(F.struct("t", "i", "c"), F.when(F.col("c").isNotNull(), F.struct((-F.col("c")).alias("c"), "i")))
-    out = rows.groupBy("group").agg(
+    out = rows.groupBy("all", "group").agg(
         F.count("*").alias("paper_count"), F.sum("w").alias("fractional_paper_count"), F.count("c").alias("citable_paper_count"), F.sum("c").alias("total_citations"),
         F.avg("c").alias("mean_citations"), F.median("c").alias("median_citations"), F.avg("y").alias("mean_citations_per_year"), first.alias("top"),
-    ).crossJoin(F.broadcast(total))
+    ).withColumn("catalog", F.max(F.when(F.col("all"), F.col("paper_count"))).over(Window.partitionBy())).filter(~F.col("all"))
     return out.select(
         "group", "paper_count", (F.col("paper_count") / F.col("catalog")).alias("share_of_catalog"), "fractional_paper_count", "citable_paper_count",
         (F.col("citable_paper_count") / F.col("paper_count")).alias("citation_coverage"), F.coalesce("total_citations", F.lit(0)).alias("total_citations"), "mean_citations", "median_citations",
