@@ -86,7 +86,7 @@ def fit_chain(lists: list[np.ndarray], labels: np.ndarray, features: int = FEATU
     n, kinds = labels.shape
     if not n:
         return {"ids": np.empty(0, np.int64), "weights": []}
-    rows = np.repeat(np.arange(n), [len(x) for x in lists])
+    rows = np.repeat(np.arange(n, dtype=np.int32), [len(x) for x in lists])
     names, cols = np.unique(np.concatenate(lists), return_inverse=True)
     seen = np.bincount(cols, minlength=len(names))
     best = np.zeros(len(names))
@@ -118,15 +118,25 @@ def fit_chain(lists: list[np.ndarray], labels: np.ndarray, features: int = FEATU
     return {"ids": names[chosen], "weights": weights}
 
 
+def rows_of(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The lists of a column, as views of its buffers."""
+    out = []
+    for chunk in column.chunks:
+        offsets, values = np.asarray(chunk.offsets), np.asarray(chunk.values)
+        out += [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    return out
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", chain: dict[str, str] = CHAIN, sample_rows: int = SAMPLE, features: int = FEATURES) -> dict:
     marks = labels.select(F.col(id_col).alias("i"), F.array(*[F.expr(x).cast("int") for x in chain.values()]).alias("y"))
     marks = marks.filter(F.col("i").isNotNull() & ~F.exists("y", lambda v: v.isNull()))
     first = marks.withColumn("h", F.xxhash64("i")).orderBy("h", "i", "y").limit(sample_rows).select("i", "y")
     texts = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("text"))
     got = mapped(texts.join(F.broadcast(first), "i").select("text", "y"), _collected, "ids array<int>, y array<int>").toArrow()
-    lists = [np.asarray(x, dtype=np.int64) for x in got.column("ids").to_pylist()]
+    lists, marks = rows_of(got.column("ids")), rows_of(got.column("y"))
+    del got
     order = sorted(range(len(lists)), key=lambda i: (len(lists[i]), lists[i].tobytes()))  # rows arrive in any order
-    marks = np.array(got.column("y").to_pylist(), dtype=np.int64).reshape(len(lists), len(chain))
+    marks = np.array(marks, dtype=np.int64).reshape(len(lists), len(chain))
     return fit_chain([lists[i] for i in order], marks[order], features) | {"names": list(chain)}
 
 
@@ -174,11 +184,11 @@ def probabilities(docs: DataFrame, model: dict, text_col: str = "text") -> Colum
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, **options) -> DataFrame:
-    """One row per row of docs: id, p_<category> of each, and rejected (the last category reaches the threshold)."""
+    """One row per row of docs: id, p_<category> of each, and the last category as a boolean (its probability reaches the threshold)."""
     model = learn(docs, labels, id_col, text_col, **options)
     names = model["names"]
     found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("p", probabilities(docs, model))
-    return found.select("id", *[F.col("p")[x].alias(f"p_{x}") for x in names], (F.col("p")[names[-1]] >= threshold).alias("rejected"))
+    return found.select("id", *[F.col("p")[x].alias(f"p_{x}") for x in names], (F.col("p")[names[-1]] >= threshold).alias(names[-1]))
 
 
 def kept(docs: DataFrame, model: dict, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
