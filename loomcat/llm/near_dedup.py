@@ -34,7 +34,7 @@ from loomcat.llm.words import bag_overlap, shingles, weighted_overlap, word_hash
 BANDS, ROWS = 42, 6  # at similarity 0.8 a pair shares no band with probability 3e-6
 THRESHOLD = 0.8
 MARGIN = 0.1  # four deviations of the estimate from a signature: closer pairs are verified
-BLOCK = 256
+BLOCK, BLOCK_WORDS = 256, 1 << 20  # members and words that a block has on average at most
 
 TICKS = 2.0**34
 
@@ -232,7 +232,7 @@ def near_duplicates(
     signed = mapped(base.filter("text is not null"), _signed(bands, rows), "id long, key binary, n long, sign binary, bands array<long>")
     reps = written(signed.groupBy("key").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.any_value("sign").alias("sign"), F.any_value("bands").alias("bands")), "reps")
 
-    members = reps.select("key", F.explode("bands").alias("bucket"))
+    members = reps.select("key", F.col("n").alias("words"), F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("key").alias("hub"), F.max("key").alias("last")).filter("hub <> last").select("bucket", "hub")
     shared = written(members.join(shared, "bucket"), "buckets")
 
@@ -251,12 +251,19 @@ def near_duplicates(
     links = written(mapped(pairs, _verified(threshold), "a binary, b binary"), "links")
     labels = components(links)
 
-    named = shared.join(labels, "key", "left").select("bucket", "key", F.coalesce("label", "key").alias("label"))
-    mixed = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).filter("low <> high and size > 2")
-    split = written(named.join(mixed.select("bucket", F.ceil(F.col("size") / BLOCK).alias("blocks")), "bucket"), "mixed")
+    named = shared.join(labels, "key", "left").select("bucket", "key", "words", F.coalesce("label", "key").alias("label"))
+    sizes = named.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.sum("words").alias("w"))
+    most = F.max_by(F.struct("label", "n", "w"), F.struct("n", "label"))
+    mixed = sizes.groupBy("bucket").agg(most.alias("m"), F.sum("n").alias("n"), F.sum("w").alias("w"), F.count("*").alias("labels")).filter("labels > 1 and n > 2")
+    blocks = lambda n, w: F.ceil(F.greatest(n / BLOCK, w / BLOCK_WORDS))
+    blocks = mixed.select("bucket", F.col("m.label").alias("most"), blocks(F.col("n") - F.col("m.n"), F.col("w") - F.col("m.w")).alias("few"), blocks(F.col("m.n"), F.col("m.w")).alias("many"))
+    split = written(named.drop("words").join(blocks, "bucket"), "mixed")
     if not split.isEmpty():
+        # blocks 0 to few - 1 have the smaller classes; a bucket's largest class needs no comparison with itself
         split = split.join(reps.select("key", "sign", "bands"), "key").join(texts_of(split.select("key").distinct()), "key")
-        split = split.withColumn("block", F.pmod(F.xxhash64("key"), "blocks")).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        rest = F.col("label") != F.col("most")
+        split = split.withColumn("block", F.when(rest, F.pmod(F.xxhash64("key"), "few")).otherwise(F.col("few") + F.pmod(F.xxhash64("key"), "many")))
+        split = split.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.when(rest, F.col("few") + F.col("many")).otherwise(F.col("few")) - 1)))
         split = split.select("bucket", "key", "label", "sign", "bands", "text", "block", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"))
         more = written(split.groupBy("bucket", "one", "two").applyInPandas(_joined(threshold - margin, threshold), "a binary, b binary").distinct(), "links")
         if not more.isEmpty():
