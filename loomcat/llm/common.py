@@ -63,7 +63,7 @@ def own_columns(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
-def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: int, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose texts have about `size` bytes, or one row that is longer."""
     if not batch.num_rows:
         return
@@ -73,6 +73,7 @@ def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [batch.num_rows]])
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         yield batch.slice(int(a), int(b - a))
+    pa.default_memory_pool().release_unused()  # a worker is kept, and what it doesn't use is not
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
