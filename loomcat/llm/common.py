@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -63,6 +65,13 @@ def own_columns(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: Python workers live on between stages, beside their executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: int, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose texts have about `size` bytes, or one row that is longer."""
     if not batch.num_rows:
@@ -73,7 +82,7 @@ def slices(batch: pa.RecordBatch, column: int, size: int = 2 << 20) -> Iterator[
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [batch.num_rows]])
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         yield batch.slice(int(a), int(b - a))
-    pa.default_memory_pool().release_unused()  # a worker is kept, and what it doesn't use is not
+    give_back()
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

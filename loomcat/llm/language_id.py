@@ -14,7 +14,6 @@ learned from and are not held out.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Callable
 
 import numpy as np

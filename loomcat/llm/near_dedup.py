@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from loomcat.llm.common import mapped, mix64, own_columns, slices, written
 from loomcat.llm.words import bag_overlap, shingles, weighted_overlap, word_hashes
 
-
 BANDS, ROWS = 42, 6  # at similarity 0.8 a pair shares no band with probability 3e-6
 THRESHOLD = 0.8
 MARGIN = 0.1  # four deviations of the estimate from a signature: closer pairs are verified
