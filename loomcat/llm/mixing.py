@@ -175,26 +175,26 @@ def with_copies(documents: DataFrame, rates: DataFrame, id_col: str) -> DataFram
 
 
 def fitted(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", domain: str = DOMAIN, targets: dict[str, float] = TARGETS, budget: float = 1.0, steps: int = STEPS, penalty: float = PENALTY
-) -> tuple[dict[str, list[str]], DataFrame, DataFrame]:
-    """The domains' terms, (id, __tokens, __cell) of each row of docs, and (__cell, mix_rate)."""
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", domain: str = DOMAIN, targets: dict[str, float] = TARGETS, budget: float = 1.0, steps: int = STEPS,
+    penalty: float = PENALTY, keep: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """docs with __tokens and __cell, stored so that texts are gone through once, and (__cell, mix_rate). keep: with all columns of docs, else with the id alone."""
     marks = marked_domains(labels, id_col, domain)
     domains = domains_of(marks, targets)
-    base = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    terms = domain_terms(base.select("i", "text"), marks, domains)
-    small = written(featured(base, "text", "lang", terms).select("i", F.col("__tokens").alias("tokens"), F.col("__cell").alias("cell")), "features")
-    rates = cell_rates(small, marks, domains, levels_by_name(terms), targets, budget, steps, penalty)
-    return terms, small.select(F.col("i").alias("id"), F.col("tokens").alias("__tokens"), F.col("cell").alias("__cell")), rates
+    terms = domain_terms(docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("text")), marks, domains)
+    told = featured(docs, text_col, lang_col, terms)
+    told = written(told if keep else told.select(id_col, "__tokens", "__cell"), "features")
+    small = told.select(F.col(id_col).alias("i"), F.col("__tokens").alias("tokens"), F.col("__cell").alias("cell"))
+    return told, cell_rates(small, marks, domains, levels_by_name(terms), targets, budget, steps, penalty)
 
 
-def document_rates(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+def document_rates(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """One row per row of docs: id, mix_tokens, mix_rate and mix_copies."""
-    _, small, rates = fitted(docs, labels, **options)
-    return with_copies(small, rates, "id").select("id", "mix_tokens", "mix_rate", "mix_copies")
+    told, rates = fitted(docs, labels, id_col, **options)
+    return with_copies(told, rates, id_col).select(F.col(id_col).alias("id"), "mix_tokens", "mix_rate", "mix_copies")
 
 
-def mixed(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
+def mixed(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The columns of docs (but for older mix_ columns) with mix_tokens, mix_rate and mix_copies."""
-    docs = docs.drop("mix_tokens", "mix_rate", "mix_copies")
-    terms, _, rates = fitted(docs, labels, id_col, text_col, lang_col, **options)
-    return with_copies(featured(docs, text_col, lang_col, terms), rates, id_col)
+    told, rates = fitted(docs.drop("mix_tokens", "mix_rate", "mix_copies"), labels, id_col, keep=True, **options)
+    return with_copies(told, rates, id_col)
