@@ -226,7 +226,7 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, margin: float = MARGIN
 ) -> DataFrame:
-    """One row per row of docs: id, class_id, and key, by which equal texts are told."""
+    """One row per row of docs: id, class_id, key, by which equal texts are told, and label, by which classes are told (null for a null text)."""
     base = docs.select(F.col(id_col).cast("long").alias("id"), text_key(text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     signed = mapped(base.filter("text is not null"), _signed(bands, rows), "id long, key binary, n long, sign binary, bands array<long>")
     reps = written(signed.groupBy("key").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.any_value("sign").alias("sign"), F.any_value("bands").alias("bands")), "reps")
@@ -270,15 +270,16 @@ def near_duplicates(
 
     classes = reps.join(labels, "key", "left").select("key", "id", F.coalesce("label", "key").alias("label"))
     least = classes.groupBy("label").agg(F.min("id").alias("class_id"))
-    classes = classes.join(least, "label").select("key", "class_id")
-    return base.select("id", "key").join(classes, "key", "left").select("id", F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), "key")
+    classes = classes.join(least, "label").select("key", "class_id", "label")
+    return base.select("id", "key").join(classes, "key", "left").select("id", F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), "key", "label")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of docs, with one row of each class: that with the class's least id (any one of its repeats)."""
     found = near_duplicates(docs, id_col, text_col, **options)
     least = lambda c: F.min(F.struct(F.col("id").isNull(), "id", "key")).alias(c)
-    kept = found.filter("key is not null").groupBy("class_id").agg(least("r")).select("r.id", "r.key")
+    # by label: a class_id is null for all classes without an id, and may be that of several classes if ids repeat
+    kept = found.filter("key is not null").groupBy("label").agg(least("r")).select("r.id", "r.key")
     tagged = row_keys(docs.withColumns({"__id": F.col(id_col).cast("long"), "__text_key": text_key(text_col)}), "__id", "__text_key")
     once = tagged.filter(F.col("__text_key").isNotNull()).join(row_keys(kept).select(*ROW), ROW, "left_semi").dropDuplicates(ROW)
     return once.unionByName(tagged.filter(F.col("__text_key").isNull())).select(*own_columns(docs))

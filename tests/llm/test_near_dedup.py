@@ -90,6 +90,15 @@ def test_one_of_each_keeps_columns_and_null_texts(spark):
     assert got == wanted
 
 
+def test_one_of_each_keeps_a_row_of_every_class_whatever_its_ids(spark):
+    """Different texts with null ids, and different texts under one repeated id."""
+    other = "six other words for this text"
+    rows = [(None, "a b c d e f"), (None, "g h i j k l"), (None, "g h i j k l"), (7, "m n o p q r"), (7, other), (7, other), (8, other), (None, None), (None, None)]
+    df = spark.createDataFrame([(i, t, "k", 1) for i, t in rows], SCHEMA)
+    kept = [(r.doc_id, r.text) for r in near_dedup.one_of_each(df).collect()]
+    assert collections.Counter(kept) == collections.Counter([(None, "a b c d e f"), (None, "g h i j k l"), (7, "m n o p q r"), (7, other), (None, None), (None, None)])
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(None, None), (None, "a"), (None, "a")]])
 def test_empty_and_null_tables(spark, rows):
     df = spark.createDataFrame([(i, t, "k", 1) for i, t in rows], SCHEMA)
