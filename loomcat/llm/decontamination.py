@@ -1,12 +1,14 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index blocks, exact check.
 
-A window of a document has as many words as a benchmark item. A window's fingerprint has 64
+A window of a document has as many words as a benchmark item; for an item that is longer than the
+document, the whole document is the one window. A window's fingerprint has 64
 signs of the summed hashes of its five-word shingles. The items' fingerprints are indexed by
 four blocks of 16 bits; a window looks up all values within `radius // 4` bits of each of its
 blocks, so that by the pigeonhole principle every item within `radius` bits is found. What is
 found is verified: the overlap of the two shingle multisets must reach `threshold`.
 A window of n shingles can reach it only if at least 2tn / (1 + t) of them occur in items of
-its size; other windows are not fingerprinted, which loses nothing.
+its size; other windows are not fingerprinted, which loses nothing. A whole document is not
+fingerprinted: it is verified against all longer items that share enough of its shingles.
 
 Items go to the executors in parts of a bounded number of bytes and of at most 64 sizes.
 
@@ -72,6 +74,13 @@ class Index:
                 marks[x] = marks.get(x, 0) | bit
         self.shingles = np.array(sorted(marks), dtype=np.uint64)
         self.marks = np.array([marks[x] for x in sorted(marks)], dtype=np.uint64)
+        flat, item = np.concatenate([*self.runs, np.empty(0, dtype=np.uint64)]), np.repeat(np.arange(len(self.runs), dtype=np.int32), self.sizes)
+        order = np.lexsort((item, flat))
+        flat, item = flat[order], item[order]
+        new = np.ones(len(flat), dtype=bool)
+        new[1:] = (flat[1:] != flat[:-1]) | (item[1:] != item[:-1])
+        self.holders = item[new]  # the items of each shingle, in the order of shingles
+        self.holds = np.append(np.searchsorted(flat[new], self.shingles), len(self.holders))
         self.filter = np.zeros(FILTER, dtype=bool)
         self.filter[self.shingles % np.uint64(FILTER)] = True
 
@@ -89,8 +98,8 @@ class Index:
                         found.add((int(w), int(item)))
         return sorted(found)
 
-    def matches(self, texts: pa.Array) -> Iterator[tuple[int, int, int, float]]:
-        """(text, item, first word, similarity) of all windows that reach the threshold."""
+    def matches(self, texts: pa.Array) -> Iterator[tuple[int, int, int, int, float]]:
+        """(text, item, first word, words, similarity) of all windows that reach the threshold."""
         if not self.ids:
             return
         words, starts, _ = word_hashes(texts)
@@ -99,12 +108,14 @@ class Index:
         at = np.searchsorted(self.shingles, runs[maybe])
         at[at == len(self.shingles)] = 0
         same = self.shingles[at] == runs[maybe]
-        hits, marks = maybe[same], self.marks[at[same]]
+        hits, spots = maybe[same], at[same]
+        marks = self.marks[spots]
         owner = np.searchsorted(begin, hits, side="right") - 1
         for text in np.unique(owner):
             own = owner == text
             place, mark = hits[own] - begin[text], marks[own]
             items = runs[begin[text] : begin[text + 1]]
+            yield from self._whole(int(text), items, spots[own])
             for k, size in enumerate(self.lengths):
                 has = place[(mark >> np.uint64(k)) & np.uint64(1) == 1]
                 need = int(np.ceil(2 * self.threshold * size / (1 + self.threshold) - 1e-9))
@@ -116,7 +127,21 @@ class Index:
                 windows = np.flatnonzero(sums[size:] - sums[: len(sums) - size] >= need)
                 yield from self._checked(int(text), items, windows, int(size))
 
-    def _checked(self, text: int, items: np.ndarray, windows: np.ndarray, size: int) -> Iterator[tuple[int, int, int, float]]:
+    def _whole(self, text: int, items: np.ndarray, spots: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+        """Matches of the whole text with longer items, of which it must hold t (n + m) / (1 + t) shingles."""
+        need = self.threshold * (self.sizes + len(items)) / (1 + self.threshold) - 1e-9
+        longer = (self.sizes > len(items)) & (need <= len(spots))
+        if not longer.any():
+            return
+        shared = np.zeros(len(self.sizes), dtype=np.int64)
+        for spot, n in zip(*np.unique(spots, return_counts=True), strict=True):
+            shared[self.holders[self.holds[spot] : self.holds[spot + 1]]] += n
+        for item in np.flatnonzero(longer & (shared >= need)):
+            score = weighted_overlap(items, self.runs[item])
+            if score >= self.threshold:
+                yield text, int(item), 0, len(items) + SHINGLE - 1, score
+
+    def _checked(self, text: int, items: np.ndarray, windows: np.ndarray, size: int) -> Iterator[tuple[int, int, int, int, float]]:
         while len(windows):
             base = windows[0]
             part = windows[windows < base + REGION]
@@ -127,7 +152,7 @@ class Index:
                     first = int(part[i + w])
                     score = weighted_overlap(items[first : first + size], self.runs[item])
                     if score >= self.threshold:
-                        yield text, item, first, score
+                        yield text, item, first, size + SHINGLE - 1, score
 
 
 def indexes(benchmark: DataFrame, id_col: str, text_col: str, threshold: float, radius: int) -> Iterator[Index]:
@@ -158,8 +183,8 @@ def _found(sent, id_type: pa.DataType) -> Callable:
                         part.column(0).take(pa.array([r[0] for r in rows], pa.int64())),
                         pa.array([index.ids[r[1]] for r in rows], pa.int64()),
                         pa.array([r[2] for r in rows], pa.int64()),
-                        pa.array([int(index.sizes[r[1]]) + SHINGLE - 1 for r in rows], pa.int64()),
-                        pa.array([r[3] for r in rows], pa.float64()),
+                        pa.array([r[3] for r in rows], pa.int64()),
+                        pa.array([r[4] for r in rows], pa.float64()),
                     ],
                     ["id", "item_id", "first_word", "n_words", "similarity"],
                 )

@@ -136,6 +136,34 @@ def test_contaminations_equal_brute_force(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, _, _ in rows if i not in {k[0] for k in wanted})
 
 
+def test_documents_shorter_than_an_item_equal_brute_force(spark):
+    """Items less some words at an end, against longer items: the whole document is the window."""
+    rng = random.Random(12)
+    items = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(n))) for i, n in enumerate([9, 10, 14, 40, 40, 90])]
+    items += [(6, items[3][1] + " more"), (7, " ".join(["again and"] * 20))]
+    rows = []
+    for _, item in items:
+        words = item.split()
+        for cut in range(len(words)):
+            rows += [(len(rows), " ".join(words[: len(words) - cut])), (len(rows) + 1, " ".join(words[cut:]))]
+        changed = words[:-2]
+        changed[3] = "changed"
+        rows.append((len(rows), " ".join(changed)))
+    wanted = {}
+    for i, text in rows:
+        for k, item in items:
+            n, a, b = len(text.split()), bag(text), bag(item)
+            if n >= 5 and n < len(item.split()) and (score := sum((a & b).values()) / sum((a | b).values())) >= 0.8:
+                wanted[(i, k)] = (0, n, round(score, 9), 1)
+    df, frame = docs(spark, [(i, t, "en") for i, t in rows]), spark.createDataFrame(items, "item_id long, text string")
+    size = {k: len(t.split()) for k, t in items}
+    got = decontamination.contaminations(df, frame).collect()
+    assert {(r.id, r.item_id): (r.first_word, r.n_words, round(r.similarity, 9), r.n_windows) for r in got if len(rows[r.id][1].split()) < size[r.item_id]} == wanted
+    assert len(wanted) > 40 and any(len(items[3][1].split()) - 1 == w[1] for (_, k), w in wanted.items() if k == 3)
+    left = {r.doc_id for r in decontamination.kept(df, frame).collect()}
+    assert not left & {i for i, _ in wanted} and left == {i for i, _ in rows} - {r.id for r in got}
+
+
 def test_fingerprints_within_the_radius_are_all_found():
     rng = np.random.default_rng(1)
     texts = [" ".join(f"a{x}" for x in rng.integers(0, 10**6, 20)) for _ in range(40)]
