@@ -1,6 +1,7 @@
 """Licence scan by canonical digests. Native: DataFrame and SQL functions only.
 
-A text is made canonical: lower case; copyright lines and lines that only reserve all rights
+A text is made canonical: lower case; copyright notices (lines that begin with copyright or (c), but not
+with words that follow it within a known text, as in "copyright notice") and lines that only reserve all rights
 go; hyphens and apostrophes go, other punctuation and white space become one space;
 equivalent spellings become one. The SHA-256 of the whole canonical text is hash-joined to the digests of
 the known licences. So is that of each line of a text, which finds licence notices that are a line of their own.
@@ -16,6 +17,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,23 +88,50 @@ LICENSES = [
     ("CC0-1.0", "Licensed under CC0 1.0."),
 ]
 
+TEXTS = Path(__file__).with_name("license_texts")  # full texts, a file for each licence id
+END = "END OF TERMS AND CONDITIONS"
+
+# The SQL's pattern; it also takes lines of a text's body that begin with copyright or (c).
 COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright\b|\(c\)|©)[^\n]*$"
 RESERVED = r"(?m)^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
 JOINED = r"['’‘`\-‐‑–—]+"
 OTHER = r"[^\p{L}\p{N}\n]+"
 
 
+@cache
+def full_texts() -> list[tuple[str, str]]:
+    """Licence ids and texts of the files, also without what follows their terms."""
+    out = []
+    for f in sorted(TEXTS.glob("*.txt")):
+        text = f.read_text(encoding="utf-8")
+        out.append((f.stem, text))
+        if END in text:
+            out.append((f.stem, text[: text.index(END) + len(END)]))
+    return out
+
+
+@cache
+def notice(mark: str = r"[^\p{L}\p{N}\n]") -> str:
+    """The pattern of lines that are a copyright notice: what follows copyright or (c) within known texts is none. mark: what may stand before."""
+    after: dict[str, set[str]] = {"copyright": set(), "(c)": set()}
+    for _, text in [*LICENSES, *full_texts()]:
+        for start, word in re.findall(r"(copyright|\(c\))[,;.]?\s+([a-z]+)", text.lower()):
+            after[start].add(word)
+    body = lambda x: r"(?![,;.]?[ \t]*(?:$|[ \t](?:" + "|".join(sorted(after[x])) + r")\b))"
+    return r"(?m)^" + mark + r"*(?:copyright\b" + body("copyright") + r"|\(c\)" + body("(c)") + r"|©)[^\n]*$"
+
+
 def canonical(text: str) -> str:
     """The canonical form of a known text, in Python; documents get theirs from the columns below."""
-    text = re.sub(r"(?m)^[\W_]*(?:copyright\b|\(c\)|©).*$|^[\W_]*all rights reserved[\W_]*$", "", text.lower())
+    text = re.sub(notice(r"(?:(?!\n)[\W_])") + r"|^[\W_]*all rights reserved[\W_]*$", "", text.lower())
     words = re.sub(r"[\W_]+", " ", re.sub(JOINED, "", text)).split()
     return " ".join(SPELLINGS.get(w, w) for w in words)
 
 
-def known() -> list[tuple[str, str, int]]:
+def known(texts: list[tuple[str, str]] = LICENSES) -> list[tuple[str, str, int]]:
     """(license_id, digest, words) of each known text, once for each digest."""
     found = {}
-    for name, text in LICENSES:
+    for name, text in texts:
         c = canonical(text)
         found[hashlib.sha256(c.encode()).hexdigest()] = (name, c.count(" ") + 1)
     return [(n, d, k) for d, (n, k) in sorted(found.items())]
@@ -109,8 +139,9 @@ def known() -> list[tuple[str, str, int]]:
 
 def bared(text: Column) -> Column:
     """Canonical but for spellings, with its lines."""
-    for pattern, to in ((COPYRIGHT, ""), (RESERVED, ""), (JOINED, ""), (OTHER, " ")):
-        text = F.regexp_replace(text if pattern is not COPYRIGHT else F.lower(text), pattern, to)
+    text = F.lower(text)
+    for pattern, to in ((notice(), ""), (RESERVED, ""), (JOINED, ""), (OTHER, " ")):
+        text = F.regexp_replace(text, pattern, to)
     return text
 
 
@@ -122,7 +153,7 @@ def digest(line: Column) -> Column:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, scope (document or line), license_id, digest of what matches."""
-    rows = known()
+    rows = known([*LICENSES, *full_texts()])
     table = docs.sparkSession.createDataFrame(rows, "license_id string, digest string, words int").select("license_id", "digest")
     counts = sorted({r[2] for r in rows})
     size = lambda c: F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit(""))) + 1

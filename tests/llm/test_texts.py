@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import textwrap
 
 import duckdb
 import numpy as np
@@ -51,6 +52,23 @@ def test_scan_equals_sql(spark):
     assert {(r.id, r.scope, r.license_id, r.digest) for r in license_scan.scan(df).collect()} == {(None if x[0] is None or x[0] != x[0] else int(x[0]), x[1], x[2], x[3]) for x in wanted}
 
 
+def wrapped(text, width):
+    return "\n".join(textwrap.fill(line, width, break_long_words=False, break_on_hyphens=False) for line in text.split("\n"))
+
+
+def test_hard_wrapped_and_full_texts(spark):
+    """A body line that begins with copyright or (c) is no notice; notices go, also those of a holder alone."""
+    files = {f.stem: f.read_text() for f in license_scan.TEXTS.glob("*.txt")}
+    isc = "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n\n" + license_scan._ISC_AS_IS
+    rows = [("ISC", "ISC License\n\nCopyright (c) 2004-2010 by Somebody, Inc.\nCopyright Somebody\n(c) Acme\n© Acme\n\n" + isc)]
+    for width in range(30, 100, 7):
+        rows += [(name, wrapped("Copyright (c) 2020 Somebody\n" + text, width)) for name, text in license_scan.LICENSES if len(text) > 200]
+    rows += list(files.items()) + [(name, "Copyright 2020 Acme\n" + text[: text.index(license_scan.END)] + license_scan.END) for name, text in files.items() if license_scan.END in text]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {(r.id, r.license_id) for r in license_scan.scan(df).filter("scope = 'document'").collect()}
+    assert got == {(i, name) for i, (name, _) in enumerate(rows)} and {"Apache-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense"} == set(files)
+
+
 def test_known_texts_are_told_apart():
     assert len({d for _, d, _ in license_scan.known()}) == len(license_scan.known()) == len(license_scan.LICENSES)
 
