@@ -32,7 +32,7 @@ from loomcat.llm.words import bag_overlap, shingles, weighted_overlap, word_hash
 
 BANDS, ROWS = 42, 6  # at similarity 0.8 a pair shares no band with probability 3e-6
 THRESHOLD = 0.8
-MARGIN = 0.1  # four deviations of the estimate from a signature: closer pairs are verified
+MARGIN = 0.13  # five deviations of the estimate from a signature: closer pairs are verified, a pair at 0.8 is not with probability 5e-7
 BLOCK, BLOCK_WORDS = 256, 1 << 20  # members and words that a block has on average at most
 
 TICKS = 2.0**34

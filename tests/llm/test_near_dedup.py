@@ -1,6 +1,7 @@
 """Near-duplicate classes against brute force."""
 
 import collections
+import math
 import random
 
 import pytest
@@ -106,6 +107,13 @@ def test_empty_and_null_tables(spark, rows):
     assert near_dedup.one_of_each(df).count() == len({t for _, t in rows if t is not None}) + sum(t is None for _, t in rows)
 
 
+def test_signatures_lose_fewer_pairs_than_bands():
+    """For a pair just at the threshold, the chance that too few components agree is below that of no common band."""
+    n, p = near_dedup.BANDS * near_dedup.ROWS, near_dedup.THRESHOLD
+    few = [k for k in range(n) if k / n < p - near_dedup.MARGIN]
+    assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in few) < (1 - p**near_dedup.ROWS) ** near_dedup.BANDS
+
+
 def test_long_texts(spark):
     long = "word " * 300_000
     df = spark.createDataFrame([(1, long, "k", 1), (2, long + "end", "k", 1), (3, "x" * 2_000_000, "k", 1)], SCHEMA)
