@@ -282,6 +282,20 @@ def w04_w05_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.ranking(t(spark, sf_dir, "documents").select("doc_id", "n_chars"), [F.desc("n_chars"), F.asc("doc_id")], 20)
 
 
+@query("""select record_id, row_number() over (order by citation_count desc nulls last, record_id) as by_citations, row_number() over (order by citations_per_year desc nulls last, record_id) as by_velocity,
+    row_number() over (order by proxy desc nulls last, record_id) as by_proxy from records left join (
+    select record_id, round(100 * (0.7::double * (a.l + 0.5::double * a.e) / n + 0.3::double * (b.l + 0.5::double * b.e) / n), 6) as proxy from (
+        select record_id, citation_count as x, citations_per_year as y, count(*) over () as n from records where citation_count is not null) c
+        join (select x, sum(e) over (order by x) - e as l, e from (select citation_count as x, count(*) as e from records where citation_count is not null group by 1)) a on a.x = c.x
+        join (select y, sum(e) over (order by y) - e as l, e from (select citations_per_year as y, count(*) as e from records where citation_count is not null group by 1)) b on b.y = c.y) using (record_id)""", I.RECORDS_SQL)
+def w04_rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = I.records(spark, sf_dir).select("record_id", "citation_count", "citations_per_year")
+    out = stats.impact_proxy(rows, "citation_count", "citations_per_year", "proxy").withColumn("proxy", r("proxy"))
+    for by, to in (("citation_count", "by_citations"), ("citations_per_year", "by_velocity"), ("proxy", "by_proxy")):
+        out = ordering.numbered(out, [F.desc_nulls_last(by), F.col("record_id")], to).drop("of")
+    return out.select("record_id", "by_citations", "by_velocity", "by_proxy")
+
+
 @query("select event_id, request_id, new_status, lag(new_status) over (partition by request_id order by occurred_at, event_id) as previous_status from log", I.LOG_SQL)
 def w07_previous_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return workflow.with_previous(I.log(spark, sf_dir)).select("event_id", "request_id", "new_status", "previous_status")
