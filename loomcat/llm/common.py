@@ -7,7 +7,7 @@ import ctypes
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -20,10 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+HEAVY_ROWS, HEAVY_KEYS, SALTS = 512, 1024, 64  # keys with so many rows, and at most so many keys, are dealt over so many salts
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
+    """The folder that driver and executors share. Only a session in one process gets a folder of our own if it names none."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='loomcat-')}"
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -65,6 +70,35 @@ def own_columns(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
+def fresh(names: Iterable[str], *frames: DataFrame) -> list[str]:
+    """Column names like the given ones that no frame has, whatever the case."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    out = []
+    for name in names:
+        own, k = f"__{name}", 0
+        while own.lower() in taken:
+            own, k = f"__{name}_{k}", k + 1
+        taken.add(own.lower())
+        out.append(own)
+    return out
+
+
+def spread_join(rows: DataFrame, facts: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """rows joined (inner or left) with facts on one column of the same name; facts have a row for each key.
+
+    The keys with most rows (HEAVY_KEYS at most, of HEAVY_ROWS rows at least) are dealt over SALTS tasks each, and their
+    facts are repeated for each salt: fewer copies than an eighth of the rows. The list of heavy keys is broadcast;
+    it has a bounded number of rows.
+    """
+    hot, salt = fresh(["hot", "salt"], rows, facts)
+    heavy = rows.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") >= HEAVY_ROWS).orderBy(F.desc("n"), key).limit(HEAVY_KEYS).select(key, F.lit(True).alias(hot))
+    heavy = F.broadcast(written(heavy, "heavy"))
+    mark = lambda x: F.when(F.col(hot), x)
+    left = rows.join(heavy, key, "left").withColumn(salt, mark(F.pmod(F.xxhash64(*own_columns(rows)), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")).drop(hot)
+    right = facts.join(heavy, key, "left").withColumn(salt, F.explode(mark(F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop(hot)
+    return left.join(right, [key, salt], how).drop(salt)
+
+
 def give_back() -> None:
     """Returns freed memory to the system: Python workers live on between stages, beside their executor."""
     pa.default_memory_pool().release_unused()

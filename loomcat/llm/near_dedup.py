@@ -9,13 +9,17 @@ two signatures agree in a component with the weighted Jaccard similarity as prob
 
 Candidates share a band. A bucket's least member is compared with all others (no pairs
 within a bucket are emitted); buckets that still hold several classes are then compared
-in pairs of blocks: signatures tell the close pairs, which are verified from the closest on
-while their classes differ, and only links that join two classes leave the task. Every link
-is verified on the exact multisets.
+in pairs of blocks: first signatures alone tell which members have a close partner of
+another class, then the texts of these are verified from the closest pair on while their classes
+differ, and only links that join two classes leave the task. Every link is verified on the exact
+multisets. A pair whose signatures agree in less than threshold - MARGIN of the components is not
+verified; the chance of that at the threshold is below that of sharing no band. Joins on hubs
+and labels, which may hold a third of all rows, are dealt over salts.
 
 Defined results: equal texts, and so all empty ones, are of one class. A null text, and a
 text without words that has no equal, is a class of its own; a null text's class is its own
-id. class_id is the least non-null id of a class. Ids may repeat or be null.
+id. class_id is the least non-null id of a class. Ids may repeat or be null. Columns of the
+input other than id and text are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomcat.llm.common import mapped, mix64, own_columns, slices, written
+from loomcat.llm.common import fresh, mapped, mix64, own_columns, slices, spread_join, written
 from loomcat.llm.words import bag_overlap, shingles, weighted_overlap, word_hashes
 
 BANDS, ROWS = 42, 6  # at similarity 0.8 a pair shares no band with probability 3e-6
@@ -151,27 +155,47 @@ def _verified(threshold: float):
     return run
 
 
-def _joined(least: float, threshold: float):
-    """Of the members in two blocks of a bucket, links that join different classes.
+def _pairs(signs: np.ndarray, bands: np.ndarray, labels: list[bytes], blocks: np.ndarray, one: int, two: int, bucket: int, least: float) -> list[tuple[float, int, int]]:
+    """(-agreement, i, j) of members of two blocks whose classes differ and whose signatures agree enough, in their first common band only."""
+    kinds = np.unique(np.array(labels, dtype=object), return_inverse=True)[1]
+    rows, close = np.flatnonzero(blocks == two), []
+    for i in np.flatnonzero(blocks == one):
+        other = rows[rows > i] if one == two else rows
+        other = other[kinds[other] != kinds[i]]
+        like = (signs[other] == signs[i]).mean(axis=1)
+        for j, x in zip(other[like >= least], like[like >= least], strict=True):
+            if bands[i][np.argmax(bands[i] == bands[j])] == bucket:
+                close.append((-float(x), int(i), int(j)))
+    return close
+
+
+def _read_group(t: pa.Table) -> tuple:
+    column = lambda c: t.column(c).combine_chunks()
+    signs = np.frombuffer(b"".join(column("sign").to_pylist()), dtype=np.uint8).reshape(t.num_rows, -1)
+    bands = np.asarray(column("bands").flatten()).reshape(t.num_rows, -1)
+    return signs, bands, column("label").to_pylist(), np.asarray(column("block")), column("one")[0].as_py(), column("two")[0].as_py(), column("bucket")[0].as_py()
 
-    Close pairs are verified from the closest on, while their classes differ; a pair is looked at in its first common band only.
-    """
 
-    def run(pdf):
-        import pandas as pd
-
-        signs = np.frombuffer(b"".join(pdf["sign"]), dtype=np.uint8).reshape(len(pdf), -1)
-        bands = np.stack(pdf["bands"].to_numpy())
-        keys, labels, blocks = pdf["key"].tolist(), pdf["label"].tolist(), pdf["block"].to_numpy()
-        one, two, bucket = int(pdf["one"].iloc[0]), int(pdf["two"].iloc[0]), pdf["bucket"].iloc[0]
-        rows, close = np.flatnonzero(blocks == two), []
-        for i in np.flatnonzero(blocks == one):
-            other = rows[rows > i] if one == two else rows
-            like = (signs[other] == signs[i]).mean(axis=1)
-            for j, x in zip(other[like >= least], like[like >= least], strict=True):
-                if labels[i] != labels[j] and bands[i][np.argmax(bands[i] == bands[j])] == bucket:
-                    close.append((-x, int(i), int(j)))
-        words, starts, _ = word_hashes(pa.array(pdf["text"], pa.string()))
+def _partnered(least: float):
+    """Of the members in two blocks of a bucket, those with a close partner of another class."""
+
+    def run(t: pa.Table) -> pa.Table:
+        close = _pairs(*_read_group(t), least)
+        found = pa.array(sorted({i for _, *pair in close for i in pair}), pa.int64())
+        return t.select(["bucket", "one", "two", "key"]).take(found)
+
+    return run
+
+
+def _joined(least: float, threshold: float):
+    """Links that join different classes, of members in two blocks of a bucket: close pairs are verified from the closest on, while their classes differ."""
+
+    def run(t: pa.Table) -> pa.Table:
+        order = pa.compute.sort_indices(t, sort_keys=[("key", "ascending")])
+        t = t.take(order)
+        group = _read_group(t)
+        keys, labels = t.column("key").to_pylist(), group[2]
+        words, starts, _ = word_hashes(t.column("text"))
         items, begin = shingles(words, starts)
         bags: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         above = {x: x for x in labels}
@@ -182,7 +206,7 @@ def _joined(least: float, threshold: float):
             return x
 
         links = []
-        for _, i, j in sorted(close):
+        for _, i, j in sorted(_pairs(*group, least)):
             a, b = root(labels[i]), root(labels[j])
             if a == b:
                 continue
@@ -192,20 +216,18 @@ def _joined(least: float, threshold: float):
             if bag_overlap(bags[i], bags[j]) >= threshold:
                 above[a] = b
                 links.append((min(keys[i], keys[j]), max(keys[i], keys[j])))
-        return pd.DataFrame(links, columns=["a", "b"])
+        return pa.table({"a": pa.array([x[0] for x in links], pa.binary()), "b": pa.array([x[1] for x in links], pa.binary())})
 
     return run
 
 
-ROW = ["__null", "__row", "__key"]  # tells rows by id and text, with no nulls, so that a join's partitioning serves again
-
-
 def text_key(text_col: str) -> Column:
     return F.unhex(F.md5(F.col(text_col).cast("string").cast("binary")))
 
 
-def row_keys(df: DataFrame, id_col: str = "id", key_col: str = "key") -> DataFrame:
-    return df.withColumns({"__null": F.col(id_col).isNull(), "__row": F.coalesce(F.col(id_col), F.lit(0)), "__key": F.col(key_col)})
+def row_keys(df: DataFrame, names: list[str], id_col: Column, key_col: Column) -> DataFrame:
+    """df with three columns, of the given names, that tell rows by id and text, with no nulls, so that a join's partitioning serves again."""
+    return df.withColumns(dict(zip(names, (id_col.isNull(), F.coalesce(id_col, F.lit(0)), key_col), strict=True)))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -214,10 +236,10 @@ def components(links: DataFrame) -> DataFrame:
     both = written(both.distinct(), "links")
     labels = written(both.groupBy("key").agg(F.min("other").alias("o")).select("key", F.least("key", "o").alias("label")), "labels")
     while True:
-        seen = both.join(labels.select(F.col("key").alias("other"), F.col("label").alias("l")), "other").groupBy("key").agg(F.min("l").alias("l"))
-        low = labels.join(seen, "key").select("key", F.least("label", "l").alias("label"), F.col("label").alias("was"))
+        seen = spread_join(both, labels.select(F.col("key").alias("other"), F.col("label").alias("l")), "other").groupBy("key").agg(F.min("l").alias("l"))
+        low = written(labels.join(seen, "key").select("key", F.least("label", "l").alias("label"), F.col("label").alias("was")), "labels")
         jump = low.select(F.col("key").alias("label"), F.col("label").alias("next"))
-        after = written(low.join(jump, "label", "left").select("key", F.least("label", F.coalesce("next", "label")).alias("label"), "was"), "labels")
+        after = written(spread_join(low, jump, "label", "left").select("key", F.least("label", F.coalesce("next", "label")).alias("label"), "was"), "labels")
         labels = after.select("key", "label")
         if after.filter("label <> was").isEmpty():
             return labels
@@ -234,19 +256,20 @@ def near_duplicates(
     members = reps.select("key", F.col("n").alias("words"), F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("key").alias("hub"), F.max("key").alias("last")).filter("hub <> last").select("bucket", "hub")
     shared = written(members.join(shared, "bucket"), "buckets")
+    row = ["none", "row", "text_key"]
 
     def texts_of(keys: DataFrame) -> DataFrame:
         """(key, text) of the keys, each once."""
-        wanted = row_keys(keys.join(reps.select("key", "id"), "key")).select(*ROW)
-        return written(row_keys(base).join(wanted, ROW, "left_semi").groupBy("key").agg(F.any_value("text").alias("text")), "texts")
+        wanted = row_keys(keys.join(reps.select("key", "id"), "key"), row, F.col("id"), F.col("key")).select(*row)
+        return written(row_keys(base, row, F.col("id"), F.col("key")).join(wanted, row, "left_semi").groupBy("key").agg(F.any_value("text").alias("text")), "texts")
 
     pairs = shared.filter("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
     side = lambda x: reps.select(F.col("key").alias(x), F.col("n").alias(f"n{x}"), F.col("sign").alias(f"s{x}"))
-    pairs = pairs.join(side("b"), "b").join(side("a"), "a").filter(f"least(na, nb) >= {threshold} * greatest(na, nb)")
+    pairs = spread_join(written(pairs.join(side("b"), "b"), "pairs"), side("a"), "a").filter(f"least(na, nb) >= {threshold} * greatest(na, nb)")
     pairs = written(mapped(pairs.select("a", "b", "sa", "sb"), _close(threshold - margin), "a binary, b binary"), "close")
     texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
     side = lambda x: texts.select(F.col("key").alias(x), F.col("text").alias(f"t{x}"))
-    pairs = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "ta", "tb")
+    pairs = spread_join(pairs.join(side("b"), "b"), side("a"), "a").select("a", "b", "ta", "tb")  # a hub's pairs stand together
     links = written(mapped(pairs, _verified(threshold), "a binary, b binary"), "links")
     labels = components(links)
 
@@ -259,27 +282,34 @@ def near_duplicates(
     split = written(named.drop("words").join(blocks, "bucket"), "mixed")
     if not split.isEmpty():
         # blocks 0 to few - 1 have the smaller classes; a bucket's largest class needs no comparison with itself
-        split = split.join(reps.select("key", "sign", "bands"), "key").join(texts_of(split.select("key").distinct()), "key")
+        split = split.join(reps.select("key", "sign", "bands"), "key")
         rest = F.col("label") != F.col("most")
         split = split.withColumn("block", F.when(rest, F.pmod(F.xxhash64("key"), "few")).otherwise(F.col("few") + F.pmod(F.xxhash64("key"), "many")))
         split = split.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.when(rest, F.col("few") + F.col("many")).otherwise(F.col("few")) - 1)))
-        split = split.select("bucket", "key", "label", "sign", "bands", "text", "block", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"))
-        more = written(split.groupBy("bucket", "one", "two").applyInPandas(_joined(threshold - margin, threshold), "a binary, b binary").distinct(), "links")
-        if not more.isEmpty():
-            labels = components(links.unionByName(more))
-
-    classes = reps.join(labels, "key", "left").select("key", "id", F.coalesce("label", "key").alias("label"))
-    least = classes.groupBy("label").agg(F.min("id").alias("class_id"))
-    classes = classes.join(least, "label").select("key", "class_id", "label")
-    return base.select("id", "key").join(classes, "key", "left").select("id", F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), "key", "label")
+        split = split.select("bucket", "key", "label", "sign", "bands", "block", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"))
+        pair = ["bucket", "one", "two"]
+        found = written(split.groupBy(*pair).applyInArrow(_partnered(threshold - margin), "bucket long, one long, two long, key binary"), "partnered")
+        if not found.isEmpty():
+            near = split.join(found, [*pair, "key"], "left_semi").join(texts_of(found.select("key").distinct()), "key")
+            more = written(near.groupBy(*pair).applyInArrow(_joined(threshold - margin, threshold), "a binary, b binary").distinct(), "links")
+            if not more.isEmpty():
+                labels = components(links.unionByName(more))
+
+    classes = written(reps.join(labels, "key", "left").select("key", "id", F.coalesce("label", "key").alias("label")), "classes")
+    classes = spread_join(classes.select("key", "label"), classes.groupBy("label").agg(F.min("id").alias("class_id")), "label")
+    some = spread_join(base.filter("key is not null").select("id", "key"), classes, "key").select("id", "class_id", "key", "label")
+    none = base.filter("key is null").select("id", F.col("id").alias("class_id"), "key", F.lit(None).cast("binary").alias("label"))
+    return some.unionByName(none)
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs, with one row of each class: that with the class's least id (any one of its repeats)."""
+    """The rows of docs, with one row of each class: that with the class's least id (any one of its repeats). All columns stay as they are, whatever their names."""
     found = near_duplicates(docs, id_col, text_col, **options)
-    least = lambda c: F.min(F.struct(F.col("id").isNull(), "id", "key")).alias(c)
+    least = F.min(F.struct(F.col("id").isNull(), "id", "key"))
     # by label: a class_id is null for all classes without an id, and may be that of several classes if ids repeat
-    kept = found.filter("key is not null").groupBy("label").agg(least("r")).select("r.id", "r.key")
-    tagged = row_keys(docs.withColumns({"__id": F.col(id_col).cast("long"), "__text_key": text_key(text_col)}), "__id", "__text_key")
-    once = tagged.filter(F.col("__text_key").isNotNull()).join(row_keys(kept).select(*ROW), ROW, "left_semi").dropDuplicates(ROW)
-    return once.unionByName(tagged.filter(F.col("__text_key").isNull())).select(*own_columns(docs))
+    kept = found.filter("key is not null").groupBy("label").agg(least.alias("r")).select("r.id", "r.key")
+    row = fresh(["none", "row", "text_key"], docs)
+    wanted = row_keys(kept, row, F.col("id"), F.col("key")).select(*row)
+    tagged = row_keys(docs, row, F.col(id_col).cast("long"), text_key(text_col))
+    once = tagged.filter(F.col(row[2]).isNotNull()).join(wanted, row, "left_semi").dropDuplicates(row)
+    return once.unionByName(tagged.filter(F.col(row[2]).isNull())).select(*own_columns(docs))

@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from loomcat.llm import near_dedup
+from loomcat.llm import common, near_dedup
 from tests.llm.test_words import plain
 
 SCHEMA = "doc_id long, text string, key string, id int"
@@ -100,6 +100,24 @@ def test_one_of_each_keeps_a_row_of_every_class_whatever_its_ids(spark):
     assert collections.Counter(kept) == collections.Counter([(None, "a b c d e f"), (None, "g h i j k l"), (7, "m n o p q r"), (7, other), (None, None), (None, None)])
 
 
+def test_clashing_columns_stay_as_they_are(spark):
+    """Columns with the names of helpers."""
+    names = ["doc_id", "text", "__none", "__row", "__text_key", "__key", "__salt", "__hot", "label", "class_id"]
+    rows = [(i, t, *(f"{n}{k}" for n in names[2:])) for k, (i, t) in enumerate([(1, "a b c d e f"), (2, "a b c d e f"), (3, "other"), (None, None)])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names[2:]))
+    kept = near_dedup.one_of_each(df)
+    assert kept.columns == names and sorted(map(tuple, kept.collect()), key=str) == sorted([rows[0], rows[2], rows[3]], key=str)
+
+
+def test_hot_hubs_and_labels_are_dealt_over_salts(spark, monkeypatch):
+    monkeypatch.setattr(common, "HEAVY_ROWS", 4)
+    monkeypatch.setattr(common, "SALTS", 3)
+    rows = corpus()
+    df = spark.createDataFrame([(i, t, "k", 1) for i, t in rows], SCHEMA)
+    found = collections.Counter((r.id, r.class_id) for r in near_dedup.near_duplicates(df).collect())
+    assert found == collections.Counter(zip([i for i, _ in rows], classes(rows), strict=True))
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(None, None), (None, "a"), (None, "a")]])
 def test_empty_and_null_tables(spark, rows):
     df = spark.createDataFrame([(i, t, "k", 1) for i, t in rows], SCHEMA)
