@@ -2,13 +2,16 @@
 
 The categories are 0/1 columns of the label table, predicted in order; each model takes the
 text's features and the probabilities of the earlier categories. In training these are
-out-of-fold predictions. Features: which words, and which first four bytes of words, a text
-holds, hashed; the `FEATURES` that tell a category best are used. The models are fitted on the
-`sample_rows` labelled texts with the least hash of their id (a documented bound); counts and
-scores are over whole texts.
+out-of-fold predictions: features are chosen and weights are fitted without the fold's rows. Features: which
+words, and which first four bytes of words, a text holds, hashed; the `FEATURES` that tell a
+category best are used. The models are fitted on the `sample_rows` labelled texts with the least hash of
+their id (a documented bound), in the driver; counts and scores are over whole texts.
 
 Defined results: null and empty texts get the models' base rates; without labelled rows
-every probability is 0. Labels that are null for a category leave the row out.
+every probability is 0. Labels that are null for a category leave the row out. Very long texts
+are read whole; a feature counts once however often it occurs. Repeated rows and ids are rows each. Ties
+among features go to the lesser hash; a probability just at the threshold rejects. Columns of
+the input keep their names and values, whatever they are.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomcat.llm.common import mapped, own_columns, ship, slices
+from loomcat.llm.common import fresh, mapped, own_columns, ship, slices
 from loomcat.llm.words import word_hashes
 
 SAMPLE = 8000
@@ -81,6 +84,28 @@ def _logit(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
+def _chosen(rows: np.ndarray, cols: np.ndarray, width: int, labels: np.ndarray, use: np.ndarray, features: int) -> np.ndarray:
+    """The places of the features that tell a category best, by the rows that may be used."""
+    n, own = int(use.sum()), use[rows]
+    rows, cols = rows[own], cols[own]
+    seen = np.bincount(cols, minlength=width)
+    best = np.zeros(width)
+    for y in labels.T:
+        rate = y[use].mean() if n else 0.0
+        got = np.bincount(cols, weights=y[rows], minlength=width)
+        best = np.maximum(best, np.abs(got - seen * rate) / np.sqrt(seen * rate * (1 - rate) + 1))
+    best[(seen < 3) | (seen > n - 3)] = 0
+    chosen = np.sort(np.argsort(-best, kind="stable")[:features])
+    return chosen[best[chosen] >= LEAST_DEVIATION]
+
+
+def _narrowed(rows: np.ndarray, cols: np.ndarray, width: int, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    place = np.full(width, -1)
+    place[chosen] = np.arange(len(chosen))
+    cols = place[cols]
+    return rows[cols >= 0], cols[cols >= 0]
+
+
 def fit_chain(lists: list[np.ndarray], labels: np.ndarray, features: int = FEATURES, folds: int = FOLDS) -> dict:
     """From feature ids and 0/1 labels (rows x categories): {"ids", "weights" of each category}."""
     n, kinds = labels.shape
@@ -88,32 +113,26 @@ def fit_chain(lists: list[np.ndarray], labels: np.ndarray, features: int = FEATU
         return {"ids": np.empty(0, np.int64), "weights": []}
     rows = np.repeat(np.arange(n, dtype=np.int32), [len(x) for x in lists])
     names, cols = np.unique(np.concatenate(lists), return_inverse=True)
-    seen = np.bincount(cols, minlength=len(names))
-    best = np.zeros(len(names))
-    for k in range(kinds):
-        rate = labels[:, k].mean()
-        got = np.bincount(cols, weights=labels[rows, k], minlength=len(names))
-        best = np.maximum(best, np.abs(got - seen * rate) / np.sqrt(seen * rate * (1 - rate) + 1))
-    best[(seen < 3) | (seen > n - 3)] = 0
-    chosen = np.sort(np.argsort(-best, kind="stable")[:features])
-    chosen = chosen[best[chosen] >= LEAST_DEVIATION]
-    place = np.full(len(names), -1)
-    place[chosen] = np.arange(len(chosen))
-    cols = place[cols]
-    rows, cols = rows[cols >= 0], cols[cols >= 0]
+    labels = labels.astype(float)
     fold = np.arange(n) % folds
+    chosen = _chosen(rows, cols, len(names), labels, np.ones(n, dtype=bool), features)
+    own_rows, own_cols = _narrowed(rows, cols, len(names), chosen)
+    in_fold = []
+    for f in range(folds if kinds > 1 else 0):
+        best = _chosen(rows, cols, len(names), labels, fold != f, features)
+        in_fold.append((len(best), *_narrowed(rows, cols, len(names), best)))
     extra, weights = np.empty((n, 0)), []
     for k in range(kinds):
-        y = labels[:, k].astype(float)
-        weights.append(_fit(rows, cols, n, len(chosen), extra, y))
+        y = labels[:, k]
+        weights.append(_fit(own_rows, own_cols, n, len(chosen), extra, y))
         if k + 1 < kinds:
             out = np.zeros(n)
-            for f in range(folds):
-                train = fold[rows] != f
-                number = np.cumsum(fold != f) - 1
-                w = _fit(number[rows[train]], cols[train], int((fold != f).sum()), len(chosen), extra[fold != f], y[fold != f])
-                z = np.bincount(rows, weights=w[cols], minlength=n) + np.hstack([extra, np.ones((n, 1))]) @ w[len(chosen) :]
-                out[fold == f] = 1 / (1 + np.exp(-z[fold == f]))
+            for f, (width, r, c) in enumerate(in_fold):
+                use = fold != f
+                train, number = use[r], np.cumsum(use) - 1
+                w = _fit(number[r[train]], c[train], int(use.sum()), width, extra[use], y[use])
+                z = np.bincount(r, weights=w[c], minlength=n) + np.hstack([extra, np.ones((n, 1))]) @ w[width:]
+                out[~use] = 1 / (1 + np.exp(-z[~use]))
             extra = np.hstack([extra, _logit(out)[:, None]])
     return {"ids": names[chosen], "weights": weights}
 
@@ -193,5 +212,5 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def kept(docs: DataFrame, model: dict, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs that are not rejected."""
-    told = docs.withColumn("__told", probabilities(docs, model, text_col))
-    return told.filter(F.col("__told")[model["names"][-1]] < threshold).select(*own_columns(docs))
+    (told,) = fresh(["told"], docs)
+    return docs.withColumn(told, probabilities(docs, model, text_col)).filter(F.col(told)[model["names"][-1]] < threshold).select(*own_columns(docs))

@@ -1,19 +1,22 @@
 """Toxicity, language ID, decontamination and mixing."""
 
 import collections
+import math
 import random
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 
-from loomcat.llm import decontamination, language_id, mixing, toxicity
+from loomcat.llm import decontamination, language_id, mixing, toxicity, words
 from loomcat.llm.common import table
 from tests.llm.test_near_dedup import bag
 from tests.llm.test_words import plain
 
+LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, p string, `a.b` string"
 
 
@@ -29,9 +32,9 @@ def toxic_rows(n=400):
     rows, labels = [], []
     for i in range(n):
         bad = i % 5 == 0
-        words = [f"w{rng.randrange(300)}" for _ in range(40)] + (["vile", "foul"][: 1 + i % 2] if bad else [])
-        rng.shuffle(words)
-        rows.append((i, " ".join(words), "en"))
+        text = [f"w{rng.randrange(300)}" for _ in range(40)] + (["vile", "foul"][: 1 + i % 2] if bad else [])
+        rng.shuffle(text)
+        rows.append((i, " ".join(text), "en"))
         labels.append((i, int(not bad or i % 2), int(bad)))
     return rows, labels
 
@@ -54,6 +57,53 @@ def test_chain_feeds_earlier_categories():
     assert len(model["weights"][1]) == len(model["weights"][0]) + 1 and model["weights"][1][len(model["ids"])] > 0
 
 
+def brute_chain(model, text):
+    """The chain by hand: a set of hashed words and prefixes, weights from a dict, one logistic after the other."""
+    place = {int(x): k for k, x in enumerate(model["ids"])}
+    hashed = lambda w: int(words.word_hashes(pa.array([w]))[0][0])
+    ids = set()
+    for w in plain(text or ""):
+        ids |= {hashed(w) % toxicity.SPACE, int(words.word_hashes(pa.array([w]), toxicity.PREFIX)[2][0]) % toxicity.SPACE + toxicity.SPACE}
+    out = []
+    for w in model["weights"]:
+        z = w[-1] + sum(w[place[i]] for i in ids if i in place)
+        for k, p in enumerate(out):
+            p = min(max(p, 1e-4), 1 - 1e-4)
+            z += w[len(place) + k] * math.log(p / (1 - p))
+        out.append(1 / (1 + math.exp(-z)))
+    return out
+
+
+def test_scores_equal_the_chain_by_hand(spark):
+    rows, labels = toxic_rows()
+    model = toxicity.learn(docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    texts = [t for _, t, _ in rows[:40]] + ["", None, "vile", "unheard-of words", "foul " * 500, "Vile, FOUL!"]
+    found = toxicity.scorer(model)(pa.array(texts))
+    assert len(model["ids"]) and np.allclose(found, [brute_chain(model, t) for t in texts], atol=1e-9)
+
+
+def test_out_of_fold_features_are_chosen_without_the_fold():
+    """A feature of one row's own can't be chosen for that row's fold, and so not tell its label."""
+    y = np.arange(120) % 2
+    lists = [np.array([1000 + i]) for i in range(120)]
+    rows, cols = np.arange(120), np.arange(120)
+    assert not len(toxicity._chosen(rows, cols, 120, y[:, None].astype(float), np.ones(120, dtype=bool), 10))
+    told = [np.array([7 if i % 3 == 0 and y[i] else 8]) for i in range(120)]
+    use = np.arange(120) % 3 != 0
+    r, c = np.arange(120), np.array([x[0] - 7 for x in told])
+    assert 0 in toxicity._chosen(r, c, 2, y[:, None].astype(float), np.ones(120, dtype=bool), 10) and not len(toxicity._chosen(r, c, 2, y[:, None].astype(float), use, 10))
+    assert len(toxicity.fit_chain(lists, np.stack([y, y], axis=1))["weights"]) == 2
+
+
+def test_toxicity_ties_and_clashing_columns(spark):
+    rows, labels = toxic_rows(100)
+    model = toxicity.learn(docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    df = spark.createDataFrame([(1, "vile foul", "a", "b"), (2, "fine words", "c", "d")], "doc_id long, text string, __told string, toxic string")
+    assert [tuple(r) for r in toxicity.kept(df, model).collect()] == [(2, "fine words", "c", "d")]
+    p = float(toxicity.scorer(model)(pa.array(["fine words"]))[0, -1])
+    assert toxicity.kept(df, model, threshold=p).count() == 0
+
+
 def test_toxicity_of_odd_tables(spark):
     rows, labels = toxic_rows(50)
     marks = spark.createDataFrame([*labels, (None, 1, 1), (3, None, 0)], "doc_id long, quality int, toxic int")
@@ -78,13 +128,76 @@ def test_language_accuracy_on_held_out_documents(spark, data):
 def test_unseen_words_back_off(spark):
     rows = [(i, "the thing then thatch thinning " * 3, "en") for i in range(20)] + [(100 + i, "der schön schluss schicht über " * 3, "de") for i in range(20)]
     model = language_id.learn(docs(spark, rows))
-    assert "schiene" not in model["words"][0]
+    assert not language_id.known(model["words"], ["schiene"])[0] and language_id.known(model["words"], ["thing"])[0]
     score = language_id.scorer(model)
     best, value = score(pa.array(["schlüssel schiene", "thinner thatcher", "", None, "123 !?", "Schön THE the the"]))
     assert [model["langs"][b] if b >= 0 else "und" for b in best] == ["de", "en", "und", "und", "und", "en"]
     assert ((value >= 0) & (value <= 1)).all() and value[2] == 0
 
 
+def brute_language(rows, text):
+    """The model counted with dicts, and a whole text scored word by word."""
+    langs = sorted({x for _, _, x in rows})
+    counts = {x: collections.Counter(w for _, t, lang in rows if lang == x for w in LETTERS.findall(t.lower())) for x in langs}
+    grams = {k: {x: collections.Counter() for x in langs} for k in language_id.ORDERS}
+    for x in langs:
+        for w, n in counts[x].items():
+            for k in language_id.ORDERS:
+                for i in range(len(w) + 3 - k):
+                    grams[k][x][f"^{w}$"[i : i + k]] += n
+
+    def logs(table, least):
+        kept = sorted(g for g in set().union(*table.values()) if sum(c[g] for c in table.values()) >= least)
+        totals = {x: sum(table[x][g] for g in kept) + 0.5 * len(kept) for x in langs}
+        return {g: np.array([math.log((table[x][g] + 0.5) / totals[x]) for x in langs]) for g in kept}
+
+    by_word, by_gram = logs(counts, 2), {k: logs(v, 3) for k, v in grams.items()}
+    found = LETTERS.findall((text or "").lower())
+    total = np.zeros(len(langs))
+    for w in found:
+        if w in by_word:
+            total += by_word[w]
+            continue
+        for k in language_id.ORDERS:
+            parts = [f"^{w}$"[i : i + k] for i in range(len(w) + 3 - k)]
+            seen = [by_gram[k][g] for g in parts if g in by_gram[k]]
+            if seen and 2 * len(seen) >= len(parts):
+                total += np.mean(seen, axis=0)
+                break
+    if not found:
+        return "und", 0.0
+    z = total * min(len(found), language_id.EVIDENCE) / len(found)
+    odds = np.exp(z - z.max())
+    return langs[int(odds.argmax())], float(odds.max() / odds.sum())
+
+
+def test_scores_of_whole_texts_equal_brute_force(spark, data):
+    rows = [(r.doc_id, r.text, r.lang) for r in table(spark, data, "documents").collect() if r.lang is not None and r.text is not None]
+    train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2][:60]
+    model = language_id.learn(docs(spark, train))
+    texts = [t for _, t, _ in rows[::4]] + [None, "", "1 2 3", "ΟΔΟΣ ΟΔΟΣ", "xqzj", "Don't STOP", "a\u0301b", "word " * 5000, "ß", "日本語 テキスト"]
+    best, score = language_id.scorer(model)(pa.array(texts, pa.string()))
+    got = [("und" if b < 0 else model["langs"][b], x) for b, x in zip(best, score, strict=True)]
+    for t, (lang, x) in zip(texts, got, strict=True):
+        wanted = brute_language(train, t)
+        assert lang == wanted[0] and x == pytest.approx(wanted[1], abs=1e-4), t
+
+
+def test_learning_and_scoring_lower_alike(spark):
+    """A final sigma is the same word in a text that is learned and in one that is scored; ties go to the first name."""
+    model = language_id.learn(docs(spark, [(i, "ΟΔΟΣ ΜΕΡΟΣ", "el") for i in range(8)] + [(20 + i, "same same", "aa") for i in range(8)] + [(40 + i, "same same", "bb") for i in range(8)]))
+    found, _ = language_id.known(model["words"], language_id.words_of(pa.array(["ΟΔΟΣ ΜΕΡΟΣ same"]))[0].to_pylist())
+    assert found.all()
+    best, _ = language_id.scorer(model)(pa.array(["same"]))
+    assert model["langs"][best[0]] == "aa"
+
+
+def test_sample_is_bounded_and_repeats_count_once(spark):
+    rows = [(i, f"word{i} and more", "en") for i in range(3000)] + [(5001, "one text", "de")] * 500 + [(6000 + i, f"wort{i}", "de") for i in range(40)]
+    got = collections.Counter(r["lang"] for r in language_id.sample(docs(spark, rows), "doc_id", "text", "lang", 100).collect())
+    assert got["en"] == 100 and 20 <= got["de"] <= 41
+
+
 def test_language_of_odd_tables(spark):
     odd = docs(spark, [(None, "the the", "en"), (1, None, None), (2, "", "en"), (4, "word " * 300_000, None), (4, "1", "xx")])
     found = {(r.id, r.lang_pred) for r in language_id.identify(odd).collect()}
@@ -93,6 +206,8 @@ def test_language_of_odd_tables(spark):
     model = language_id.learn(docs(spark, [(i, "the thing", "en") for i in range(8)]))
     kept = language_id.kept(odd, model)
     assert kept.columns == odd.columns and kept.count() == 2
+    clash = spark.createDataFrame([(1, "the thing", "own", "p")], "doc_id long, text string, __told string, lang_pred string")
+    assert [tuple(r) for r in language_id.kept(clash, model).collect()] == [(1, "the thing", "own", "p")]
 
 
 # ---------------------------------------------------------------- decontamination
