@@ -5,38 +5,47 @@ features: language, length, share of capitals, share of exclamation marks, words
 often it has terms of each domain. A domain's terms are the at most `TERMS` words that
 lean most to it in `SAMPLE` labelled documents (those with the least hash of their id). A naive Bayes
 classifier counted on all labelled documents gives each cell its posterior over the labelled
-domains. Cells are bounded in number whatever the input (by CELLS * 3 ** domains, with at most
-`DOMAINS` domains), so documents are counted up to cells before anything is shuffled. The rates minimise
+domains, of which there may be any number; a factor for each domain makes the posteriors' token totals over the labelled
+documents equal the labels' own. Documents of one cell have one posterior, hence one gradient and one
+rate, so they are counted up to cells before anything is shuffled. The rates minimise
 
-    1/2 |E(r) - T|^2 + penalty/2 * mean((r - 1)^2),  r >= 0,
+    1/2 sum over domains of (E(r) - T)^2 / max(T, FLOOR) + penalty/2 * mean((r - 1)^2),  r >= 0,
 
 where E are the expected token shares of the domains and T the target shares of `budget` times
-all tokens: projected gradient steps in the metric of the cells' tokens, each a distributed
-aggregate of the residual. All documents of a cell have one rate. A document then gets
+all tokens; the weights let rare domains count as much as common ones. Projected gradient steps with momentum, in
+the metric of the cells' tokens, run as distributed aggregates over the cells until all expected shares are
+within `TOLERANCE` of their targets or no longer move (STEPS at most). A document then gets
 floor(rate) copies and one more with the fraction as probability, by the hash of its id.
 
 Defined results: a null text has no tokens and the cell of an empty one; null languages are
 a language. Without labelled documents all rates are 1. Ids may repeat; null ids
-hash like 0. Domains in the labels that have no target get the target 0.
+hash like 0. Domains in the labels that have no target get the target 0. Very long texts are read whole. Columns
+of the input keep their names and values, but for older mix_tokens, mix_rate and mix_copies.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from math import log
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomcat.llm.common import written
+from loomcat.llm.common import fresh, own_columns, spread_join, written
 
 LANGS, LENGTHS, CAPITALS, SHOUTS, LINES = 16, 10, 4, 3, 4
 CELLS = LANGS * LENGTHS * CAPITALS * SHOUTS * LINES
 FEATURES = ["f_lang", "f_length", "f_capitals", "f_shouts", "f_lines"]
-DOMAINS, TERMS, TERM_LEVELS, SAMPLE, LEAST_DEVIATION = 5, 24, 3, 4000, 5.0
+TERMS, TERM_LEVELS, SAMPLE, LEAST_DEVIATION = 24, 3, 4000, 5.0
 LEVELS = dict(zip(FEATURES, (LANGS, LENGTHS, CAPITALS, SHOUTS, LINES), strict=True))
 #: Target shares of the tokens by domain.
 TARGETS = {"good": 0.9, "poor": 0.08, "toxic": 0.02}
 DOMAIN = "case when toxic = 1 then 'toxic' when quality = 1 then 'good' when quality = 0 then 'poor' end"
-STEPS = 80
-PENALTY = 0.005
+STEPS, TOLERANCE, FLOOR = 120, 0.005, 0.01
+PENALTY = 0.0002
+CALIBRATIONS = 15  # rounds of fitting the factors at most
+KEPT_STEPS = 8  # steps between two written states
+BROADCAST_ROWS = 1 << 18  # rates, of some 60 bytes, are broadcast up to so many
 
 
 def levels_by_name(terms: dict[str, list[str]]) -> dict[str, int]:
@@ -61,41 +70,42 @@ def domain_terms(docs: DataFrame, marks: DataFrame, domains: list[str]) -> dict[
     return out
 
 
-def featured(docs: DataFrame, text_col: str, lang_col: str, terms: dict[str, list[str]]) -> DataFrame:
-    """docs with __tokens and __cell, from counts over whole texts that are taken once each."""
+def featured(docs: DataFrame, text_col: str, lang_col: str, terms: dict[str, list[str]], tokens_to: str, cell_to: str) -> DataFrame:
+    """docs with their tokens and cell, from counts over whole texts that are taken once each. A cell is a number and a digit for each domain's terms."""
+    chars, spaces, lines, shouts, capitals, *hit_columns = fresh(["chars", "spaces", "lines", "shouts", "capitals", *[f"terms_{i}" for i in range(len(terms))]], docs)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     less = lambda c: F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c), F.lit("")))
     hits = lambda ws: F.regexp_count(F.lower(text), F.lit(r"(?<!\p{L})(?:" + "|".join(ws) + r")(?!\p{L})")) if ws else F.lit(0)
     counts = docs.withColumns({
-        "__chars": F.octet_length(text), "__spaces": less(" "), "__lines": less("\n"), "__shouts": less("!"),
-        "__capitals": F.octet_length(text) - F.octet_length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "")),
-        **{f"__terms_{i}": hits(ws) for i, ws in enumerate(terms.values())},
+        chars: F.octet_length(text), spaces: less(" "), lines: less("\n"), shouts: less("!"),
+        capitals: F.octet_length(text) - F.octet_length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "")),
+        **{c: hits(ws) for c, ws in zip(hit_columns, terms.values(), strict=True)},
     })
-    words = F.when(F.col("__chars") > 0, F.col("__spaces") + F.col("__lines") + 1).otherwise(0)
-    size = F.greatest("__chars", F.lit(1))
+    words = F.when(F.col(chars) > 0, F.col(spaces) + F.col(lines) + 1).otherwise(0)
+    size = F.greatest(chars, F.lit(1))
     bucket = lambda x, *cuts: sum((F.when(x >= c, 1).otherwise(0) for c in cuts), F.lit(0))
     levels = {
         "f_lang": F.pmod(F.xxhash64(F.coalesce(F.col(lang_col).cast("string"), F.lit(""))), F.lit(LANGS)),
         "f_length": F.least(F.greatest(F.floor(F.log2(words + F.lit(1.0))) - 4, F.lit(0)), F.lit(LENGTHS - 1)),
-        "f_capitals": bucket(F.col("__capitals") / size, 0.02, 0.05, 0.2),
-        "f_shouts": bucket(F.col("__shouts") / size, 0.001, 0.02),
-        "f_lines": bucket(words / (F.col("__lines") + 1), 8, 16, 40),
-        **{f"f_terms_{i}": bucket(F.col(f"__terms_{i}"), 1, 2) for i in range(len(terms))},
+        "f_capitals": bucket(F.col(capitals) / size, 0.02, 0.05, 0.2),
+        "f_shouts": bucket(F.col(shouts) / size, 0.001, 0.02),
+        "f_lines": bucket(words / (F.col(lines) + 1), 8, 16, 40),
     }
-    cell = F.lit(0)
-    for f, n in levels_by_name(terms).items():
-        cell = cell * n + levels[f]
-    counted = [c for c in counts.columns if c not in docs.columns]
-    return counts.withColumns({"__tokens": words.cast("long"), "__cell": cell.cast("int")}).drop(*counted)
+    number = F.lit(0)
+    for f, n in LEVELS.items():
+        number = number * n + levels[f]
+    cell = F.concat(number.cast("int").cast("string"), F.lit(":"), *[bucket(F.col(c), 1, 2).cast("string") for c in hit_columns])
+    return counts.select(*own_columns(docs), words.cast("long").alias(tokens_to), cell.alias(cell_to))
 
 
 def levels_of(cell: Column, levels: dict[str, int]) -> dict[str, Column]:
-    """The features' levels, read from a cell's number."""
-    out, rest = {}, cell
-    for f, n in reversed(levels.items()):
+    """The features' levels, read from a cell."""
+    out, rest = {}, F.substring_index(cell, ":", 1).cast("int")
+    for f, n in reversed(LEVELS.items()):
         out[f] = F.pmod(rest, F.lit(n)).cast("int")
         rest = F.floor(rest / n).cast("int")
-    return out
+    digits = F.substring_index(cell, ":", -1)
+    return out | {f: F.substring(digits, i + 1, 1).cast("int") for i, f in enumerate(f for f in levels if f not in LEVELS)}
 
 
 def posteriors(cells: DataFrame, marked: DataFrame, domains: list[str], levels: dict[str, int] = LEVELS) -> DataFrame:
@@ -106,15 +116,13 @@ def posteriors(cells: DataFrame, marked: DataFrame, domains: list[str], levels:
     for name in levels:
         own = marked.groupBy("domain", F.lit(name).alias("feature"), F.col(name).alias("level")).agg(F.sum("n").alias("n"))
         counts = own if counts is None else counts.unionByName(own)
-    # at most domains x levels rows
+    # a row for each domain and level
     known = {(r.domain, r.feature, r.level): r.n for r in counts.collect()}
     prior = {r.domain: r.n for r in totals.collect()}
     every = sum(prior.values())
     if not every:
         return cells.withColumn("p", F.array(*[F.lit(1.0 / len(domains)) for _ in domains]))
     rows = []
-    from math import log
-
     for d in domains:
         n = prior.get(d, 0)
         for f, size in levels.items():
@@ -126,22 +134,65 @@ def posteriors(cells: DataFrame, marked: DataFrame, domains: list[str], levels:
     top = F.greatest(*[F.col(f"`{d}`") for d in domains]) if len(domains) > 1 else F.col(f"`{domains[0]}`")
     odds = scored.select("cell", F.array(*[F.exp(F.col(f"`{d}`") - top) for d in domains]).alias("o"))
     shares = odds.select("cell", F.transform("o", lambda v: v / F.aggregate("o", F.lit(0.0), lambda a, b: a + b)).alias("p"))
-    return cells.join(F.broadcast(shares), "cell")
+    return cells.join(shares, "cell")
+
+
+def calibrated(shares: DataFrame, marked: DataFrame, domains: list[str]) -> DataFrame:
+    """shares (cell, p) with p scaled by a factor for each domain, so that the expected tokens of the labelled documents equal the labels' tokens within a per cent."""
+    own = marked.groupBy("cell").agg(F.sum("t").alias("t"), *[F.sum(F.when(F.col("domain") == d, F.col("t")).otherwise(0)).alias(f"t{i}") for i, d in enumerate(domains)])
+    own = written(own.join(shares.select("cell", "p"), "cell"), "labelled")
+    wanted = own.agg(*[F.sum(f"t{i}") for i in range(len(domains))]).first()
+    factors = [1.0] * len(domains)
+
+    def scaled() -> Column:
+        odds = F.array(*[F.col("p")[i] * F.lit(f) for i, f in enumerate(factors)])
+        return F.transform(odds, lambda v: v / F.aggregate(odds, F.lit(0.0), lambda a, b: a + b))
+
+    if not sum(x or 0 for x in wanted):
+        return shares
+    for _ in range(CALIBRATIONS):
+        got = own.withColumn("q", scaled()).agg(*[F.sum(F.col("t") * F.col("q")[i]) for i in range(len(domains))]).first()
+        if max(abs(g - w) / max(w, 1e-3 * sum(wanted)) for g, w in zip(got, wanted, strict=True)) < 0.01:
+            break
+        factors = [max(1e-6, f * (w + 1e-6) / (g + 1e-6)) for f, g, w in zip(factors, got, wanted, strict=True)]
+    return shares.withColumn("p", scaled())
 
 
-def fitted_rates(cells: DataFrame, domains: list[str], targets: dict[str, float], budget: float, steps: int, penalty: float) -> DataFrame:
+def fitted_rates(cells: DataFrame, domains: list[str], targets: dict[str, float], budget: float = 1.0, steps: int = STEPS, penalty: float = PENALTY, tolerance: float = TOLERANCE) -> DataFrame:
     """cells (cell, w: share of all tokens, p) with their rate, by projected gradient steps."""
-    now = cells.withColumn("rate", F.lit(1.0))
     goal = [budget * targets.get(d, 0.0) for d in domains]
-    step = 1.0 / (1.0 + penalty)
+    scale = [max(t, FLOOR) for t in goal]
+    p = [F.col("p")[i] for i in range(len(domains))]
+    # the sum of the curvatures along the domains bounds the greatest curvature
+    curve = cells.agg(*[F.sum(F.col("w") * x * x / F.lit(s)).alias(f"c{i}") for i, (x, s) in enumerate(zip(p, scale, strict=True))]).first()
+    step = 1.0 / (sum(c or 0.0 for c in curve) + penalty)
+    now = cells.withColumns({"rate": F.lit(1.0), "ahead": F.lit(1.0)})
+    best, before, still, turn = float("inf"), None, 0, 0
     for k in range(steps):
-        expected = now.agg(*[F.sum(F.col("w") * F.col("rate") * F.col("p")[i]).alias(f"e{i}") for i in range(len(domains))]).first()
-        off = [(e or 0.0) - t for e, t in zip(expected, goal, strict=True)]
-        slope = sum((F.col("p")[i] * F.lit(float(off[i])) for i in range(len(domains))), F.lit(0.0))
-        now = now.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") * F.lit(1 - step * penalty) + F.lit(step * penalty) - slope * F.lit(step)))
-        if k % 10 == 9:
+        found = now.agg(*[F.sum(F.col("w") * F.col("ahead") * x).alias(f"e{i}") for i, x in enumerate(p)], F.sum(F.col("w") * (F.col("ahead") - 1) * (F.col("ahead") - 1)).alias("far")).first()
+        expected = [e or 0.0 for e in found[:-1]]
+        off = [e - t for e, t in zip(expected, goal, strict=True)]
+        loss = sum(x * x / s for x, s in zip(off, scale, strict=True)) / 2 + penalty / 2 * (found[-1] or 0.0)
+        moved = max(abs(a - b) / s for a, b, s in zip(expected, before or expected, scale, strict=True)) if before else 1.0
+        still = still + 1 if moved < tolerance / 20 else 0
+        if max(abs(x) / s for x, s in zip(off, scale, strict=True)) <= tolerance or still >= 3:
+            return now.select(*cells.columns, F.greatest(F.lit(0.0), F.col("ahead")).alias("rate"))
+        turn = turn + 1 if loss <= best else 0  # momentum starts anew where the loss grew
+        best, before = loss, expected
+        slope = sum((x * F.lit(o / s) for x, o, s in zip(p, off, scale, strict=True)), F.lit(0.0)) + F.lit(penalty) * (F.col("ahead") - 1)
+        now = now.withColumn("new", F.greatest(F.lit(0.0), F.col("ahead") - F.lit(step) * slope))
+        now = now.select(*cells.columns, F.col("new").alias("rate"), (F.col("new") + F.lit(turn / (turn + 3.0)) * (F.col("new") - F.col("rate"))).alias("ahead"))
+        if k % KEPT_STEPS == KEPT_STEPS - 1:
             now = written(now, "rates")
-    return now
+    return now.drop("ahead")
+
+
+def expected_totals(cells: DataFrame, domains: list[str], targets: dict[str, float], budget: float) -> list[dict]:
+    """For each domain the target share of the tokens, the expected one without rates, and that with them."""
+    p = [F.col("p")[i] for i in range(len(domains))]
+    got = cells.agg(*[F.sum(F.col("w") * x).alias(f"b{i}") for i, x in enumerate(p)], *[F.sum(F.col("w") * F.col("rate") * x).alias(f"a{i}") for i, x in enumerate(p)]).first()
+    n = len(domains)
+    return [{"domain": d, "target": budget * targets.get(d, 0.0), "before": got[i] or 0.0, "expected": got[n + i] or 0.0} for i, d in enumerate(domains)]
 
 
 def marked_domains(labels: DataFrame, id_col: str, domain: str) -> DataFrame:
@@ -149,52 +200,64 @@ def marked_domains(labels: DataFrame, id_col: str, domain: str) -> DataFrame:
 
 
 def domains_of(marks: DataFrame, targets: dict[str, float]) -> list[str]:
-    found = sorted({*targets, *(r.domain for r in marks.select("domain").distinct().limit(DOMAINS + 1).collect())})
-    if len(found) > DOMAINS:
-        raise ValueError(f"more than {DOMAINS} domains: {found}")
-    return found
+    return sorted({*targets, *(r.domain for r in marks.select("domain").distinct().collect())})
+
+
+@dataclass(frozen=True)
+class Mix:
+    """docs with tokens and cell (columns of these names), stored so that texts are gone through once; (cell, rate); the totals by domain."""
 
+    told: DataFrame
+    tokens: str
+    cell: str
+    rates: DataFrame
+    totals: list[dict]
 
-def cell_rates(documents: DataFrame, marks: DataFrame, domains: list[str], levels: dict[str, int], targets: dict[str, float], budget: float, steps: int, penalty: float) -> DataFrame:
-    """(__cell, mix_rate) from documents (i, tokens, cell)."""
-    marked = documents.join(marks, "i").groupBy("domain", "cell").agg(F.count("*").alias("n"))
+
+def cell_rates(documents: DataFrame, marks: DataFrame, domains: list[str], levels: dict[str, int], targets: dict[str, float], budget: float, steps: int, penalty: float) -> tuple[DataFrame, list[dict]]:
+    """(cell, rate) from documents (i, tokens, cell), and the totals by domain."""
+    marked = documents.join(marks, "i").groupBy("domain", "cell").agg(F.count("*").alias("n"), F.sum("tokens").alias("t"))
     marked = written(marked.withColumns(levels_of(F.col("cell"), levels)), "marked")
     cells = written(documents.groupBy("cell").agg(F.sum("tokens").alias("t")).withColumns(levels_of(F.col("cell"), levels)), "cells")
     every = cells.agg(F.sum("t")).first()[0] or 0
     if not every or marked.isEmpty():
-        return cells.select(F.col("cell").alias("__cell"), F.lit(1.0).alias("mix_rate"))
-    shares = written(posteriors(cells, marked, domains, levels).select("cell", (F.col("t") / F.lit(float(every))).alias("w"), "p").coalesce(1), "shares")
-    return fitted_rates(shares, domains, targets, budget, steps, penalty).select(F.col("cell").alias("__cell"), F.col("rate").alias("mix_rate"))
-
-
-def with_copies(documents: DataFrame, rates: DataFrame, id_col: str) -> DataFrame:
-    """documents with mix_tokens, mix_rate and mix_copies for their __tokens and __cell; rates have a bounded number of rows."""
+        return cells.select("cell", F.lit(1.0).alias("rate")), []
+    shares = written(posteriors(cells, marked, domains, levels).select("cell", (F.col("t") / F.lit(float(every))).alias("w"), "p"), "shares")
+    shares = written(calibrated(shares, marked, domains), "shares")
+    rates = written(fitted_rates(shares, domains, targets, budget, steps, penalty), "rates")
+    return rates.select("cell", "rate"), expected_totals(rates, domains, targets, budget)
+
+
+def with_copies(mix: Mix, id_col: str) -> DataFrame:
+    """The documents of a mix with mix_tokens, mix_rate and mix_copies."""
+    (mark,) = fresh(["rate"], mix.told)
+    rates = mix.rates.select(F.col("cell").alias(mix.cell), F.col("rate").alias(mark))
+    out = mix.told.join(F.broadcast(rates), mix.cell, "left") if rates.count() <= BROADCAST_ROWS else spread_join(mix.told, rates, mix.cell, "left")
     chance = F.pmod(F.xxhash64(F.coalesce(F.col(id_col), F.lit(0))), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    out = documents.join(F.broadcast(rates), "__cell", "left")
-    return out.withColumn("mix_copies", F.floor(F.col("mix_rate") + chance).cast("long")).withColumnRenamed("__tokens", "mix_tokens").drop("__cell")
+    own = [c for c, name in zip(own_columns(mix.told), mix.told.columns, strict=True) if name not in (mix.tokens, mix.cell)]
+    return out.select(*own, F.col(mix.tokens).alias("mix_tokens"), F.col(mark).alias("mix_rate"), F.floor(F.col(mark) + chance).cast("long").alias("mix_copies"))
 
 
 def fitted(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", domain: str = DOMAIN, targets: dict[str, float] = TARGETS, budget: float = 1.0, steps: int = STEPS,
     penalty: float = PENALTY, keep: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """docs with __tokens and __cell, stored so that texts are gone through once, and (__cell, mix_rate). keep: with all columns of docs, else with the id alone."""
+) -> Mix:
+    """The mix of docs. keep: with all columns of docs, else with the id alone."""
     marks = marked_domains(labels, id_col, domain)
     domains = domains_of(marks, targets)
     terms = domain_terms(docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("text")), marks, domains)
-    told = featured(docs, text_col, lang_col, terms)
-    told = written(told if keep else told.select(id_col, "__tokens", "__cell"), "features")
-    small = told.select(F.col(id_col).alias("i"), F.col("__tokens").alias("tokens"), F.col("__cell").alias("cell"))
-    return told, cell_rates(small, marks, domains, levels_by_name(terms), targets, budget, steps, penalty)
+    tokens, cell = fresh(["tokens", "cell"], docs)
+    told = featured(docs, text_col, lang_col, terms, tokens, cell)
+    told = written(told if keep else told.select(id_col, tokens, cell), "features")
+    small = told.select(F.col(id_col).alias("i"), F.col(tokens).alias("tokens"), F.col(cell).alias("cell"))
+    return Mix(told, tokens, cell, *cell_rates(small, marks, domains, levels_by_name(terms), targets, budget, steps, penalty))
 
 
 def document_rates(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """One row per row of docs: id, mix_tokens, mix_rate and mix_copies."""
-    told, rates = fitted(docs, labels, id_col, **options)
-    return with_copies(told, rates, id_col).select(F.col(id_col).alias("id"), "mix_tokens", "mix_rate", "mix_copies")
+    return with_copies(fitted(docs, labels, id_col, **options), id_col).select(F.col(id_col).alias("id"), "mix_tokens", "mix_rate", "mix_copies")
 
 
 def mixed(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The columns of docs (but for older mix_ columns) with mix_tokens, mix_rate and mix_copies."""
-    told, rates = fitted(docs.drop("mix_tokens", "mix_rate", "mix_copies"), labels, id_col, keep=True, **options)
-    return with_copies(told, rates, id_col)
+    return with_copies(fitted(docs.drop("mix_tokens", "mix_rate", "mix_copies"), labels, id_col, keep=True, **options), id_col)

@@ -304,27 +304,59 @@ def test_benchmarks_in_parts(spark, monkeypatch):
 # ---------------------------------------------------------------- mixing
 
 
-def brute_rates(cells, domains, targets, steps, penalty):
-    """The same projected gradient in numpy, over (w, p)."""
+def brute_shares(cells, domains, targets, penalty, steps=20_000):
+    """The optimum's expected shares, by plain projected gradient in numpy, over (w, p)."""
     w, p = np.array([c[0] for c in cells]), np.array([c[1] for c in cells])
     t = np.array([targets.get(d, 0.0) for d in domains])
-    r, step = np.ones(len(w)), 1 / (1 + penalty)
+    s = np.maximum(t, mixing.FLOOR)
+    r, step = np.ones(len(w)), 1 / ((w[:, None] * p**2 / s).sum() + penalty)
     for _ in range(steps):
-        r = np.maximum(0, r - step * (p @ (p.T @ (w * r) - t) + penalty * (r - 1)))
-    return r
-
-
-def test_rates_equal_numpy_and_meet_targets(spark):
-    rng = np.random.default_rng(4)
-    domains = ["a", "b"]
-    rows = [(i, float(x), [float(q), float(1 - q)]) for i, (x, q) in enumerate(zip(rng.dirichlet(np.ones(12)), rng.random(12), strict=True))]
-    cells = spark.createDataFrame(rows, "cell int, w double, p array<double>")
+        r = np.maximum(0, r - step * (p @ ((p.T @ (w * r) - t) / s) + penalty * (r - 1)))
+    return r, p.T @ (w * r)
+
+
+def cells_of(spark, n, alpha, seed):
+    rng = np.random.default_rng(seed)
+    rows = [(str(i), float(x), [float(v) for v in q]) for i, (x, q) in enumerate(zip(rng.dirichlet(np.ones(n)), rng.dirichlet(alpha, n), strict=True))]
+    return rows, spark.createDataFrame(rows, "cell string, w double, p array<double>").repartition(3)
+
+
+@pytest.mark.parametrize(("alpha", "targets"), [((0.4, 0.4), {"a": 0.75, "b": 0.25}), ((3.0, 0.6, 0.05), {"a": 0.9, "b": 0.08, "c": 0.02}), ((0.3,) * 7, dict(zip("abcdefg", (0.4, 0.2, 0.1, 0.1, 0.1, 0.06, 0.04), strict=True)))])
+def test_expected_shares_meet_targets(spark, alpha, targets):
+    """Rare domains and more than five of them; every expected share is within two per cent of its target, as at the optimum."""
+    domains = sorted(targets)
+    rows, cells = cells_of(spark, 60, alpha, 4)
+    rates = mixing.fitted_rates(cells, domains, targets)
+    found = {r.cell: r.rate for r in rates.collect()}
+    share = sum(r[1] * found[r[0]] * np.array(r[2]) for r in rows)
+    goal = np.array([targets[d] for d in domains])
+    assert np.allclose(brute_shares([r[1:] for r in rows], domains, targets, mixing.PENALTY)[1], goal, rtol=0.02)
+    assert np.allclose(share, goal, rtol=0.02) and min(found.values()) >= 0
+    totals = mixing.expected_totals(rates, domains, targets, 1.0)
+    assert [t["domain"] for t in totals] == domains and np.allclose([t["expected"] for t in totals], share)
+
+
+def test_rates_equal_numpy_where_targets_are_out_of_reach(spark):
+    """No mix of these cells has a quarter of b; the steps end at the optimum of the objective."""
+    rows = [("0", 0.5, [0.95, 0.05]), ("1", 0.3, [0.9, 0.1]), ("2", 0.2, [0.99, 0.01])]
+    cells = spark.createDataFrame(rows, "cell string, w double, p array<double>")
     targets = {"a": 0.75, "b": 0.25}
-    found = {r.cell: r.rate for r in mixing.fitted_rates(cells, domains, targets, 1.0, 60, 0.001).collect()}
-    wanted = brute_rates([(r[1], r[2]) for r in rows], domains, targets, 60, 0.001)
-    assert [found[i] for i in range(12)] == pytest.approx(list(wanted), abs=1e-9)
-    share = sum(r[1] * found[r[0]] * r[2][0] for r in rows)
-    assert abs(share - 0.75) < 0.05 and min(found.values()) >= 0
+    found = {r.cell: r.rate for r in mixing.fitted_rates(cells, ["a", "b"], targets, penalty=0.05).collect()}
+    wanted, share = brute_shares([r[1:] for r in rows], ["a", "b"], targets, 0.05)
+    got = sum(r[1] * found[r[0]] * np.array(r[2]) for r in rows)
+    assert np.allclose(got, share, rtol=0.02) and np.allclose([found[r[0]] for r in rows], wanted, atol=0.1)
+
+
+def test_posteriors_equal_naive_bayes(spark):
+    rng = np.random.default_rng(8)
+    levels = {"f": 3, "g": 2}
+    marked = [(d, int(f), int(g), int(rng.integers(1, 9))) for d in ("a", "b") for f in range(3) for g in range(2) if rng.random() < 0.8]
+    cells = [(f"{f}{g}", f, g) for f in range(3) for g in range(2)]
+    got = mixing.posteriors(spark.createDataFrame(cells, "cell string, f int, g int"), spark.createDataFrame(marked, "domain string, f int, g int, n long"), ["a", "b", "c"], levels)
+    n = {d: sum(m[3] for m in marked if m[0] == d) for d in "abc"}
+    for r in got.collect():
+        odds = [(n[d] + 1) / (sum(n.values()) + 3) * (sum(m[3] for m in marked if m[0] == d and m[1] == r.f) + 1) / (n[d] + 3) * (sum(m[3] for m in marked if m[0] == d and m[2] == r.g) + 1) / (n[d] + 2) for d in "abc"]
+        assert r.p == pytest.approx([x / sum(odds) for x in odds])
 
 
 def test_classifier_tells_domains(spark):
@@ -357,12 +389,43 @@ def test_terms_and_levels(spark):
     terms = mixing.domain_terms(docs(spark, rows).select(F.col("doc_id").alias("i"), "text"), marks, ["good", "poor", "toxic"])
     assert set(terms["toxic"]) == {"vile", "foul"} and terms["good"] == []
     levels = mixing.levels_by_name(terms)
-    got = mixing.featured(docs(spark, [(1, "VILE and foul!", "en"), (2, "vile", "en"), (3, "evile", "en")]), "text", "lang", terms)
-    found = {r.doc_id: r.f_terms_2 for r in got.withColumns(mixing.levels_of(F.col("__cell"), levels)).collect()}
+    got = mixing.featured(docs(spark, [(1, "VILE and foul!", "en"), (2, "vile", "en"), (3, "evile", "en")]), "text", "lang", terms, "tokens", "cell")
+    found = {r.doc_id: r.f_terms_2 for r in got.withColumns(mixing.levels_of(F.col("cell"), levels)).collect()}
     assert found == {1: 2, 2: 1, 3: 0}
-    with pytest.raises(ValueError, match="domains"):
-        mixing.domains_of(marks, {str(i): 0.1 for i in range(6)})
 
 
-def test_cells_are_numbered_apart():
+def test_cells_are_numbered_apart(spark):
     assert mixing.CELLS == np.prod(list(mixing.LEVELS.values()))
+    levels = mixing.levels_by_name({"a": [], "b": []})
+    some = spark.createDataFrame([("0:00",), ("7679:21",), ("4:02",)], "cell string").withColumns(mixing.levels_of(F.col("cell"), levels))
+    assert [[r[f] for f in levels] for r in some.collect()] == [[0] * 7, [15, 9, 3, 2, 3, 2, 1], [0, 0, 0, 1, 0, 0, 2]]
+
+
+def test_calibrated_posteriors_have_the_labels_totals(spark):
+    rng = np.random.default_rng(3)
+    shares = spark.createDataFrame([(str(c), [float(x) for x in rng.dirichlet((1, 1, 1))]) for c in range(40)], "cell string, p array<double>")
+    marked = [(str(c), d, int(rng.integers(0, 50))) for c in range(30) for d in "ab"]
+    got = {r.cell: r.p for r in mixing.calibrated(shares, spark.createDataFrame(marked, "cell string, domain string, t long"), ["a", "b", "c"]).collect()}
+    for i, d in enumerate("ab"):
+        assert sum(t * got[c][i] for c, _, t in marked) == pytest.approx(sum(t for _, x, t in marked if x == d), rel=0.02)
+    assert len(got) == 40 and all(sum(p) == pytest.approx(1) for p in got.values())
+
+
+def test_seven_domains_and_clashing_columns(spark, monkeypatch):
+    """Each domain has a word of its own; rates follow seven targets. Users' columns keep their values, also if rates aren't broadcast."""
+    rows = [(i, f"topic{'abcdefg'[i % 7]} " * 3 + "and more words of any kind", "en") for i in range(700)]
+    marks = spark.createDataFrame([(i, f"d{i % 7}") for i in range(0, 700, 2)] + [(1, "d1")], "doc_id long, kind string")
+    targets = {f"d{k}": x for k, x in enumerate((0.4, 0.2, 0.1, 0.1, 0.1, 0.06, 0.04))}
+    df = docs(spark, rows).withColumns({"__tokens": F.lit("mine"), "__cell": F.lit("own"), "__chars": F.lit(3), "rate": F.lit("r")})
+    out = []
+    for most in (mixing.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(mixing, "BROADCAST_ROWS", most)
+        got = mixing.mixed(df, marks, domain="kind", targets=targets)
+        assert got.columns == [*df.columns, "mix_tokens", "mix_rate", "mix_copies"]
+        out.append(got.collect())
+        assert {(r["__tokens"], r["__cell"], r["__chars"], r["rate"]) for r in out[-1]} == {("mine", "own", 3, "r")}
+    shares = collections.Counter()
+    for r in out[0]:
+        shares[f"d{r.doc_id % 7}"] += r.mix_tokens * r.mix_rate / sum(x.mix_tokens for x in out[0])
+    assert all(abs(shares[d] - t) < 0.05 * t + 0.01 for d, t in targets.items())
+    assert {r.doc_id: r.mix_rate for r in out[0]} == pytest.approx({r.doc_id: r.mix_rate for r in out[1]})
