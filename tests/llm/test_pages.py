@@ -1,11 +1,13 @@
 """HTML extraction and WARC archives."""
 
 import base64
+import collections
 import gzip
 import hashlib
 import itertools
 import json
 import random
+import re
 
 import pytest
 
@@ -38,6 +40,57 @@ def test_main_text(page, wanted):
     assert html_text.main_text(page) == wanted
 
 
+LONG = "The first measurement was taken in a dry winter, and the second one followed in the rainy spring of the year after. "
+P1, P2, P3 = (f"{LONG}{x}" * 1 for x in ("It was repeated twice.", "Nobody had asked for it, but the data were kept.", "All of this is in the tables below."))
+#: Pages with their main text, told by hand.
+HAND = [
+    (f"<div id=page class=has-sidebar><article><h1>Title</h1><p>{P1}</p></article><div class=sidebar><a href=1>Shop</a></div></div>", f"Title\n{P1}"),
+    (f'<div class="site with-footer"><main><h1>Title</h1><p>{P1}</p><p>{P2}</p></main></div><footer>Imprint</footer>', f"Title\n{P1}\n{P2}"),
+    (f'<article><h1>On law</h1><p>{P1}</p><section class="legal-analysis"><h2>Analysis</h2><p>{P2}</p></section><section class="search-algorithms"><p>{P3}</p></section></article>', f"On law\n{P1}\nAnalysis\n{P2}\n{P3}"),
+    (f'<article><p>{P1}</p><div class="related-work"><h2>Related work</h2><p>{P2}</p></div></article>', f"{P1}\nRelated work\n{P2}"),
+    (f"<article><p>Press the <button>Start</button> key once, then wait for the light. {P1}</p><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>", f"Press the Start key once, then wait for the light. {P1}\nSo x=2 holds."),
+    (f"<article><h1>T</h1><p>{P1}</p><p>{P2}</p></article><div class='c'><p>I read this with joy, and my whole family did so too, thank you.</p><p>Me too.</p></div>", f"T\n{P1}\n{P2}"),
+    (f"<article><h1>T</h1><p>{P1}</p></article><section><h3>3 Comments</h3><div><b>Ann</b> I read this with joy, and my whole family did so too.</div><div>Thank you!</div></section>", f"T\n{P1}"),
+    (f'<main><article><h1>T</h1><p>{P1}</p><p>Yes.</p><p>{P2}</p></article><ol class="comment-list"><li><article class="comment"><p>{P3} I agree.</p></article></li></ol></main>', f"T\n{P1}\nYes.\n{P2}"),
+    (f'<div class="layout-sidebar"><div class="nav-menu"><a href=1>Home</a> <a href=2>News</a></div><div id="main-content"><h1>T</h1><p>{P1}</p><ul><li>one</li><li>two</li></ul><p>{P2}</p></div><div class="related-posts"><a href=3>More</a></div></div>', f"T\n{P1}\none\ntwo\n{P2}"),
+    (f"<table><tr><td><a href=1>Home</a><br><a href=2>About</a></td><td><h1>T</h1><p>{P1}</p><p>{P2}</p></td></tr></table><p>(c) 2001 by us</p>", f"T\n{P1}\n{P2}"),
+    (f"<body><article><h1>T</h1><p>{P1}</p><div class='ad-box'>Buy two lamps and pay for one of them only today.</div><p>{P2}</p><form>Your mail <input> <button>Send</button></form></article></body>", f"T\n{P1}\n{P2}"),
+    (f"<header class='site-header'><h1>The Paper</h1><nav>News Sport</nav></header><article><header><h2>T</h2><p>By Ann</p></header><p>{P1}</p><aside>Box</aside></article><footer>(c)</footer>", f"T\nBy Ann\n{P1}"),
+    (f"<article><h2>One</h2><p>{P1}</p></article><article><h2>Two</h2><p>{P2}</p></article><div role=complementary><p>Join us now.</p></div>", f"One\n{P1}\nTwo\n{P2}"),
+    (f"<article><p>{P1}</p><dl><dt>Term</dt><dd>Its meaning.</dd></dl><table><tr><th>Year</th><td>2001</td></tr></table><pre>x = 1</pre><blockquote>Said so.</blockquote></article>", f"{P1}\nTerm\nIts meaning.\nYear\n2001\nx = 1\nSaid so."),
+    (f"<div class='cookie-banner'><p>We use cookies to make this site better for all of its readers.</p></div><div><div><p>{P1}</p><p>{P2}</p></div></div><div class='newsletter-signup'>Get our mail.</div>", f"{P1}\n{P2}"),
+]
+
+
+@pytest.mark.parametrize("k", range(len(HAND)))
+def test_pages_told_by_hand(k):
+    page, wanted = HAND[k]
+    assert html_text.main_text(page) == wanted
+
+
+def test_the_cut_decides(spark, data):
+    """Labels by the classifier alone differ from those of the cut, and the cut's are right on every page."""
+    rows = table(spark, data, "pages").collect()
+    weights = html_text.learn(table(spark, data, "pages").select("page_id", "html").withColumnRenamed("page_id", "id"))
+    alone = both = 0
+    for r in rows:
+        told = html_text.labelled(r.html, weights)
+        article = re.search(r"<article>(.*?)(?:</article>|\Z)", r.html, re.DOTALL)[1]
+        lines = [" ".join(html_text.html.unescape(re.sub(r"</?b>", "", x).replace("<br>", " ")).split()) for x in re.split(r"</?(?:p|h1)>", article)]
+        assert "\n".join(t for t, _, keep in told if keep) == "\n".join(x for x in lines if x)
+        alone += sum((cost > 0) != keep for _, cost, keep in told)
+        both += len(told)
+    assert 0 < alone < both / 10
+
+
+def test_extract_equals_page_by_page(spark, data):
+    """The query's texts are those of the pages one by one, with the weights of the sample's cells counted by hand."""
+    df = table(spark, data, "pages")
+    counts = sum((html_text.cells(r.html) for r in df.collect()), collections.Counter())
+    weights = html_text.fit(counts)
+    assert {r.id: r.text for r in html_text.extract(df, sample=10**6).collect()} == {r.page_id: html_text.main_text(r.html, weights) for r in df.collect()}
+
+
 def test_minimum_cut_equals_brute_force():
     rng = random.Random(7)
     for _ in range(300):
