@@ -70,6 +70,11 @@ def own_columns(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
+def text_key(text_col: str) -> Column:
+    """The MD5 of a text, by which equal texts are told."""
+    return F.unhex(F.md5(F.col(text_col).cast("string").cast("binary")))
+
+
 def fresh(names: Iterable[str], *frames: DataFrame) -> list[str]:
     """Column names like the given ones that no frame has, whatever the case."""
     taken = {c.lower() for df in frames for c in df.columns}

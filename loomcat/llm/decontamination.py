@@ -4,35 +4,44 @@ A window of a document has as many words as a benchmark item; for an item that i
 document, the whole document is the one window. A window's fingerprint has 64
 signs of the summed hashes of its five-word shingles. The items' fingerprints are indexed by
 four blocks of 16 bits; a window looks up all values within `radius // 4` bits of each of its
-blocks, so that by the pigeonhole principle every item within `radius` bits is found. What is
+blocks, so that by the pigeonhole principle every item of its size within `radius` bits is found. What is
 found is verified: the overlap of the two shingle multisets must reach `threshold`.
-A window of n shingles can reach it only if at least 2tn / (1 + t) of them occur in items of
-its size; other windows are not fingerprinted, which loses nothing. A whole document is not
-fingerprinted: it is verified against all longer items that share enough of its shingles.
 
-Items go to the executors in parts of a bounded number of bytes and of at most 64 sizes.
+Documents are read once, whatever the benchmark: a filter of bounded size over the benchmark's shingles tells
+the regions of a text, which are all windows of any size at least half of whose shingles the filter has.
+A window that reaches the threshold has eight of nine, so this loses nothing. Only the regions go on, each once for equal texts,
+and they meet the items in parts: an item's part is told by its hash, and a region goes to the parts that hold
+some of its shingles. Parts with many regions are dealt over blocks. Nothing of the benchmark but the filter is at
+the driver.
 
 Defined results: null texts, texts of fewer than five words and items of fewer than five
-words are in no pair. Equal items are each reported. Repeated ids are reported once.
+words are in no pair. Equal items are each reported. Repeated ids are reported once; of equal texts under one id
+windows count once. Very long texts are read whole. Columns of the documents keep their names and values, whatever they are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcat.llm.common import mapped, ship, slices
-from loomcat.llm.words import SHINGLE, shingles, weighted_overlap, word_hashes
+from loomcat.llm.common import fresh, mapped, mix64, own_columns, slices, spread_join, text_key, written
+from loomcat.llm.words import SHINGLE, bag_overlap, shingles, word_hashes
 
 THRESHOLD = 0.8
 RADIUS = 19  # two multisets with overlap 0.8 differ in 9.7 of 64 bits on average, with deviation 2.9
-PART_BYTES = 16 << 20
-FILTER = 1 << 22
-REGION = 1 << 15  # shingles that are fingerprinted at once
+LOAD, MOST_BITS = 32, 1 << 27  # bits of the filter for each shingle of the benchmark, and bits at most: a fuller filter only makes regions longer
+PART_SHINGLES = 1 << 20  # shingles of the items in a part
+BLOCK_ROWS, BLOCK_SHARE = 256, 400  # regions of a part that meet in one task, at least, and one for so many of the part's shingles
+REGION = 1 << 15  # windows that are fingerprinted at once
+BROADCAST_KEYS = 1 << 20  # keys of 16 bytes
+
+ITEMS = "item_id long, n int, runs array<long>, part int"
+REGIONS = "id long, key binary, first long, whole boolean, runs array<long>"
+MATCHES = "key binary, item_id long, first_word long, n_words long, similarity double"
 
 _BITS = np.arange(1 << 16, dtype=np.uint32)
 _BITS = _BITS[np.argsort(np.bitwise_count(_BITS), kind="stable")]
@@ -48,183 +57,235 @@ def fingerprints(items: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray
 
 
 class Index:
-    """Items by id: shingles, sizes, and the blocks of their fingerprints."""
-
-    def __init__(self, ids: list, texts: pa.Array, threshold: float = THRESHOLD, radius: int = RADIUS):
-        words, starts, _ = word_hashes(texts)
-        runs, begin = shingles(words, starts, short_texts=False)
-        use = [i for i in range(len(ids)) if begin[i + 1] > begin[i]]
-        self.ids = [ids[i] for i in use]
-        self.runs = [runs[begin[i] : begin[i + 1]] for i in use]
-        self.sizes = np.array([len(r) for r in self.runs], dtype=np.int64)
-        self.threshold, self.radius = threshold, radius
-        self.lengths = np.unique(self.sizes)
-        prints = np.array([fingerprints(r, np.zeros(1, dtype=np.int64), len(r))[0] for r in self.runs], dtype=np.uint64)
-        self.prints = prints
+    """Items by id: bags of shingles, sizes, and by size the blocks of their fingerprints."""
+
+    def __init__(self, ids: list, runs: list[np.ndarray], threshold: float = THRESHOLD, radius: int = RADIUS):
+        self.ids, self.threshold, self.radius = ids, threshold, radius
+        self.bags = [np.unique(r, return_counts=True) for r in runs]
+        self.sizes = np.array([len(r) for r in runs], dtype=np.int64)
+        self.prints = np.array([fingerprints(r, np.zeros(1, dtype=np.int64), len(r))[0] for r in runs], dtype=np.uint64)
         self.near = _BITS[np.bitwise_count(_BITS) <= radius // 4]
-        self.blocks = []
-        for b in range(4):
-            value = ((prints >> np.uint64(16 * b)) & np.uint64(0xFFFF)).astype(np.int64)
-            order = np.argsort(value, kind="stable")
-            self.blocks.append((order, np.searchsorted(value[order], np.arange((1 << 16) + 1))))
-        marks: dict[int, int] = {}
-        for r, n in zip(self.runs, self.sizes, strict=True):
-            bit = 1 << int(np.searchsorted(self.lengths, n))
-            for x in r.tolist():
-                marks[x] = marks.get(x, 0) | bit
-        self.shingles = np.array(sorted(marks), dtype=np.uint64)
-        self.marks = np.array([marks[x] for x in sorted(marks)], dtype=np.uint64)
-        flat, item = np.concatenate([*self.runs, np.empty(0, dtype=np.uint64)]), np.repeat(np.arange(len(self.runs), dtype=np.int32), self.sizes)
-        order = np.lexsort((item, flat))
-        flat, item = flat[order], item[order]
+        self.blocks: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+        for size in np.unique(self.sizes).tolist():
+            own, tables = np.flatnonzero(self.sizes == size), []
+            for b in range(4):
+                value = ((self.prints[own] >> np.uint64(16 * b)) & np.uint64(0xFFFF)).astype(np.uint32)
+                order = np.argsort(value, kind="stable")
+                names, begin = np.unique(value[order], return_index=True)
+                tables.append((names, np.append(begin, len(own)), own[order]))
+            self.blocks[size] = tables
+        flat = np.concatenate([*runs, np.empty(0, dtype=np.uint64)])
+        size = np.repeat(self.sizes, self.sizes)
+        order = np.lexsort((size, flat))
+        flat, size = flat[order], size[order]
         new = np.ones(len(flat), dtype=bool)
-        new[1:] = (flat[1:] != flat[:-1]) | (item[1:] != item[:-1])
-        self.holders = item[new]  # the items of each shingle, in the order of shingles
-        self.holds = np.append(np.searchsorted(flat[new], self.shingles), len(self.holders))
-        self.filter = np.zeros(FILTER, dtype=bool)
-        self.filter[self.shingles % np.uint64(FILTER)] = True
-
-    def within(self, prints: np.ndarray, size: int) -> list[tuple[int, int]]:
-        """(window, item) of that size whose fingerprints are within the radius."""
-        found = set()
-        for b, (order, begin) in enumerate(self.blocks):
+        new[1:] = (flat[1:] != flat[:-1]) | (size[1:] != size[:-1])
+        flat, self.holders = flat[new], size[new]  # the sizes of the items that hold a shingle, in the order of shingles
+        self.shingles, begin = np.unique(flat, return_index=True)
+        self.holds = np.append(begin, len(flat))
+
+    def within(self, prints: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Windows and items of that size whose fingerprints are within the radius."""
+        windows, items = [], []
+        for b, (names, begin, own) in enumerate(self.blocks[size]):
             value = ((prints >> np.uint64(16 * b)) & np.uint64(0xFFFF)).astype(np.uint32)
-            probe = value[:, None] ^ self.near[None, :]
-            full = np.argwhere(begin[probe + 1] > begin[probe])
-            for w, k in full:
-                v = probe[w, k]
-                for item in order[begin[v] : begin[v + 1]]:
-                    if self.sizes[item] == size and (prints[w] ^ self.prints[item]).bit_count() <= self.radius:
-                        found.add((int(w), int(item)))
-        return sorted(found)
-
-    def matches(self, texts: pa.Array) -> Iterator[tuple[int, int, int, int, float]]:
-        """(text, item, first word, words, similarity) of all windows that reach the threshold."""
-        if not self.ids:
-            return
-        words, starts, _ = word_hashes(texts)
-        runs, begin = shingles(words, starts, short_texts=False)
-        maybe = np.flatnonzero(self.filter[(runs % np.uint64(FILTER)).astype(np.int64)])
-        at = np.searchsorted(self.shingles, runs[maybe])
-        at[at == len(self.shingles)] = 0
-        same = self.shingles[at] == runs[maybe]
-        hits, spots = maybe[same], at[same]
-        marks = self.marks[spots]
-        owner = np.searchsorted(begin, hits, side="right") - 1
-        for text in np.unique(owner):
-            own = owner == text
-            place, mark = hits[own] - begin[text], marks[own]
-            items = runs[begin[text] : begin[text + 1]]
-            yield from self._whole(int(text), items, spots[own])
-            for k, size in enumerate(self.lengths):
-                has = place[(mark >> np.uint64(k)) & np.uint64(1) == 1]
-                need = int(np.ceil(2 * self.threshold * size / (1 + self.threshold) - 1e-9))
-                if len(has) < need or size > len(items):
-                    continue
-                flags = np.zeros(len(items) + 1, dtype=np.int64)
-                flags[has + 1] = 1
-                sums = np.cumsum(flags)
-                windows = np.flatnonzero(sums[size:] - sums[: len(sums) - size] >= need)
-                yield from self._checked(int(text), items, windows, int(size))
-
-    def _whole(self, text: int, items: np.ndarray, spots: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
-        """Matches of the whole text with longer items, of which it must hold t (n + m) / (1 + t) shingles."""
-        need = self.threshold * (self.sizes + len(items)) / (1 + self.threshold) - 1e-9
-        longer = (self.sizes > len(items)) & (need <= len(spots))
-        if not longer.any():
+            if len(names) <= len(self.near):  # fewer full buckets than values within reach: the buckets are gone through
+                w, k = np.nonzero(np.bitwise_count(value[:, None] ^ names[None, :]) <= self.radius // 4)
+            else:
+                probe = value[:, None] ^ self.near[None, :]
+                at = np.minimum(np.searchsorted(names, probe), len(names) - 1)
+                w, hit = np.nonzero(names[at] == probe)
+                k = at[w, hit]
+            count = begin[k + 1] - begin[k]
+            windows.append(np.repeat(w, count))
+            items.append(own[np.repeat(begin[k] - np.cumsum(count) + count, count) + np.arange(count.sum())])
+        w, i = np.concatenate(windows), np.concatenate(items)
+        close = np.bitwise_count(prints[w] ^ self.prints[i]) <= self.radius
+        found = np.unique(w[close] * len(self.ids) + i[close])
+        return found // len(self.ids), found % len(self.ids)
+
+    def matches(self, runs: np.ndarray, whole: bool) -> Iterator[tuple[int, int, int, float]]:
+        """(item, first shingle, shingles, similarity) of all windows of a region that reach the threshold. whole: the region is all of its text."""
+        at = np.minimum(np.searchsorted(self.shingles, runs), max(0, len(self.shingles) - 1))
+        hit = self.shingles[at] == runs if len(self.shingles) else np.zeros(len(runs), dtype=bool)
+        if not hit.any():
             return
-        shared = np.zeros(len(self.sizes), dtype=np.int64)
-        for spot, n in zip(*np.unique(spots, return_counts=True), strict=True):
-            shared[self.holders[self.holds[spot] : self.holds[spot + 1]]] += n
-        for item in np.flatnonzero(longer & (shared >= need)):
-            score = weighted_overlap(items, self.runs[item])
-            if score >= self.threshold:
-                yield text, int(item), 0, len(items) + SHINGLE - 1, score
-
-    def _checked(self, text: int, items: np.ndarray, windows: np.ndarray, size: int) -> Iterator[tuple[int, int, int, int, float]]:
+        spots = np.unique(at[hit])
+        sizes = np.unique(np.concatenate([self.holders[self.holds[s] : self.holds[s + 1]] for s in spots]))
+        sums = np.concatenate([[0], np.cumsum(hit)])
+        for size in sizes.tolist():
+            n = min(size, len(runs))
+            if size > len(runs) and not (whole and n >= self.threshold * size):
+                continue
+            windows = np.flatnonzero(2 * (sums[n:] - sums[: len(sums) - n]) >= n)
+            yield from self._checked(runs, windows, n, size)
+
+    def _checked(self, runs: np.ndarray, windows: np.ndarray, n: int, size: int) -> Iterator[tuple[int, int, int, float]]:
         while len(windows):
             base = windows[0]
             part = windows[windows < base + REGION]
             windows = windows[len(part) :]
-            prints = fingerprints(np.ascontiguousarray(items[base : part[-1] + size]), part - base, size)
-            for i in range(0, len(part), 64):
-                for w, item in self.within(prints[i : i + 64], size):
+            prints = fingerprints(np.ascontiguousarray(runs[base : part[-1] + n]), part - base, n)
+            for i in range(0, len(part), 256):
+                for w, item in zip(*self.within(prints[i : i + 256], size), strict=True):
                     first = int(part[i + w])
-                    score = weighted_overlap(items[first : first + size], self.runs[item])
+                    score = bag_overlap(np.unique(runs[first : first + n], return_counts=True), self.bags[item])
                     if score >= self.threshold:
-                        yield text, item, first, size + SHINGLE - 1, score
-
-
-def indexes(benchmark: DataFrame, id_col: str, text_col: str, threshold: float, radius: int) -> Iterator[Index]:
-    """The benchmark's items in parts of bounded size, streamed through the driver one part at a time."""
-    items = benchmark.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).orderBy(F.size(F.split("text", r"\s+")), "id", "text")
-    ids, texts, total, sizes = [], [], 0, set()
-    for row in items.toLocalIterator():
-        size = len(shingles(*word_hashes(pa.array([row.text]))[:2], short_texts=False)[0])
-        if ids and (total + len(row.text) > PART_BYTES or len(sizes | {size}) > 64):
-            yield Index(ids, pa.array(texts, pa.string()), threshold, radius)
-            ids, texts, total, sizes = [], [], 0, set()
-        ids.append(row.id)
-        texts.append(row.text)
-        sizes.add(size)
-        total += len(row.text)
-    if ids:
-        yield Index(ids, pa.array(texts, pa.string()), threshold, radius)
-
-
-def _found(sent, id_type: pa.DataType) -> Callable:
+                        yield int(item), first, n, score
+
+
+def _itemized(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = sent.value
         for batch in batches:
             for part in slices(batch, 1):
-                rows = list(index.matches(part.column(1)))
+                words, starts, _ = word_hashes(part.column(1))
+                runs, begin = shingles(words, starts, short_texts=False)
+                n = np.diff(begin)
+                some = np.flatnonzero(n)
+                where = np.array([int(mix64(np.bitwise_xor.reduce(runs[begin[i] : begin[i + 1]], keepdims=True))[0] % np.uint64(parts)) for i in some], dtype=np.int32)
+                lists = pa.ListArray.from_arrays(np.append(begin[some], begin[-1]).astype(np.int32), pa.array(runs.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(some)), pa.array(n[some], pa.int32()), lists, pa.array(where, pa.int32())], ["item_id", "n", "runs", "part"])
+
+    return run
+
+
+def benchmark_items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """ITEMS: those that have a shingle, each in a part that its shingles tell."""
+    rows = benchmark.filter(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text"))
+    total = rows.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0  # at least as many as shingles
+    return written(mapped(rows, _itemized(max(1, -(-total // PART_SHINGLES))), ITEMS), "items")
+
+
+def _probes(runs: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    return runs & np.uint64(bits - 1), mix64(runs ^ np.uint64(0x2545F4914F6CDD1D)) & np.uint64(bits - 1)
+
+
+def _set_bits(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mark = np.zeros(bits // 64, dtype=np.uint64)
+        for batch in batches:
+            runs = np.asarray(batch.column(0).flatten()).view(np.uint64)
+            for place in _probes(runs, bits):
+                np.bitwise_or.at(mark, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+        full = np.flatnonzero(mark)
+        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array(mark[full].view(np.int64))], ["word", "bits"])
+
+    return run
+
+
+def shingle_filter(items: DataFrame, total: int) -> np.ndarray:
+    """The bits of the items' shingles, as words of 64; at most MOST_BITS."""
+    bits = min(MOST_BITS, 1 << max(16, (LOAD * total - 1).bit_length()))
+    got = mapped(items.select("runs"), _set_bits(bits), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    mark = np.zeros(bits // 64, dtype=np.uint64)
+    mark[np.asarray(got.column("word"))] = np.asarray(got.column("bits")).view(np.uint64)
+    return mark
+
+
+def spans(hit: np.ndarray) -> list[tuple[int, int]]:
+    """The runs of places that lie in any stretch with as many hits as misses at least."""
+    sums = np.concatenate([[0], np.cumsum(np.where(hit, 1, -1))])
+    low, high = np.minimum.accumulate(sums[:-1]), np.maximum.accumulate(sums[:0:-1])[::-1]
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], (high >= low).astype(np.int8), [0]])))
+    return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
+
+
+def _found_regions(sent, least: int, threshold: float):
+    """Regions that can hold a window of the least item's size, or all of a text that can be one."""
+    short = max(1, int(np.ceil(threshold * least)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mark = sent.value
+        bits = 64 * len(mark)
+        for batch in batches:
+            for part in slices(batch, 2):
+                words, starts, _ = word_hashes(part.column(2))
+                runs, begin = shingles(words, starts, short_texts=False)
+                hit = np.ones(len(runs), dtype=bool)
+                for place in _probes(runs, bits):
+                    hit &= (mark[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+                count = np.concatenate([[0], np.cumsum(hit)])
+                rows, first, whole, lists = [], [], [], []
+                for i in np.flatnonzero(count[begin[1:]] - count[begin[:-1]] >= (short + 1) // 2):
+                    own = slice(begin[i], begin[i + 1])
+                    for a, b in spans(hit[own]):
+                        full = b - a == begin[i + 1] - begin[i]
+                        if b - a >= (short if full else least):
+                            rows.append(i)
+                            first.append(a)
+                            whole.append(full)
+                            lists.append(runs[begin[i] + a : begin[i] + b])
+                at = pa.array(rows, pa.int64())
+                flat = np.concatenate([*lists, np.empty(0, np.uint64)])
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).take(pa.array([r[0] for r in rows], pa.int64())),
-                        pa.array([index.ids[r[1]] for r in rows], pa.int64()),
-                        pa.array([r[2] for r in rows], pa.int64()),
-                        pa.array([r[3] for r in rows], pa.int64()),
-                        pa.array([r[4] for r in rows], pa.float64()),
-                    ],
-                    ["id", "item_id", "first_word", "n_words", "similarity"],
+                    [part.column(0).take(at), part.column(1).take(at), pa.array(first, pa.int64()), pa.array(whole, pa.bool_()), pa.ListArray.from_arrays(offsets, pa.array(flat.view(np.int64)))], ["id", "key", "first", "whole", "runs"]
                 )
 
     return run
 
 
+def _matched(threshold: float, radius: int):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows: list[tuple] = []
+        if left.num_rows and right.num_rows:
+            lists = lambda t: [np.asarray(x.values).view(np.uint64) for x in t.column("runs")]
+            index = Index(right.column("item_id").to_pylist(), lists(right), threshold, radius)
+            for key, first, whole, runs in zip(left.column("key").to_pylist(), left.column("first").to_pylist(), left.column("whole").to_pylist(), lists(left), strict=True):
+                rows += [(key, index.ids[item], first + at, n + SHINGLE - 1, score) for item, at, n, score in index.matches(runs, whole)]
+        kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
+        return pa.table({x.split()[0]: pa.array([r[k] for r in rows], kinds[k]) for k, x in enumerate(MATCHES.split(", "))})
+
+    return run
+
+
+def regions(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
+    """REGIONS of the documents, which are read once."""
+    spark = docs.sparkSession
+    total, least = items.agg(F.sum("n"), F.min("n")).first()
+    if not total:
+        return spark.createDataFrame([], REGIONS)
+    sent = spark.sparkContext.broadcast(shingle_filter(items, total))
+    rows = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), text_key(text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
+    return written(mapped(rows, _found_regions(sent, least, threshold), REGIONS), "regions")
+
+
+def matches(found: DataFrame, items: DataFrame, threshold: float, radius: int) -> DataFrame:
+    """MATCHES of the regions, each once for equal texts."""
+    once = found.drop("id").dropDuplicates(["key", "first"])
+    sizes = items.groupBy("part").agg(F.sum("n").alias("shingles"))
+    if sizes.count() > 1:
+        held = items.select("part", F.explode("runs").alias("s")).distinct()
+        routes = spread_join(once.select("key", "first", F.explode(F.array_distinct("runs")).alias("s")), held, "s").select("key", "first", "part").distinct()
+        once = once.join(routes, ["key", "first"])
+    else:
+        once = once.withColumn("part", F.lit(0))
+    once = written(once, "routed")
+    rows = F.greatest(F.lit(BLOCK_ROWS), F.col("shingles") / BLOCK_SHARE)
+    dealt = written(once.groupBy("part").agg(F.count("*").alias("n")).join(sizes, "part").select("part", F.ceil(F.col("n") / rows).alias("blocks")), "dealt")  # a row for each part
+    left = once.join(F.broadcast(dealt), "part").withColumn("block", F.pmod(F.xxhash64("key", "first"), "blocks")).drop("blocks")
+    right = items.join(F.broadcast(dealt), "part").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks")
+    return left.groupBy("part", "block").cogroup(right.groupBy("part", "block")).applyInArrow(_matched(threshold, radius), MATCHES)
+
+
 def contaminations(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, radius: int = RADIUS
 ) -> DataFrame:
     """One row per (id, item_id) with a window that matches: the best window's first word, its words, the similarity, and the number of windows."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = spark.createDataFrame([], "id long, item_id long, first_word long, n_words long, similarity double")
-    for index in indexes(benchmark.withColumn(item_id, F.col(item_id).cast("long")), item_id, item_text, threshold, radius):
-        found = found.unionByName(mapped(texts, _found(spark.sparkContext.broadcast(index), pa.int64()), "id long, item_id long, first_word long, n_words long, similarity double"))
+    items = benchmark_items(benchmark, item_id, item_text)
+    found = regions(docs, items, id_col, text_col, threshold)
     best = F.max(F.struct("similarity", (-F.col("first_word")).alias("f"), "n_words"))
-    pairs = found.groupBy("id", "item_id").agg(best.alias("b"), F.count("*").alias("n_windows"))
+    pairs = written(matches(found, items, threshold, radius).groupBy("key", "item_id").agg(best.alias("b"), F.count("*").alias("w")), "pairs")
+    owners = found.select("id", "key").distinct()
+    pairs = spread_join(owners, pairs, "key").groupBy("id", "item_id").agg(F.max("b").alias("b"), F.sum("w").alias("n_windows"))
     return pairs.select("id", "item_id", (-F.col("b.f")).alias("first_word"), "b.n_words", "b.similarity", "n_windows")
 
 
-def contaminated(docs: DataFrame, index: Index, text_col: str) -> Column:
-    spark = docs.sparkSession
-    ship(spark)
-    sent = spark.sparkContext.broadcast(index)
-
-    @F.arrow_udf("boolean")
-    def udf(texts: pa.Array) -> pa.Array:
-        out = np.zeros(len(texts), dtype=bool)
-        at = 0
-        for part in slices(pa.RecordBatch.from_arrays([texts], ["t"]), 0):
-            out[[at + r[0] for r in sent.value.matches(part.column(0))]] = True
-            at += part.num_rows
-        return pa.array(out)
-
-    return udf(F.col(text_col).cast("string"))
-
-
 def kept(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
     """The rows of docs without a window that matches an item."""
-    for index in indexes(benchmark, item_id, item_text, threshold, radius):
-        docs = docs.filter(~contaminated(docs, index, text_col))
-    return docs
+    items = benchmark_items(benchmark, item_id, item_text)
+    (none, key) = fresh(["none", "key"], docs)
+    found = regions(docs.withColumn(none, F.lit(None).cast("long")), items, none, text_col, threshold)
+    bad = written(matches(found, items, threshold, radius).select(F.col("key").alias(key)).distinct(), "contaminated")
+    bad = F.broadcast(bad) if bad.count() <= BROADCAST_KEYS else bad
+    return docs.withColumn(key, text_key(text_col)).join(bad, key, "left_anti").select(*own_columns(docs))

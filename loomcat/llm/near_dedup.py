@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomcat.llm.common import fresh, mapped, mix64, own_columns, slices, spread_join, written
+from loomcat.llm.common import fresh, mapped, mix64, own_columns, slices, spread_join, text_key, written
 from loomcat.llm.words import bag_overlap, shingles, weighted_overlap, word_hashes
 
 BANDS, ROWS = 42, 6  # at similarity 0.8 a pair shares no band with probability 3e-6
@@ -221,10 +221,6 @@ def _joined(least: float, threshold: float):
     return run
 
 
-def text_key(text_col: str) -> Column:
-    return F.unhex(F.md5(F.col(text_col).cast("string").cast("binary")))
-
-
 def row_keys(df: DataFrame, names: list[str], id_col: Column, key_col: Column) -> DataFrame:
     """df with three columns, of the given names, that tell rows by id and text, with no nulls, so that a join's partitioning serves again."""
     return df.withColumns(dict(zip(names, (id_col.isNull(), F.coalesce(id_col, F.lit(0)), key_col), strict=True)))

@@ -103,7 +103,7 @@ ORACLES: dict[str, str] = {
         select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest, case when page_id = first then 'response' else 'revisit' end as record_type, case when page_id <> first then first end as refers_to from named
     """,
     "op6_license_scan": license_scan.oracle(),
-    # Every window of an item's size that has one of its shingles.
+    # Every window of an item's size that has one of its shingles; of a document that is shorter than the item, all of it.
     "op8_decontamination": r"""
         with texts as (
             select 'd' as kind, doc_id as id, text from documents union all select 'i', item_id, text from benchmark
@@ -114,12 +114,12 @@ ORACLES: dict[str, str] = {
         ), item as (select id as item_id, n, s, count(*) as c from shingles where kind = 'i' group by all),
         doc as (select id as doc_id, n, pos, s from shingles where kind = 'd'),
         starts as (
-            select distinct doc_id, item_id, i.n, d.pos - unnest(range(0, i.n)) as start, d.n as most from doc d join item i on d.s = i.s
+            select distinct doc_id, item_id, i.n as size, least(i.n, d.n) as n, case when i.n > d.n then 0 else d.pos - unnest(range(0, i.n)) end as start, d.n as most from doc d join item i on d.s = i.s where d.n >= 0.8 * i.n
         ), counted as (
-            select t.doc_id, t.item_id, t.n, t.start, d.s, count(*) as c from starts t join doc d on d.doc_id = t.doc_id and d.pos >= t.start and d.pos < t.start + t.n
+            select t.doc_id, t.item_id, t.size, t.n, t.start, d.s, count(*) as c from starts t join doc d on d.doc_id = t.doc_id and d.pos >= t.start and d.pos < t.start + t.n
             where t.start >= 0 and t.start + t.n <= t.most group by all
         ), scored as (
-            select k.doc_id, k.item_id, k.start, k.n, sum(least(k.c, i.c)) / (2 * k.n - sum(least(k.c, i.c))) as similarity from counted k join item i on i.item_id = k.item_id and i.s = k.s group by k.doc_id, k.item_id, k.start, k.n
+            select k.doc_id, k.item_id, k.start, k.n, sum(least(k.c, i.c)) / (k.size + k.n - sum(least(k.c, i.c))) as similarity from counted k join item i on i.item_id = k.item_id and i.s = k.s group by k.doc_id, k.item_id, k.start, k.size, k.n
         )
         select doc_id, item_id, min(start) filter (similarity = m) as first_word, n + 4 as n_words, m as similarity, count(*) as n_windows
         from (select *, max(similarity) over (partition by doc_id, item_id) as m from scored where similarity >= 0.8) group by doc_id, item_id, n, m

@@ -280,25 +280,63 @@ def test_documents_shorter_than_an_item_equal_brute_force(spark):
 
 
 def test_fingerprints_within_the_radius_are_all_found():
+    """Whether few buckets are gone through or all values within reach are looked up."""
     rng = np.random.default_rng(1)
-    texts = [" ".join(f"a{x}" for x in rng.integers(0, 10**6, 20)) for _ in range(40)]
-    index = decontamination.Index(list(range(40)), pa.array(texts))
-    flips = np.array([sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 25), replace=False)) for _ in range(80)], dtype=np.uint64)
-    prints = index.prints[np.arange(80) % 40] ^ flips
-    wanted = {(w, i) for w in range(80) for i in range(40) if int(prints[w] ^ index.prints[i]).bit_count() <= index.radius}
-    assert set(index.within(prints, 16)) == wanted and len(wanted) > 40
-
-
-def test_benchmarks_in_parts(spark, monkeypatch):
-    items = [(i, " ".join(f"x{i}y{j}" for j in range(5 + i))) for i in range(100)]
+    for n, near in ((40, None), (300, 3)):
+        runs = [rng.integers(0, 2**63, 16, dtype=np.uint64) for _ in range(n)] + [rng.integers(0, 2**63, 9, dtype=np.uint64)]
+        index = decontamination.Index(list(range(n + 1)), runs)
+        if near:
+            index.radius = near
+            index.near = decontamination._BITS[np.bitwise_count(decontamination._BITS) <= near // 4]
+        flips = np.array([sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 25 if not near else 6), replace=False)) for _ in range(80)], dtype=np.uint64)
+        prints = index.prints[np.arange(80) % n] ^ flips
+        wanted = {(w, i) for w in range(80) for i in range(n) if int(prints[w] ^ index.prints[i]).bit_count() <= index.radius}
+        assert set(zip(*map(list, index.within(prints, 16)), strict=True)) == wanted and len(wanted) > 20
+
+
+def test_regions_hold_every_window_that_half_matches():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        hit = rng.random(rng.integers(1, 30)) < rng.random()
+        wanted = {k for a in range(len(hit)) for b in range(a + 1, len(hit) + 1) if 2 * hit[a:b].sum() >= b - a for k in range(a, b)}
+        assert {k for a, b in decontamination.spans(hit) for k in range(a, b)} == wanted
+
+
+def test_fingerprints_lose_no_more_than_stated():
+    """Recall of the candidate search against the exact overlap of all windows, without any other filter: items with changed words, at all similarities from 0.8 on."""
+    rng = random.Random(4)
+    found = lost = 0
+    for k in range(150):
+        item = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([30, 60, 120]))]
+        text = [f"o{rng.randrange(10**6)}" for _ in range(20)] + item + [f"o{rng.randrange(10**6)}" for _ in range(20)]
+        for _ in range(k % 4):
+            text[rng.randrange(20, 20 + len(item))] = "changed"
+        a, b = (words.shingles(*words.word_hashes(pa.array([" ".join(x)]))[:2], short_texts=False)[0] for x in (item, text))
+        index = decontamination.Index([0], [a])
+        starts = np.arange(len(b) - len(a) + 1)
+        close = {int(w) for w in index.within(decontamination.fingerprints(b, starts, len(a)), len(a))[0]}
+        good = {i for i in starts.tolist() if words.weighted_overlap(a, b[i : i + len(a)]) >= 0.8}
+        found, lost = found + len(good & close), lost + len(good - close)
+    assert found > 500 and lost <= 0.002 * found
+
+
+@pytest.mark.parametrize("shingles_in_a_part", [1 << 20, 400])
+def test_benchmarks_in_parts_and_blocks(spark, monkeypatch, shingles_in_a_part):
+    monkeypatch.setattr(decontamination, "PART_SHINGLES", shingles_in_a_part)
+    monkeypatch.setattr(decontamination, "BLOCK_ROWS", 2)
+    monkeypatch.setattr(decontamination, "BLOCK_SHARE", 10**6)
+    items = [(i, " ".join(f"x{i}y{j}" for j in range(5 + i))) for i in range(60)]
     frame = spark.createDataFrame(items, "item_id long, text string")
-    parts = list(decontamination.indexes(frame, "item_id", "text", 0.8, 19))
-    assert len(parts) == 2 and sum(len(p.ids) for p in parts) == 100
-    text = " ".join(items[i][1] for i in (3, 80, 99))
-    found = decontamination.contaminations(docs(spark, [(1, text, "en")]), frame)
-    assert {3, 80, 99} <= {r.item_id for r in found.collect()}
-    assert decontamination.contaminations(docs(spark, [(1, text, "en")]), frame.limit(0)).count() == 0
+    text = " ".join(items[i][1] for i in (3, 40, 59))
+    rows = [(1, text, "en"), (2, text, "en"), (2, text, "en"), (None, text, "en"), (3, "no item in here at all", "en"), (4, items[20][1], "en")]
+    assert decontamination.benchmark_items(frame, "item_id", "text").select("part").distinct().count() == (1 if shingles_in_a_part > 400 else 6)
+    found = collections.Counter((r.id, r.item_id) for r in decontamination.contaminations(docs(spark, rows), frame).collect())
+    assert found == collections.Counter([(d, i) for d in (1, 2, None) for i in (3, 40, 59)] + [(4, 20)])
+    assert decontamination.contaminations(docs(spark, rows), frame.limit(0)).count() == 0
     assert decontamination.contaminations(docs(spark, []), frame).count() == 0
+    clash = docs(spark, [*rows, (None, None, None)]).withColumns({"__key": F.lit("mine"), "__none": F.lit("own"), "part": F.lit("p")})
+    left = decontamination.kept(clash, frame)
+    assert left.columns == clash.columns and [(r.doc_id, r["__key"], r["__none"], r.part) for r in left.orderBy("doc_id").collect()] == [(None, "mine", "own", "p"), (3, "mine", "own", "p")]
 
 
 # ---------------------------------------------------------------- mixing
