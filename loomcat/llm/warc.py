@@ -1,16 +1,20 @@
 """A deterministic sharded WARC writer, and a reader.
 
-Rows are range-sorted by id, so that a payload moves once. Which row of equal payloads is the
+Rows are range-sorted by id and digest, so that a payload moves once. Which row of equal payloads is the
 response (that with the least id) is found over digests alone; the others come to the
-writer as markers that sort in front of their row. Each task writes gzip members, one for each record,
-with regenerated headers and digests, and rolls files by compressed size. A file gets its final
-name by renaming when it is whole; the manifest, likewise renamed when whole, names the files
-that count. A repeated task writes the same bytes again under the same names.
+writer as markers that sort in front of their rows. Each task writes gzip members, one for each record,
+with regenerated headers and digests, and rolls files by compressed size.
+
+Commit: every attempt of a task writes files with names of its own; the rows of the attempts that
+Spark accepts name them. The driver then renames these to their final names and, last, writes the manifest
+under a temporary name and renames it. A repeated or speculative attempt can't touch a committed file; a commit that
+broke off is finished by calling `commit` again. Only files that the manifest names count.
 
 Defined results: a null payload is an empty one. Null ids are the last among equal payloads; if
 all ids are null, each is a response. Of repeated rows with the response's id and payload one
 is the response and the others revisit it. Null urls leave their header out; white space
-and control characters in urls are percent-encoded.
+and control characters in urls are percent-encoded. Rows without an id, which may be many, are dealt over SALTS
+ranges; all rows of one id and payload are written by one task, a record at a time. Columns other than id, url and payload aren't looked at.
 """
 
 from __future__ import annotations
@@ -18,21 +22,25 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import json
 import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from typing import BinaryIO
 from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from loomcat.llm.common import mapped, new_path
+from loomcat.llm.common import SALTS, mapped, new_path, spread_join, written
 
 ROLL_BYTES = 256 << 20
+ATTEMPTS, NAMES = "attempts", "manifest.json"
 DATE = "2026-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+FILES = "attempt string, file string, records long, bytes long, sha256 string, first_id long, last_id long"
 MANIFEST = "file string, records long, bytes long, sha256 string, first_id long, last_id long"
 RECORDS = "id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
@@ -41,11 +49,11 @@ def _base32(digest: bytes) -> str:
     return base64.b32encode(digest).decode()
 
 
-def _record_id(page: int | None, digest: bytes, number: int) -> str:
+def _record_id(page: int | None, digest: bytes, number: int | str) -> str:
     return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha1(f'{page} {digest.hex()} {number}'.encode()).digest()[:16], version=5)}>"
 
 
-def record(page: int | None, url: str | None, payload: bytes, digest: bytes, number: int, refers_to: int | None, revisit: bool, date: str = DATE) -> bytes:
+def record(page: int | None, url: str | None, payload: bytes, digest: bytes, number: int | str, refers_to: int | None, revisit: bool, date: str = DATE) -> bytes:
     """One record; a revisit keeps the HTTP headers, with the payload's length, and no payload."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if revisit else http + payload
@@ -61,17 +69,17 @@ def record(page: int | None, url: str | None, payload: bytes, digest: bytes, num
 
 
 class _Files:
-    """Rolls files by compressed size; each gets its name when it is whole."""
+    """Rolls files by compressed size, under names that no other attempt uses."""
 
     def __init__(self, folder: str, shard: int, roll: int):
         self.store, self.folder = fs.FileSystem.from_uri(folder)
-        self.shard, self.roll, self.part, self.out, self.done = shard, roll, 0, None, []
+        self.attempt, self.shard, self.roll, self.part, self.out, self.done = uuid.uuid4().hex, shard, roll, 0, None, []
 
     def add(self, page: int | None, data: bytes) -> None:
         if self.out is None:
             self.name = f"shard-{self.shard:06d}-{self.part:05d}.warc.gz"
-            self.temporary = f"{self.folder}/.{self.name}.{uuid.uuid4().hex}.tmp"
-            self.out, self.hash, self.size, self.count, self.first = self.store.open_output_stream(self.temporary, compression=None), hashlib.sha256(), 0, 0, page
+            self.temporary = f"{ATTEMPTS}/{self.name}.{self.attempt}.tmp"
+            self.out, self.hash, self.size, self.count, self.first = self.store.open_output_stream(f"{self.folder}/{self.temporary}", compression=None), hashlib.sha256(), 0, 0, page
         member = gzip.compress(data, 6, mtime=0)
         self.out.write(member)
         self.hash.update(member)
@@ -83,11 +91,7 @@ class _Files:
         if self.out is None:
             return
         self.out.close()
-        final = f"{self.folder}/{self.name}"
-        if self.store.get_file_info(final).type != fs.FileType.NotFound:
-            self.store.delete_file(final)  # of an earlier attempt, with the same bytes
-        self.store.move(self.temporary, final)
-        self.done.append((self.name, self.count, self.size, self.hash.hexdigest(), self.first, self.last))
+        self.done.append((self.temporary, self.name, self.count, self.size, self.hash.hexdigest(), self.first, self.last))
         self.out, self.part = None, self.part + 1
 
 
@@ -96,21 +100,21 @@ def _writer(folder: str, roll: int) -> Callable:
         from pyspark import TaskContext
 
         files = _Files(folder, TaskContext.get().partitionId(), roll)
-        here, refers, written = object(), {}, {}
+        here, refers, number = object(), None, 0
         for batch in batches:
             for i in range(batch.num_rows):
-                page, tag, digest, other, url, payload = (batch.column(k)[i].as_py() for k in range(6))
-                if page != here:
-                    here, refers, written = page, {}, {}
+                page, salt, digest, tag, other, url, payload = (batch.column(k)[i].as_py() for k in range(7))
+                if (page, salt, digest) != here:
+                    here, refers, number = (page, salt, digest), None, 0
                 if tag == 0:
-                    refers[digest] = other
+                    refers = other
                     continue
-                number = written.get(digest, 0)
-                written[digest] = number + 1
-                target = refers.get(digest, page if number and page is not None else None)
-                files.add(page, record(page, url, (payload or "").encode(), digest, number, target, target is not None))
+                target = refers if refers is not None else page if number and page is not None else None
+                files.add(page, record(page, url, (payload or "").encode(), digest, number if page is not None else f"{salt}-{number}", target, target is not None))
+                number += 1
         files.close()
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in files.done], t) for k, t in enumerate([pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()])], [x.split()[0] for x in MANIFEST.split(", ")])
+        kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in files.done], t) for k, t in enumerate(kinds)], [x.split()[0] for x in FILES.split(", ")])
 
     return run
 
@@ -118,17 +122,41 @@ def _writer(folder: str, roll: int) -> Callable:
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", roll_bytes: int = ROLL_BYTES) -> None:
     """Writes an archive of all rows in a folder that all executors reach."""
     store, at = fs.FileSystem.from_uri(folder)
-    store.create_dir(at)
-    payload = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.lit(1).alias("tag"), F.unhex(F.sha1(payload.cast("binary"))).alias("digest"), F.lit(None).cast("long").alias("refers_to"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
-    digests = rows.select("id", "digest")
+    store.create_dir(f"{at}/{ATTEMPTS}")
+    payload, some = F.coalesce(F.col(payload_col).cast("string"), F.lit("")), F.col(id_col).isNotNull()
+    rows = pages.select(
+        F.col(id_col).cast("long").alias("id"), F.when(some, 0).otherwise(F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).cast("int").alias("salt"), F.unhex(F.sha1(payload.cast("binary"))).alias("digest"),
+        F.lit(1).alias("tag"), F.lit(None).cast("long").alias("refers_to"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"),
+    )
+    digests = pages.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.sha1(payload.cast("binary"))).alias("digest"))
     first = digests.groupBy("digest").agg(F.min("id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1 and refers_to is not null").select("digest", "refers_to")
-    marks = digests.distinct().join(first, "digest").filter("id is null or id > refers_to")
-    marks = marks.select("id", F.lit(0).alias("tag"), "digest", "refers_to", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("payload"))
-    both = rows.unionByName(marks).repartitionByRange("id").sortWithinPartitions("id", "tag", "url", "digest")
-    manifest = f"{folder}/manifest-{uuid.uuid4().hex}.tmp"
-    mapped(both, _writer(folder, roll_bytes), MANIFEST).write.json(manifest)
-    store.move(fs.FileSystem.from_uri(manifest)[1], f"{at}/manifest")
+    marks = spread_join(written(digests.distinct(), "digests"), written(first, "responses"), "digest").filter("id is null or id > refers_to")
+    salts = F.when(F.col("id").isNotNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    marks = marks.select("id", F.explode(salts).alias("salt"), "digest", F.lit(0).alias("tag"), "refers_to", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("payload"))
+    both = rows.unionByName(marks).repartitionByRange("id", "salt", "digest").sortWithinPartitions("id", "salt", "digest", "tag", "url")
+    files = written(mapped(both, _writer(folder, roll_bytes), FILES), "files")
+    commit(files, folder)
+
+
+def commit(files: DataFrame, folder: str) -> None:
+    """Renames the files that FILES name and writes the manifest. What an earlier call has done is passed over. The driver holds a line for each file."""
+    store, at = fs.FileSystem.from_uri(folder)
+    exists = lambda path: store.get_file_info(path).type != fs.FileType.NotFound
+
+    def renamed(r: Row) -> str:
+        if exists(f"{at}/{r.attempt}"):
+            store.move(f"{at}/{r.attempt}", f"{at}/{r.file}")
+        elif not exists(f"{at}/{r.file}"):
+            raise FileNotFoundError(r.file)
+        return json.dumps({k: v for k, v in r.asDict().items() if k != "attempt"})
+
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(renamed, files.orderBy("file").toLocalIterator()))
+    temporary = f"{at}/manifest-{uuid.uuid4().hex}.tmp"
+    with store.open_output_stream(temporary, compression=None) as out:
+        out.write("".join(f"{x}\n" for x in lines).encode())
+    store.move(temporary, f"{at}/{NAMES}")
+    store.delete_dir(f"{at}/{ATTEMPTS}")  # of attempts that were not accepted
 
 
 def records(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -183,7 +211,7 @@ def _reader(folder: str) -> Callable:
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """The records of an archive: RECORDS. Files that the manifest doesn't name are left alone."""
-    files = spark.read.schema(MANIFEST).json(f"{folder}/manifest").select("file")
+    files = spark.read.schema(MANIFEST).json(f"{folder}/{NAMES}").select("file")
     return mapped(files.repartition(max(1, files.count()), "file"), _reader(folder), RECORDS)
 
 

@@ -149,7 +149,7 @@ def test_archives_are_deterministic_and_whole(spark, tmp_path):
 
     one, two = files("one"), files("two")
     assert one == two and len(one) > 3 and not list((tmp_path / "one").glob("*.tmp"))
-    named = [json.loads(line) for p in (tmp_path / "one/manifest").glob("part*") for line in p.read_text().splitlines()]
+    named = [json.loads(line) for line in (tmp_path / "one/manifest.json").read_text().splitlines()]
     assert {m["file"]: (m["bytes"], m["sha256"]) for m in named} == {n: (len(b), hashlib.sha256(b).hexdigest()) for n, b in one.items()}
     ids = [m.get("first_id") for m in sorted(named, key=lambda m: m["file"])]
     assert ids == sorted(ids, key=lambda x: -1 if x is None else x)
@@ -157,6 +157,37 @@ def test_archives_are_deterministic_and_whole(spark, tmp_path):
     assert member.startswith(b"WARC/1.1\r\nWARC-Type: ")
 
 
+def test_commits_survive_repeats_and_breaks(spark, tmp_path):
+    """Another attempt of a task writes under its own names; a commit that broke off is finished, and one that lost a file fails."""
+    folder, df = f"file://{tmp_path}/a", spark.createDataFrame(rows_of_pages(), PAGES).coalesce(1)
+    warc.write(df, folder, roll_bytes=2000)
+    before = {p.name: p.read_bytes() for p in (tmp_path / "a").glob("shard*")}
+    (tmp_path / "a/attempts").mkdir()
+    files = warc._Files(folder, 0, 1 << 20)
+    files.add(1, b"another attempt of the first task")
+    files.close()
+    assert {p.name: p.read_bytes() for p in (tmp_path / "a").glob("shard*")} == before and list((tmp_path / "a/attempts").glob("*.tmp"))
+    rows = [(f"attempts/{n}.x.tmp", n, 1, len(b), hashlib.sha256(b).hexdigest(), 1, 1) for n, b in before.items()]
+    first = sorted(before)[0]
+    (tmp_path / "a" / first).rename(tmp_path / "a/attempts" / f"{first}.x.tmp")
+    (tmp_path / "a/manifest.json").unlink()
+    warc.commit(spark.createDataFrame(rows, warc.FILES), folder)
+    assert {p.name: p.read_bytes() for p in (tmp_path / "a").glob("shard*")} == before and warc.read(spark, folder).count() == df.count()
+    (tmp_path / "a/attempts").mkdir()
+    with pytest.raises(FileNotFoundError):
+        warc.commit(spark.createDataFrame([("attempts/no.tmp", "no", 1, 1, "", 1, 1)], warc.FILES), folder)
+
+
+def test_many_rows_without_ids(spark, tmp_path):
+    """Rows without an id are spread; each revisits the response of its payload, and record ids stay apart."""
+    rows = [(None, f"u{i % 9}", "" if i % 2 else None, "x") for i in range(300)] + [(None, "u", f"own {i % 5}", "x") for i in range(40)] + [(7, "u", "", "x"), (9, "u", "own 1", "x"), (9, "u", "own 1", "x")]
+    warc.write(spark.createDataFrame(rows, PAGES).repartition(3), f"file://{tmp_path}/n")
+    got = warc.read(spark, f"file://{tmp_path}/n").collect()
+    assert collections.Counter((r.id, r.payload_bytes, r.record_type, r.refers_to) for r in got) == collections.Counter({(7, 0, "response", None): 1, (None, 0, "revisit", 7): 300, (9, 5, "response", None): 1, (9, 5, "revisit", 9): 1, (None, 5, "revisit", 9): 8, (None, 5, "response", None): 32})
+    ids = [line for p in (tmp_path / "n").glob("shard*") for line in gzip.decompress(p.read_bytes()).decode().splitlines() if line.startswith("WARC-Record-ID")]
+    assert len(ids) == len(set(ids)) == len(rows)
+
+
 def test_damage_is_noticed(spark, tmp_path):
     text = warc.record(1, "u", b"abc", hashlib.sha1(b"abc").digest(), 0, None, False)
     import io
