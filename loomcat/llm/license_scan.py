@@ -10,7 +10,8 @@ word by word, so this loses nothing. The known digests are a table of fixed size
 documents are not shuffled, only what was found.
 
 Defined results: null and empty texts, and texts that are empty once canonical, match nothing.
-A document that matches in both ways has a row for each. Repeated ids are one document.
+A document that matches in both ways has a row for each, told apart by scope. Repeated ids are one document. Very long
+texts are read whole. Columns other than id and text aren't looked at.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ SPELLINGS = {
     "calibre": "caliber", "cancelled": "canceled", "capitalisations": "capitalizations", "catalogue": "catalog", "categorise": "categorize", "centre": "center", "emphasised": "emphasized",
     "favour": "favor", "favourite": "favorite", "fulfil": "fulfill", "fulfilment": "fulfillment", "initialise": "initialize", "judgement": "judgment", "labelling": "labeling", "labour": "labor",
     "licence": "license", "licenced": "licensed", "licences": "licenses", "maximise": "maximize", "modelled": "modeled", "modelling": "modeling", "offence": "offense", "optimise": "optimize",
-    "organisation": "organization", "organise": "organize", "practise": "practice", "programme": "program", "realise": "realize", "recognise": "recognize", "signalling": "signaling",
+    "organisation": "organization", "organise": "organize", "practise": "practice", "programme": "program", "programmes": "programs", "realise": "realize", "recognise": "recognize", "signalling": "signaling",
     "utilisation": "utilization", "whilst": "while", "wilful": "willful", "http": "https",
 }
 
@@ -91,8 +92,6 @@ LICENSES = [
 TEXTS = Path(__file__).with_name("license_texts")  # full texts, a file for each licence id
 END = "END OF TERMS AND CONDITIONS"
 
-# The SQL's pattern; it also takes lines of a text's body that begin with copyright or (c).
-COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright\b|\(c\)|©)[^\n]*$"
 RESERVED = r"(?m)^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
 JOINED = r"['’‘`\-‐‑–—]+"
 OTHER = r"[^\p{L}\p{N}\n]+"
@@ -111,13 +110,20 @@ def full_texts() -> list[tuple[str, str]]:
 
 
 @cache
-def notice(mark: str = r"[^\p{L}\p{N}\n]") -> str:
-    """The pattern of lines that are a copyright notice: what follows copyright or (c) within known texts is none. mark: what may stand before."""
+def body_words() -> dict[str, list[str]]:
+    """The words that follow copyright and (c) within known texts."""
     after: dict[str, set[str]] = {"copyright": set(), "(c)": set()}
     for _, text in [*LICENSES, *full_texts()]:
         for start, word in re.findall(r"(copyright|\(c\))[,;.]?\s+([a-z]+)", text.lower()):
-            after[start].add(word)
-    body = lambda x: r"(?![,;.]?[ \t]*(?:$|[ \t](?:" + "|".join(sorted(after[x])) + r")\b))"
+            after[start] |= {word, *(x for x, y in SPELLINGS.items() if y == word)}
+    return {k: sorted(v) for k, v in after.items()}
+
+
+@cache
+def notice(mark: str = r"[^\p{L}\p{N}\n]") -> str:
+    """The pattern of lines that are a copyright notice: what follows copyright or (c) within known texts is none. mark: what may stand before."""
+    after = body_words()
+    body = lambda x: r"(?![,;.]?[ \t]*(?:$|[ \t](?:" + "|".join(after[x]) + r")\b))"
     return r"(?m)^" + mark + r"*(?:copyright\b" + body("copyright") + r"|\(c\)" + body("(c)") + r"|©)[^\n]*$"
 
 
@@ -128,10 +134,10 @@ def canonical(text: str) -> str:
     return " ".join(SPELLINGS.get(w, w) for w in words)
 
 
-def known(texts: list[tuple[str, str]] = LICENSES) -> list[tuple[str, str, int]]:
-    """(license_id, digest, words) of each known text, once for each digest."""
+def known(texts: list[tuple[str, str]] | None = None) -> list[tuple[str, str, int]]:
+    """(license_id, digest, words) of each known text, by default of all, once for each digest."""
     found = {}
-    for name, text in texts:
+    for name, text in [*LICENSES, *full_texts()] if texts is None else texts:
         c = canonical(text)
         found[hashlib.sha256(c.encode()).hexdigest()] = (name, c.count(" ") + 1)
     return [(n, d, k) for d, (n, k) in sorted(found.items())]
@@ -153,7 +159,7 @@ def digest(line: Column) -> Column:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, scope (document or line), license_id, digest of what matches."""
-    rows = known([*LICENSES, *full_texts()])
+    rows = known()
     table = docs.sparkSession.createDataFrame(rows, "license_id string, digest string, words int").select("license_id", "digest")
     counts = sorted({r[2] for r in rows})
     size = lambda c: F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit(""))) + 1
@@ -170,18 +176,24 @@ def _sql_list(words: list[str]) -> str:
 
 
 def oracle() -> str:
+    """The scan in DuckDB, line by line, since its patterns can't look ahead."""
     rows = ", ".join(f"('{n}', '{d}', {k})" for n, d, k in known())
     quoted = lambda p: p.replace("'", "''")
+    mark = r"^[^\p{L}\p{N}]*"
+    after = {k: "|".join(v) for k, v in body_words().items()}
+    within = lambda x, start: rf"{mark}{start}[,;.]?[ \t]*(?:$|[ \t](?:{after[x]})\b)"
+    has = lambda p: f"regexp_matches(l, '{quoted(p)}')"
+    notice_ = f"({has(mark + r'copyright' + chr(92) + 'b')} and not {has(within('copyright', 'copyright'))} or {has(mark + r'[(]c[)]')} and not {has(within('(c)', '[(]c[)]'))} or {has(mark + '©')})"
+    reserved = has(mark + r"all rights reserved[^\p{L}\p{N}]*$")
     return f"""
         with known(license_id, digest, words) as (values {rows}),
-        bare as (
-            select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(text), '{quoted(COPYRIGHT)}', '', 'g'),
-                '{quoted(RESERVED)}', '', 'g'), '{quoted(JOINED)}', '', 'g'), '{quoted(OTHER)}', ' ', 'g') as bare
+        lines as (
+            select doc_id, list_transform(list_filter(string_split(lower(text), chr(10)), lambda l: not ({notice_} or {reserved})), lambda l: trim(regexp_replace(regexp_replace(l, '{quoted(JOINED)}', '', 'g'), '{quoted(OTHER)}', ' ', 'g'))) as ls
             from documents where text is not null
         ), units as (
-            select doc_id, 'document' as scope, trim(regexp_replace(bare, ' *\\n[ \\n]*', ' ', 'g')) as unit from bare
+            select doc_id, 'document' as scope, array_to_string(list_filter(ls, lambda l: l <> ''), ' ') as unit from lines
             union all
-            select doc_id, 'line', trim(l) from (select doc_id, unnest(string_split(bare, chr(10))) as l from bare)
+            select doc_id, 'line', unnest(ls) from lines
         ), spelt as (
             select doc_id, scope, string_split(unit, ' ') as ws,
                    map({_sql_list(list(SPELLINGS))}, {_sql_list(list(SPELLINGS.values()))}) as m
