@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from loomcat.llm import chat_format, decontamination, html_text, language_id, license_scan, mixing, near_dedup, toxicity, vector_search, warc
 from loomcat.llm.common import table, written
 
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, class_id (the least doc_id of the near-duplicate class)."""
@@ -42,7 +44,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     turns = turns.unionByName(spark.createDataFrame(more, "conv_id long, turn long, role string, text string"))
-    return chat_format.digests(written(chat_format.format_windows(turns), "windows"))
+    return chat_format.digests(written(chat_format.format_windows(turns, TOKENIZER), "windows"))
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,16 +128,16 @@ ORACLES: dict[str, str] = {
     """,
     "op10_vector_search": """
         with v as (
-            select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+            select vec_id, row_number() over () as n, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
             from embeddings
-            where vec_id is not null and embedding is not null and len(embedding) > 0
+            where embedding is not null and len(embedding) > 0
               and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
         ), scored as (
-            select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
-            from v q join v c on q.vec_id <> c.vec_id
+            select q.n, q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+            from v q join v c on q.n <> c.n
             where q.vec_id % 50 = 0
         ), ranked as (
-            select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored
+            select *, cast(row_number() over (partition by n order by score desc, vec_id nulls last) as integer) as rank from scored
         )
         select query_id, rank, vec_id, score from ranked where rank <= 5
     """,

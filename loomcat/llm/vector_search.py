@@ -11,11 +11,13 @@ rule out, and in them the distances that it does not rule out. Pivots are chosen
 sample; the index holds every row, and the results are exact.
 
 Annuli are at most MAX_SEGMENTS + PIVOTS, so their bounds can be broadcast. Many queries of one
-annulus are dealt in blocks.
+annulus are dealt in blocks, and the vectors of an annulus that has more than MOST_ROWS in chunks, so that no task holds
+more than a block and a chunk, however many vectors there are.
 
-Defined results: vectors that are null or empty, hold null or non-finite components, or have a null id take no
-part. Shorter vectors count as padded with zeros. A repeated id counts once, with its least
-vector. Ties go to the lesser id.
+Defined results: vectors that are null or empty or hold null or non-finite components take no
+part. Shorter vectors count as padded with zeros. Every row is a candidate, and a query if its id is one: rows of a repeated id
+are told apart, each answers for itself and may be found by the others. A row with a null id may be found, but is no
+query. Ties go to the lesser id, nulls last. Columns other than id and vector aren't looked at.
 """
 
 from __future__ import annotations
@@ -31,15 +33,17 @@ from loomcat.llm.common import mapped, written
 
 PIVOTS, SAMPLE = 64, 4096
 SEGMENT_ROWS, MAX_SEGMENTS = 2048, 1 << 16
-QUERY_BLOCK = 1024
+QUERY_BLOCK, MOST_ROWS = 1024, 1 << 16
 EXACT = 2**53
+FOUND = "q long, found long, vec_id long, score long"
 
 
 def integer_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """(id, v) of the rows that take part."""
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
-    good = F.col(id_col).isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = vectors.withColumn("v", v).filter(good).select(F.col(id_col).cast("long").alias("id"), F.transform("v", lambda x: F.floor(x * 256).cast("long")).alias("v"))
-    return rows.groupBy("id").agg(F.min("v").alias("v"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v"))
+    good = (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return rows.filter(good).select("id", F.transform("v", lambda x: F.floor(x * 256).cast("long")).alias("v"))
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -83,15 +87,15 @@ def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 def _keyed(sent, width: int, longest: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            d = _distances(_raised(matrix(b.column(1), width), longest), sent.value)
+            d = _distances(_raised(matrix(b.column(2), width), longest), sent.value)
             near = d.argmin(1) if b.num_rows else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(near, pa.int32()), pa.array(d[np.arange(len(near)), near], pa.float64())], ["id", "v", "pivot", "far"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(near, pa.int32()), pa.array(d[np.arange(len(near)), near], pa.float64())], ["row", "id", "v", "pivot", "far"])
 
     return run
 
 
 def _routes(sent, width: int, k: int, first: bool, slack: float) -> Callable:
-    """From queries (id, v[, limit]) to the annuli that they search: those nearest that hold k + 1 vectors, or the others within the limit."""
+    """From queries (row, v[, limit, least]) to the annuli that they search: those nearest that hold k + 1 vectors, or the others within the limit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivots, pivot, low, high, size, number = sent.value
@@ -122,7 +126,8 @@ def _searched(width: int, k: int, slack: float) -> Callable:
     """The k best of an annulus for each of its queries, without what a query's limit rules out."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.int64())})
+        names = [x.split()[0] for x in FOUND.split(", ")]
+        empty = pa.table({n: pa.array([], pa.int64()) for n in names})
         if not left.num_rows or not right.num_rows:
             return empty
         column = lambda t, c: t.column(c).combine_chunks()
@@ -133,65 +138,76 @@ def _searched(width: int, k: int, slack: float) -> Callable:
         begin = int(np.searchsorted(far, (away - limit - slack).min()))
         end = int(np.searchsorted(far, (away + limit + slack).max(), side="right"))
         order = order[begin:end]
-        ids = np.asarray(column(right, "id"))[order]
+        rows, ids = np.asarray(column(right, "row"))[order], column(right, "id").take(pa.array(order))
+        none, ids = np.asarray(ids.is_null()), np.asarray(ids.fill_null(0))
         x, q = matrix(column(right, "v"), width)[order], matrix(column(left, "qv"), width)
-        qid, least = np.asarray(column(left, "q")), np.asarray(column(left, "least").fill_null(np.iinfo(np.int64).min))
+        own, least = np.asarray(column(left, "q")), np.asarray(column(left, "least").fill_null(np.iinfo(np.int64).min))
         out: list[tuple] = []
         for at in range(0, len(q), 256):
             s = products(q[at : at + 256], x)
             for i in range(len(s)):
-                good = np.flatnonzero((ids != qid[at + i]) & (s[i] >= least[at + i]))
-                best = good[np.lexsort((ids[good], -s[i][good]))[:k]]
-                out += [(qid[at + i], ids[j], s[i][j]) for j in best]
+                good = np.flatnonzero((rows != own[at + i]) & (s[i] >= least[at + i]))
+                best = good[np.lexsort((rows[good], ids[good], none[good], -s[i][good]))[:k]]
+                out += [(own[at + i], rows[j], None if none[j] else int(ids[j]), s[i][j]) for j in best]
         if not out:
             return empty
-        return pa.table({n: pa.array([int(r[c]) for r in out], pa.int64()) for c, n in enumerate(("query_id", "vec_id", "score"))})
+        return pa.table({n: pa.array([None if r[c] is None else int(r[c]) for r in out], pa.int64()) for c, n in enumerate(names)})
 
     return run
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    w = Window.partitionBy("q").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "found")
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", pivots: int = PIVOTS) -> DataFrame:
-    """query_id, rank, vec_id, score. is_query: a condition on the column `id`."""
+def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", pivots: int = PIVOTS, seen: dict | None = None) -> DataFrame:
+    """query_id, rank, vec_id, score. is_query: a condition on the column `id`. seen: gets the numbers of queries, vectors and annuli, of searches of an annulus, and of vectors in them."""
     spark = vectors.sparkSession
-    rows = written(integer_vectors(vectors, id_col, vector_col), "vectors")
+    rows = integer_vectors(vectors, id_col, vector_col).select(F.monotonically_increasing_id().alias("row"), "id", "v")
+    rows = written(rows, "vectors")  # numbered once, so that a row's number stays
     empty = "query_id long, rank int, vec_id long, score long"
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     count, width, longest = rows.agg(F.count("*"), F.max(F.size("v")), F.max(norm)).first()
     if not count:
         return spark.createDataFrame([], empty)
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toArrow().column("v").combine_chunks()
+    sample = rows.orderBy(F.xxhash64("id", "v"), "id", "v").limit(SAMPLE).toArrow().column("v").combine_chunks()
     points = spark.sparkContext.broadcast(choose_pivots(_raised(matrix(sample, width), longest), pivots))
     slack = 1e-6 * max(1.0, longest) ** 0.5
 
-    keyed = mapped(rows, _keyed(points, width, longest), "id long, v array<long>, pivot int, far double")
+    keyed = mapped(rows, _keyed(points, width, longest), "row long, id long, v array<long>, pivot int, far double")
     parts = min(MAX_SEGMENTS, max(1, -(-count // SEGMENT_ROWS)))
-    index = keyed.repartitionByRange(parts, "pivot", "far", "id").withColumn("annulus", F.spark_partition_id().cast("long") * (1 << 16) + F.col("pivot"))
+    index = keyed.repartitionByRange(parts, "pivot", "far", "row").withColumn("annulus", F.spark_partition_id().cast("long") * (1 << 16) + F.col("pivot"))
     index = written(index, "annuli")
     rings = index.groupBy("annulus", "pivot").agg(F.min("far").alias("low"), F.max("far").alias("high"), F.count("*").alias("n")).orderBy("annulus").toArrow()
     bounds = [np.asarray(rings.column(c)) for c in ("pivot", "low", "high", "n", "annulus")]
     sent = spark.sparkContext.broadcast((points.value, *bounds))
+    sizes = spark.createDataFrame(pa.table({"annulus": rings.column("annulus"), "chunks": pa.array(-(-bounds[3] // MOST_ROWS), pa.int64()), "n": rings.column("n")}))
 
     def searched(routes: DataFrame) -> DataFrame:
         routes = written(routes, "routes")
-        dealt = written(routes.groupBy("annulus").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("blocks")), "dealt")  # a row for each annulus at most
-        left = routes.join(F.broadcast(dealt), "annulus").withColumn("block", F.pmod(F.xxhash64("q"), "blocks"))
-        ring = dealt.select(F.col("annulus").alias("ring"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1).alias("all"))
-        right = index.join(F.broadcast(ring), F.col("annulus") == F.col("ring")).select("ring", F.explode("all").alias("part"), "id", "v", "far")
-        found = left.groupBy("annulus", "block").cogroup(right.groupBy("ring", "part"))
-        return found.applyInArrow(_searched(width, k, slack), "query_id long, vec_id long, score long")
+        blocks = routes.groupBy("annulus").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("blocks"), F.count("*").alias("queries"))
+        dealt = written(blocks.join(sizes, "annulus"), "dealt")  # a row for each annulus at most
+        if seen is not None:
+            got = dealt.agg(F.sum("queries").alias("searches"), F.sum(F.col("queries") * F.col("n")).alias("compared")).first()
+            seen["searches"], seen["compared"] = seen.get("searches", 0) + (got.searches or 0), seen.get("compared", 0) + (got.compared or 0)
+        upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+        dealt = dealt.drop("queries", "n")
+        left = routes.join(F.broadcast(dealt), "annulus").withColumn("block", F.pmod(F.xxhash64("q"), "blocks")).withColumn("chunk", upto("chunks")).drop("blocks", "chunks")
+        right = index.join(F.broadcast(dealt), "annulus").withColumn("chunk", F.pmod(F.xxhash64("row"), "chunks")).withColumn("block", upto("blocks")).drop("blocks", "chunks", "pivot")
+        key = ["annulus", "block", "chunk"]
+        return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_searched(width, k, slack), FOUND)
 
     schema = "q long, qv array<long>, limit double, least long, annulus long, away double"
-    queries = rows.filter(is_query)
-    first = written(_best(searched(mapped(queries, _routes(sent, width, k, True, slack), schema)), k), "first")
-    last = first.groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n"))
-    last = queries.join(last, queries["id"] == last["query_id"], "left").withColumn("least", F.when(F.col("n") >= k, F.col("least")))
+    queries = rows.filter(is_query & F.col("id").isNotNull())
+    first = written(_best(searched(mapped(queries.select("row", "v"), _routes(sent, width, k, True, slack), schema)), k), "first")
+    last = first.groupBy("q").agg(F.min("score").alias("least"), F.count("*").alias("n"))
+    last = queries.join(last, queries["row"] == last["q"], "left").withColumn("least", F.when(F.col("n") >= k, F.col("least")))
     own = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     limit = F.when(F.col("least").isNull(), F.lit(float("inf"))).otherwise(F.sqrt(F.greatest(F.lit(0.0), own + F.lit(longest) - F.lit(2.0) * F.col("least"))))
-    rest = mapped(last.select("id", "v", limit.alias("limit"), "least"), _routes(sent, width, k, False, slack), schema)
-    found = first.select("query_id", "vec_id", "score").unionByName(searched(rest))
-    return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    rest = mapped(last.select("row", "v", limit.alias("limit"), "least"), _routes(sent, width, k, False, slack), schema)
+    found = _best(first.select("q", "found", "vec_id", "score").unionByName(searched(rest)), k)
+    if seen is not None:
+        seen |= {"vectors": count, "queries": queries.count(), "annuli": len(bounds[0])}
+    named = queries.select(F.col("row").alias("q"), F.col("id").alias("query_id"))
+    return found.join(named, "q").select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

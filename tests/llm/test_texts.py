@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from loomcat.llm import chat_format, license_scan, vector_search
 from loomcat.llm.common import written
+from loomcat.llm.queries import TOKENIZER
 
 # ---------------------------------------------------------------- licences
 
@@ -128,7 +129,7 @@ def chats():
 def test_windows(spark):
     rows = chats()
     df = spark.createDataFrame(rows, CHAT)
-    windows = written(chat_format.format_windows(df), "windows")
+    windows = written(chat_format.format_windows(df, TOKENIZER), "windows")
     found = {r.conv_id: r for r in chat_format.digests(windows).collect()}
     turns = collections.defaultdict(list)
     for c, k, role, text, _ in rows:
@@ -151,34 +152,47 @@ def test_windows(spark):
             assert w.n_context == 0 if i == 0 else w.n_context <= 2 + system
             if i and system:
                 assert got[0] == (turns[c][0][1], turns[c][0][2])
-            count = chat_format.counter(chat_format.TOKENIZER)
+            count = chat_format.counter(TOKENIZER)
             own = got[w.n_context :]
             assert len(own) == 1 or sum(count(chat_format.write_turn(*t)[0]) for t in own) <= chat_format.STRIDE + chat_format.LONGEST
     assert len(by[0]) > 10 and sum(w.formatted and len(w.formatted) for w in by[0]) == found[0].formatted_chars
 
 
+def test_many_turns_without_numbers(spark):
+    """They come first and in blocks; a piece's order is that of its hash, so nothing is lost or said twice."""
+    rng = random.Random(5)
+    rows = [(1, None, rng.choice(["user", "assistant"]), f"text {k} " * rng.randrange(1, 60), "k") for k in range(400)] + [(1, k, "assistant", f"later {k}", "k") for k in range(300)] + [(1, -5, "system", "early", "k")]
+    rng.shuffle(rows)
+    windows = written(chat_format.format_windows(spark.createDataFrame(rows, CHAT), TOKENIZER), "windows")
+    own = [t for w in windows.orderBy("window").collect() for t in chat_format.read_turns(w.formatted)[w.n_context :]]
+    assert collections.Counter(own) == collections.Counter((r, t) for _, _, r, t, _ in rows) and windows.count() > 5
+    assert own[-300:] == [("assistant", f"later {k}") for k in range(300)] and own[400] == ("system", "early")
+
+
 def test_chats_of_an_empty_table(spark):
-    assert chat_format.digests(chat_format.format_windows(spark.createDataFrame([], CHAT))).count() == 0
+    assert chat_format.digests(chat_format.format_windows(spark.createDataFrame([], CHAT), TOKENIZER)).count() == 0
 
 
 # ---------------------------------------------------------------- vectors
 
 
-def brute(vectors, k, step=5):
-    good = {i: [int(np.floor(256 * float(x))) for x in v] for i, v in vectors.items()}
-    out = set()
-    for q in good:
-        if q % step:
+def brute(rows, k, step=5):
+    """Of rows (id, vector): every row but the query's own is a candidate; ids repeat and may be null."""
+    good = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows]
+    out = []
+    for n, (q, own) in enumerate(good):
+        if q is None or q % step:
             continue
-        scores = sorted(((-sum(a * b for a, b in zip(good[q], v, strict=False)), i) for i, v in good.items() if i != q))
-        out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])}
-    return out
+        scores = sorted((-sum(a * b for a, b in zip(own, v, strict=False)), i is None, i or 0) for m, (i, v) in enumerate(good) if m != n)
+        out += [(q, r + 1, None if none else i, -s) for r, (s, none, i) in enumerate(scores[:k])]
+    return collections.Counter(out)
 
 
 @pytest.mark.parametrize(("n", "spread"), [(400, 1.0), (400, 0.01), (4, 1.0)])
 def test_top_k_equals_brute_force(spark, monkeypatch, n, spread):
     monkeypatch.setattr(vector_search, "SEGMENT_ROWS", 32)
     monkeypatch.setattr(vector_search, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(vector_search, "MOST_ROWS", 9)
     rng = np.random.default_rng(n)
     centres = rng.normal(size=(5, 8))
     vectors = {i: (centres[i % 5] + spread * rng.normal(size=8)).astype(np.float32).tolist() for i in range(n)}
@@ -187,16 +201,18 @@ def test_top_k_equals_brute_force(spark, monkeypatch, n, spread):
     vectors[n] = [0.0] * 8
     vectors[n + 1] = [1.5, -2.0]
     rows = list(vectors.items())
-    odd = [(n + 10, None), (n + 15, []), (n + 20, [float("nan")] * 8), (n + 25, [float("inf")] * 8), (n + 30, [None] * 8), (None, [1.0] * 8)]
-    df = spark.createDataFrame([(i, v, "x") for i, v in [*rows, *odd, rows[1]]], "vec_id long, embedding array<float>, id string")
-    got = {tuple(r) for r in vector_search.top_k(df, F.col("id") % 5 == 0).collect()}
-    assert got == brute(vectors, 5)
+    rows += [rows[1], (0, vectors[2]), (0, vectors[0]), (None, [1.0] * 8), (None, vectors[0]), (None, vectors[0])]
+    odd = [(n + 10, None), (n + 15, []), (n + 20, [float("nan")] * 8), (n + 25, [float("inf")] * 8), (n + 30, [None] * 8)]
+    df = spark.createDataFrame([(i, v, "x") for i, v in [*rows, *odd]], "vec_id long, embedding array<float>, id string")
+    seen = {}
+    got = collections.Counter(tuple(r) for r in vector_search.top_k(df, F.col("id") % 5 == 0, seen=seen).collect())
+    assert got == brute(rows, 5) and seen["vectors"] == len(rows) and seen["compared"] <= seen["queries"] * seen["vectors"]
 
 
 def test_large_components_stay_exact(spark):
     vectors = {i: [float(3 + i) * 1e5, 1.0 + i, -2.0] for i in range(12)}
     df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
-    assert {tuple(r) for r in vector_search.top_k(df, F.col("id") % 5 == 0).collect()} == brute(vectors, 5)
+    assert collections.Counter(tuple(r) for r in vector_search.top_k(df, F.col("id") % 5 == 0).collect()) == brute(vectors.items(), 5)
 
 
 def test_no_vectors(spark):
