@@ -13,8 +13,10 @@ Every window but the first repeats the system turn, if the first turn is one, an
 `history_turns` turns before it of `history` tokens together. Repeated turns are context: only
 a window's own assistant texts are under the loss mask, each once over all windows.
 
-Defined results: turns are ordered by turn (nulls first), then by their formatted text. Null texts
-and roles are empty; a null conv_id is a conversation of its own. Repeated rows are turns each.
+Defined results: turns are ordered by turn, then by their formatted text; turns without a number come first, in the
+order of a hash of their formatted text, so that they fall into blocks too. Null texts and roles are empty; a null conv_id is a
+conversation of its own. Repeated rows are turns each. Very long texts are whole turns. Other columns aren't looked at.
+The tokenizer's file is a parameter; the driver reads it and sends it to the executors.
 """
 
 from __future__ import annotations
@@ -22,16 +24,17 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomcat.llm.common import mapped
+from loomcat.llm.common import mapped, written
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 STRIDE, LONGEST, HISTORY, HISTORY_TURNS = 1024, 512, 256, 2
-BLOCK = 128
+BLOCK, LOOSE = 128, 1024  # turns that a block has by number; blocks of turns without a number
 TURN, END = "<|turn|>", "<|end|>"
 # Control strings of chat templates; every <| is one.
 CONTROL = re.compile(r"\\|<(?=\||s>|/s>|<SYS>>|</SYS>>|start_of_turn>|end_of_turn>|bos>|eos>|pad>|unk>)|\[(?=INST\]|/INST\]|SYSTEM_PROMPT\]|/SYSTEM_PROMPT\])")
@@ -86,9 +89,9 @@ def counter(path: str) -> Callable[[str], int]:
     return lambda text: len(encoding.encode_ordinary(text))
 
 
-def _pieces(path: str) -> Callable:
+def _pieces(name: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(path)
+        count = counter(SparkFiles.get(name))
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
@@ -125,14 +128,18 @@ def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def format_windows(
-    conversations: DataFrame, tokenizer: str = TOKENIZER, stride: int = STRIDE, longest: int = LONGEST, history: int = HISTORY, history_turns: int = HISTORY_TURNS,
+    conversations: DataFrame, tokenizer: str, stride: int = STRIDE, longest: int = LONGEST, history: int = HISTORY, history_turns: int = HISTORY_TURNS,
     conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text",
 ) -> DataFrame:
-    """WINDOWS: a row for each window, with its loss mask as spans of the formatted text."""
+    """WINDOWS: a row for each window, with its loss mask as spans of the formatted text. tokenizer: a file of ranks that the driver can read."""
+    conversations.sparkSession.sparkContext.addFile(tokenizer)
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     turns = conversations.select(text(conv_col).alias("key"), F.col(turn_col).cast("long").alias("turn"), text(role_col).alias("role"), text(text_col).alias("text"))
-    turns = mapped(turns, _pieces(tokenizer), PIECES).withColumn("block", F.floor(F.coalesce("turn", F.lit(0)) / BLOCK))
-    local = Window.partitionBy("key", "block").orderBy("turn", "piece")
+    turns = written(mapped(turns, _pieces(Path(tokenizer).name), PIECES), "pieces")
+    some = F.col("turn").isNotNull()
+    hashed = F.xxhash64("piece")
+    turns = turns.withColumn("hash", F.when(some, 0).otherwise(hashed)).withColumn("block", F.struct(some.alias("some"), F.when(some, F.floor(F.col("turn") / BLOCK)).otherwise(F.floor(hashed / 2.0**64 * LOOSE)).alias("number")))
+    local = Window.partitionBy("key", "block").orderBy("turn", "hash", "piece")
     turns = turns.withColumn("sum", F.sum("n").over(local.rowsBetween(Window.unboundedPreceding, 0))).withColumn("row", F.row_number().over(local))
     before = Window.partitionBy("key").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = turns.groupBy("key", "block").agg(F.sum("n").alias("tokens"), F.count("*").alias("rows"))
