@@ -5,8 +5,8 @@ with words that follow it within a known text, as in "copyright notice") and lin
 go; hyphens and apostrophes go, other punctuation and white space become one space;
 equivalent spellings become one. The SHA-256 of the whole canonical text is hash-joined to the digests of
 the known licences. So is that of each line of a text, which finds licence notices that are a line of their own.
-Only texts and lines with as many words as a known text are hashed; spellings replace
-word by word, so this loses nothing. The known digests are a table of fixed size, which is broadcast;
+Only texts that hold one of the STEMS, of which each known text has one, are made canonical, and only texts and
+lines with as many words as a known text are hashed; spellings replace word by word, so this loses nothing. The known digests are a table of fixed size, which is broadcast;
 documents are not shuffled, only what was found.
 
 Defined results: null and empty texts, and texts that are empty once canonical, match nothing.
@@ -95,6 +95,7 @@ END = "END OF TERMS AND CONDITIONS"
 RESERVED = r"(?m)^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
 JOINED = r"['’‘`\-‐‑–—]+"
 OTHER = r"[^\p{L}\p{N}\n]+"
+STEMS = ("licen", "permis", "redistr")
 
 
 @cache
@@ -163,7 +164,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     table = docs.sparkSession.createDataFrame(rows, "license_id string, digest string, words int").select("license_id", "digest")
     counts = sorted({r[2] for r in rows})
     size = lambda c: F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit(""))) + 1
-    bare = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), bared(F.col(text_col).cast("string")).alias("bare"))
+    some = "|".join(JOINED.replace("+", "*").join(stem) for stem in STEMS)  # what canonical texts leave out may stand between the letters
+    bare = docs.filter(F.lower(F.col(text_col).cast("string")).rlike(some)).select(F.col(id_col).alias("id"), bared(F.col(text_col).cast("string")).alias("bare"))
     whole = F.trim(F.regexp_replace("bare", " *\n[ \n]*", " "))
     units = bare.select("id", F.explode(F.concat(F.array(F.struct(F.lit("document").alias("scope"), whole.alias("unit"))), F.transform(F.array_distinct(F.split("bare", "\n")), lambda x: F.struct(F.lit("line").alias("scope"), F.trim(x).alias("unit"))))).alias("u"))
     units = units.select("id", "u.*").filter((F.col("unit") != "") & size(F.col("unit")).isin(counts))
