@@ -67,6 +67,11 @@ def label(c: Column, names: Mapping[str, str]) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), c), c) if pairs else c
 
 
+def localized(c: Column, labels: Mapping[str, tuple[str, str]], chinese: bool = False) -> Column:
+    """The label of a key in one of two languages, or the key itself."""
+    return label(c, {k: names[0 if chinese else 1] for k, names in labels.items()})
+
+
 def family(c: Column, families: Mapping[str, str]) -> Column:
     return F.when(null_on_blank(c).isNull(), "Unknown").otherwise(label(c, families))
 
@@ -76,6 +81,11 @@ def family_known(c: Column, families: Mapping[str, str]) -> Column:
     return F.coalesce(c.isin(list(families)), F.lit(False))
 
 
+def family_zh(c: Column, names: Mapping[str, str], unclassified: str) -> Column:
+    """The Chinese name of a family."""
+    return F.when(c.isin(list(names)), label(c, names)).otherwise(unclassified)
+
+
 def badge(c: Column, classes: Mapping[str, list[str]]) -> Column:
     out = F.when(F.lit(False), "")
     for name, states in classes.items():
@@ -109,8 +119,8 @@ def padded(c: Column, width: int = 3) -> Column:
     return F.when(F.length(c.cast("string")) >= width, c.cast("string")).otherwise(F.lpad(c.cast("string"), width, "0"))
 
 
-def long_date(c: Column) -> Column:
-    return F.date_format(F.to_date(F.substring(c.cast("string"), 1, 10)), "MMMM d, y")
+def long_date(c: Column, chinese: bool = False) -> Column:
+    return F.date_format(F.to_date(F.substring(c.cast("string"), 1, 10)), "y年M月d日" if chinese else "MMMM d, y")
 
 
 def publication_year(c: Column, fallback: int = 2022) -> Column:

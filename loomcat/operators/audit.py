@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,15 @@ def under(path: Column, prefixes: Iterable[str]) -> Column:
     return out
 
 
+def from_config(text: str) -> dict:
+    """The options of `findings` from a catalog's configuration: forbidden prefixes, the private prefix and its allowed files, the greatest size, patterns, and exempt matches by rule (JSON; what is missing has its default)."""
+    given = json.loads(text)
+    unknown = set(given) - {"forbidden", "private", "allowed", "most", "patterns", "exempt"}
+    if unknown:
+        raise ValueError(f"unknown settings of the audit: {sorted(unknown)}")
+    return given
+
+
 def path_findings(files: DataFrame, forbidden: Iterable[str] = FORBIDDEN_PREFIXES, private: str = PRIVATE_PREFIX, allowed: Iterable[str] = PRIVATE_ALLOWED, most: int = MAX_FILE_BYTES) -> DataFrame:
     """(path, rule) of files (path, length)."""
     path = F.col("path")
@@ -37,6 +47,9 @@ def _matches(text: str, rule: str, pattern: str) -> Column:
 
 def text_findings(texts: DataFrame, key: str, text: str = "text", patterns: Mapping[str, str] = PATTERNS, exempt: Mapping[str, Iterable[str]] | None = None) -> DataFrame:
     """(key, rule, line, found) of every match of a pattern; exempt: matches to pass over by rule, in lower case."""
+    if not any(x in p for p in patterns.values() for x in ("(?=", "(?!", "(?<", "\\A", "\\z", "\\Z", "\\G")):
+        some = "|".join(f"(?:{p})" for p in patterns.values())
+        texts = texts.filter(F.col(text).rlike(f"(?m){some}"))  # a match within a line is one within the text
     lines = texts.select(key, F.posexplode(F.split(text, "\n")).alias("line", "content"))
     matches = F.concat(*[_matches("content", name, p) for name, p in patterns.items()])
     out = lines.select(key, (F.col("line") + 1).alias("line"), F.explode(matches).alias("m")).select(key, "m.rule", "line", "m.found")

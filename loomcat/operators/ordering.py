@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomcat.sources.folders import shared_folder
+
 
 def settled(df: DataFrame) -> DataFrame:
-    """df as a checkpoint, so that it is the same wherever it is read; in the folder of spark.checkpoint.dir, or one of our own if none is set."""
+    """df as a checkpoint in the shared folder, so that it is the same wherever it is read. Spark removes it when it is no longer used, if spark.cleaner.referenceTracking.cleanCheckpoints is set."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='loomcat-')}")
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

@@ -9,6 +9,7 @@ from loomcat.functions.values import angle, fold, percent, strictly_true
 from loomcat.operators.stats import zero_filled
 from loomcat.schemas import AUTHORIZATION_STAGES, FRONTIERS, TRANSLATION_STAGES
 
+# The metrics of the matrix.
 METRICS = ["total", "allowed", "blocked", "machine-draft", "human-review", "published"]
 
 
@@ -45,11 +46,10 @@ def matrix(records: DataFrame, members: str = "frontiers", allowed: str = "publi
 
 
 def sorted_matrix(found: DataFrame, key: str | None = None, ascending: bool = True) -> DataFrame:
-    """In official order, or by name or a metric; ties keep the official order either way."""
-    if key is None:
-        return found.orderBy("position")
-    by: Column = F.collate("name", "UNICODE_CI_AI") if key == "name" else F.col(f"`{key}`")
-    return found.orderBy(by.asc() if ascending else by.desc(), F.col("position").asc())
+    """The matrix in official order, or by name or a metric, with each row's place; ties keep the official order either way. Its rows are those of the domain."""
+    by: Column | None = None if key is None else F.collate("name", "UNICODE_CI_AI") if key == "name" else F.col(f"`{key}`")
+    order = [F.asc("position")] if by is None else [by.asc() if ascending else by.desc(), F.asc("position")]
+    return found.withColumn("place", F.row_number().over(Window.orderBy(*order))).orderBy("place")
 
 
 def next_sort(current: tuple[str, bool] | None, key: str) -> tuple[str, bool]:

@@ -79,9 +79,13 @@ def order_columns(sort: str, title: str = "title", record_id: str = "record_id",
     return [F.when(~F.isnan(number), number).desc_nulls_last(), *by_title]
 
 
+def canonical_columns(title: str = "title", record_id: str = "record_id") -> list[Column]:
+    return [norm_key(F.col(title), strip=False), norm_key(F.col(record_id), strip=False)]
+
+
 def canonical(records: DataFrame) -> DataFrame:
     """By case-folded title and id."""
-    return records.orderBy(norm_key(F.col("title"), strip=False), norm_key(F.col("record_id"), strip=False))
+    return records.orderBy(*canonical_columns())
 
 
 def page(records: DataFrame, query: CatalogQuery, size: int = PAGE_SIZE) -> tuple[DataFrame, int, int]:

@@ -6,10 +6,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
 
 from loomcat.functions.values import or_unknown
-from loomcat.operators.ordering import running_totals
+from loomcat.operators.ordering import numbered, running_totals
 
 
 def counts(df: DataFrame, column: Column, name: str = "key", unknown: bool = False) -> DataFrame:
@@ -18,6 +17,12 @@ def counts(df: DataFrame, column: Column, name: str = "key", unknown: bool = Fal
     return rows.dropna().groupBy(name).agg(F.count("*").alias("count"))
 
 
+def counts_by(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """(kind, key, count) by value of each column (kind: column), nulls dropped, in one pass."""
+    each = F.array(*[F.struct(F.lit(kind).alias("kind"), c.cast("string").alias("key")) for kind, c in columns.items()])
+    return df.select(F.explode(each).alias("x")).select("x.*").filter("key is not null").groupBy("kind", "key").agg(F.count("*").alias("count"))
+
+
 def list_counts(df: DataFrame, column: str, name: str = "key", once: bool = False) -> DataFrame:
     """(name, count) over list items; a repeated item of a record counts each time, or once."""
     items = F.array_distinct(column) if once else F.col(column)
@@ -36,32 +41,39 @@ def facet_values(df: DataFrame, column: str, many: bool = False) -> DataFrame:
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """(v, n, upto, rows): each distinct non-null value, its count, the count up to it, and the count of all.
-
-    Whole numbers repeat, and their distinct values fit one window; other numbers may all be distinct and are
-    summed up in range partitions.
-    """
+    """(v, n, upto, rows): each distinct non-null value, its count, the count up to it, and the count of all, in range partitions."""
     each = df.select(F.col(column).alias("v")).dropna().groupBy("v").agg(F.count("*").alias("n"))
-    if isinstance(df.schema[column].dataType, IntegralType):
-        over = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-        return each.withColumn("upto", F.sum("n").over(over)).withColumn("rows", F.sum("n").over(Window.partitionBy()))
     return running_totals(each, [F.col("v")], {"upto": F.col("n")}).withColumnRenamed("all_upto", "rows")
 
 
-def summary(df: DataFrame, column: str, digits: int | None = 2, extremes: bool = False) -> DataFrame:
-    """count, total, mean, median, p25 and p75 of the non-null values; one row also for none.
-
-    A quartile is the value at the index round((n - 1) q), half to even.
-    """
+def _measures(digits: int | None, extremes: bool) -> tuple[list[Column], list[Column]]:
+    """The aggregates over (v, n, upto, rows), and the columns made of them. A quartile is the value at the index round((n - 1) q), half to even."""
     last = F.col("rows") - 1
     at = lambda rank: F.min(F.when(F.col("upto") > rank, F.col("v")))
-    found = value_counts(df, column).agg(
+    found = [
         F.coalesce(F.sum("n"), F.lit(0)).alias("count"), F.coalesce(F.sum(F.col("v") * F.col("n")), F.lit(0)).alias("total"),
         ((at(F.floor(last / 2)) + at(F.ceil(last / 2))) / 2).alias("median"), at(F.bround(last * F.lit(0.25))).alias("p25"), at(F.bround(last * F.lit(0.75))).alias("p75"),
         F.min("v").alias("min"), F.max("v").alias("max"),
-    )
+    ]
     mean = F.when(F.col("count") > 0, F.col("total") / F.col("count"))
-    return found.select("count", "total", (mean if digits is None else F.bround(mean, digits)).alias("mean"), "median", "p25", "p75", *(["min", "max"] if extremes else []))
+    names = ["count", "total", (mean if digits is None else F.bround(mean, digits)).alias("mean"), "median", "p25", "p75", *(["min", "max"] if extremes else [])]
+    return found, [F.col(c) if isinstance(c, str) else c for c in names]
+
+
+def summary(df: DataFrame, column: str, digits: int | None = 2, extremes: bool = False) -> DataFrame:
+    """count, total, mean, median, p25 and p75 of the non-null values; one row also for none."""
+    found, names = _measures(digits, extremes)
+    return value_counts(df, column).agg(*found).select(*names)
+
+
+def summaries(df: DataFrame, columns: dict[str, str], digits: int | None = 2, extremes: bool = False) -> DataFrame:
+    """(metric, ...): the summaries of several columns (metric: column) as doubles, in one pass; a metric without values has no row."""
+    each = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(c).cast("double").alias("v")) for m, c in columns.items()])
+    values = df.select(F.explode(each).alias("x")).select("x.*").filter("v is not null").groupBy("metric", "v").agg(F.count("*").alias("n"))
+    totals = running_totals(values, [F.col("metric"), F.col("v")], {"upto": F.col("n")}).drop("all_upto")
+    starts = totals.groupBy("metric").agg(F.min(F.col("upto") - F.col("n")).alias("start"), F.sum("n").alias("rows"))  # a row for each metric
+    found, names = _measures(digits, extremes)
+    return totals.join(F.broadcast(starts), "metric").withColumn("upto", F.col("upto") - F.col("start")).groupBy("metric").agg(*found).select("metric", *names)
 
 
 def shares(list_column: str) -> Column:
@@ -79,18 +91,14 @@ def group_statistics(
     """
     kind = dict(records.select(group.alias("g")).dtypes)["g"]
     own = F.array_distinct(group) if kind.startswith("array") else F.array(group)
-    # every record is also in the group of all, so that the catalog is counted in the same pass
-    everyone = F.array(F.struct(F.lit(True).alias("all"), F.lit(None).cast(kind.removeprefix("array<").removesuffix(">")).alias("group")))
-    members = F.concat(F.transform(own, lambda g: F.struct(F.lit(False).alias("all"), g.alias("group"))), everyone)
     rows = records.select(
-        F.explode(F.coalesce(members, everyone)).alias("m"),
-        shares(frontiers).alias("w"), F.col(citations).alias("c"), F.col(velocity).alias("y"), F.col(title).alias("t"), F.col(record_id).alias("i"),
-    ).select("m.*", "w", "c", "y", "t", "i")
+        F.explode(own).alias("group"), shares(frontiers).alias("w"), F.col(citations).alias("c"), F.col(velocity).alias("y"), F.col(title).alias("t"), F.col(record_id).alias("i")
+    )
     first = F.min_by(F.struct("t", "i", "c"), F.when(F.col("c").isNotNull(), F.struct((-F.col("c")).alias("c"), "i")))
-    out = rows.groupBy("all", "group").agg(
+    out = rows.groupBy("group").agg(
         F.count("*").alias("paper_count"), F.sum("w").alias("fractional_paper_count"), F.count("c").alias("citable_paper_count"), F.sum("c").alias("total_citations"),
         F.avg("c").alias("mean_citations"), F.median("c").alias("median_citations"), F.avg("y").alias("mean_citations_per_year"), first.alias("top"),
-    ).withColumn("catalog", F.max(F.when(F.col("all"), F.col("paper_count"))).over(Window.partitionBy())).filter(~F.col("all"))
+    ).withColumn("catalog", records.agg(F.count("*")).scalar())
     return out.select(
         "group", "paper_count", (F.col("paper_count") / F.col("catalog")).alias("share_of_catalog"), "fractional_paper_count", "citable_paper_count",
         (F.col("citable_paper_count") / F.col("paper_count")).alias("citation_coverage"), F.coalesce("total_citations", F.lit(0)).alias("total_citations"), "mean_citations", "median_citations",
@@ -98,8 +106,9 @@ def group_statistics(
     )
 
 
-def by_count(grouped: DataFrame, count: str = "paper_count", name: str = "group") -> DataFrame:
-    return grouped.orderBy(F.desc(count), F.asc(name))
+def by_count(grouped: DataFrame, count: str = "paper_count", name: str = "group", to: str = "n") -> DataFrame:
+    """grouped with each group's place: by count from the greatest down, then by name."""
+    return numbered(grouped, [F.desc(count), F.asc(name)], to).drop("of")
 
 
 def mid_rank(df: DataFrame, column: str, to: str) -> DataFrame:
@@ -116,10 +125,11 @@ def impact_proxy(df: DataFrame, citations: str, velocity: str, to: str = "impact
 
 
 def ranking(df: DataFrame, by: Iterable[Column], n: int | None = None) -> DataFrame:
-    """Rows in order with their rank; the first n only (then no more than n rows reach one task)."""
+    """Rows with their rank in an order that tells them apart; the first n only (then no more than n rows of each task meet), or all, in range partitions."""
     order = list(by)
-    rows = df.orderBy(*order).limit(n) if n is not None else df
-    return rows.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    if n is None:
+        return numbered(df, order, "rank").drop("of")
+    return df.orderBy(*order).limit(n).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
 def member_ranking(records: DataFrame, members: str, frontiers: str, citations: str, record_id: str = "record_id", count: str = "papers") -> DataFrame:

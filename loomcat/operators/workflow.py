@@ -12,7 +12,6 @@ from loomcat.operators.keys import duplicate_keys, orphans
 from loomcat.operators.ordering import previous
 
 
-
 def outside(df: DataFrame, key: str, domains: dict[str, list[str]]) -> DataFrame:
     """(key, rule, value) of values outside their domain; nulls pass, as in a CHECK."""
     each = F.array(*[F.when(F.col(c).isNotNull() & ~F.col(c).isin(d), F.struct(F.lit(f"{c} in its domain").alias("rule"), F.col(c).cast("string").alias("value"))) for c, d in domains.items()])
@@ -51,6 +50,11 @@ def with_defaults(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.coalesce(c, given[c]) for c in df.columns if c in given})
 
 
+def readable(rows: DataFrame, role: str, grants: dict[str, Column]) -> DataFrame:
+    """The rows that a role may read: those for which its grant is true. A role without a grant reads none."""
+    return rows.filter(F.coalesce(grants.get(role, F.lit(False)), F.lit(False)))
+
+
 def _all(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

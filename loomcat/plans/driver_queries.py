@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,10 @@ from loomcat.functions import texts as X
 from loomcat.functions import values as V
 from loomcat.operators import audit, gate, keys, ordering, progress, search, stats, workflow
 from loomcat.plans import instances as I
+from loomcat.plans import manifest
 from loomcat.plans.instances import t
+from loomcat.sources import readers, sinks
+from loomcat.sources.folders import new_folder, put_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,9 +85,44 @@ def p08_p13_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("select record_id from records where false", I.RECORDS_SQL)
+@query("select record_id from records where doc_id % 11 = 0", I.RECORDS_SQL)
 def v10_gate_breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gate.gate_breaches(I.records(spark, sf_dir)).select("record_id")
+    """Every eleventh record has its gate turned round."""
+    rows = I.records(spark, sf_dir).withColumn("publication_allowed", F.when(F.col("doc_id") % 11 == 0, ~F.col("publication_allowed")).otherwise(F.col("publication_allowed")))
+    return gate.gate_breaches(rows).select("record_id")
+
+
+@query("select role, count(*) filter (role = 'owner' or role = 'public' and publication_allowed) as n from records, (values ('owner'), ('public'), ('stranger')) r(role) group by role", I.RECORDS_SQL)
+def v08_default_deny(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What roles with and without a grant read."""
+    rows, grants = I.records(spark, sf_dir).select("publication_allowed"), {"owner": F.lit(True), "public": F.col("publication_allowed")}
+    parts = [workflow.readable(rows, role, grants).agg(F.count("*").alias("n")).select(F.lit(role).alias("role"), "n") for role in ("owner", "public", "stranger")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("select * from public", I.RECORDS_SQL, I.SOURCES_SQL)
+def p01_p07_j01_j04_public_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 38 public columns of the six sources; lists are joined by commas."""
+    rows = manifest.public_records(manifest.merged(I.sources(spark, sf_dir)))
+    return rows.select(*[X.joined(F.col(n), ",").alias(n) if k == "array<string>" else F.col(n) for n, k in rows.dtypes])
+
+
+@query("select max(left(nullif(public_updated_at, ''), 10)) as d from public", I.RECORDS_SQL, I.SOURCES_SQL)
+def f07_snapshot_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.snapshot_date(I.sources(spark, sf_dir).rights)
+
+
+@query("select record_id, row_number() over (order by lower(title), lower(record_id)) as position from titled", I.TITLED_SQL)
+def o01_canonical_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordering.numbered(I.titled(spark, sf_dir), search.canonical_columns()).select("record_id", "position")
+
+
+@query("select record_id, row_number() over (order by title collate nocase.noaccent, lower(title), lower(record_id), record_id) as by_title, row_number() over (order by title collate nocase.noaccent, lower(title), lower(record_id), record_id) as by_unknown_key from titled", I.TITLED_SQL)
+def o02_o04_title_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = I.titled(spark, sf_dir)
+    for sort, to in (("title", "by_title"), ("unheard-of", "by_unknown_key")):
+        rows = ordering.numbered(rows, search.order_columns(sort), to).drop("of")
+    return rows.select("record_id", "by_title", "by_unknown_key")
 
 
 @query("select record_id from (select *, case when doc_id % 2 = 0 then 'CC-BY-SA-4.0' end as tl from records) where tl is not null and (source_license is null or source_license not in ('CC0-1.0', 'CC-BY-4.0', 'CC-BY-SA-4.0'))", I.RECORDS_SQL)
@@ -113,13 +152,8 @@ def p01_p04_merged_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""select 'license' as kind, coalesce(source_license, 'unknown') as key, count(*) as count from records group by 2 union all select 'authorization', authorization_status, count(*) from records group by 2
     union all select 'translation', translation_status, count(*) from records group by 2 union all select 'year', cast(publication_year as varchar), count(*) from records group by 2""", I.RECORDS_SQL)
 def a02_a04_a07_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = I.records(spark, sf_dir).select("source_license", "authorization_status", "translation_status", "publication_year")
-    parts = [("license", "source_license", True), ("authorization", "authorization_status", False), ("translation", "translation_status", False), ("year", "publication_year", False)]
-    out = None
-    for kind, column, unknown in parts:
-        one = stats.counts(rows, F.col(column), unknown=unknown).select(F.lit(kind).alias("kind"), "key", "count")
-        out = one if out is None else out.unionByName(one)
-    return out
+    rows = I.records(spark, sf_dir)
+    return stats.counts_by(rows, {"license": V.or_unknown(F.col("source_license")), "authorization": F.col("authorization_status"), "translation": F.col("translation_status"), "year": F.col("publication_year")})
 
 
 @query("select key, count(*) as count from (select unnest(frontiers) as key from records) group by 1", I.RECORDS_SQL)
@@ -147,12 +181,7 @@ _SUMMARY = """select {name} as metric, count(v) as count, cast(coalesce(sum(v),
 
 @query(" union all ".join(_SUMMARY.format(name=f"'{n}'", rows=f"(select {c} as v from records where {c} is not null)") for n, c in (("chars", "n_chars"), ("citations", "citation_count"), ("pages", "page_count"))), I.RECORDS_SQL)
 def a10_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = I.records(spark, sf_dir).select("n_chars", "citation_count", "page_count")
-    out = None
-    for name, column in (("chars", "n_chars"), ("citations", "citation_count"), ("pages", "page_count")):
-        one = stats.summary(rows, column).select(F.lit(name).alias("metric"), "count", *[F.col(c).cast("double").alias(c) for c in ("total", "mean", "median", "p25", "p75")])
-        out = one if out is None else out.unionByName(one)
-    return out
+    return stats.summaries(I.records(spark, sf_dir), {"chars": "n_chars", "citations": "citation_count", "pages": "page_count"})
 
 
 @query("select 0 as count, 0::double as total, null::double as mean, null::double as median, null::double as p25, null::double as p75")
@@ -183,10 +212,18 @@ def a13_a14_p28_p30_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return progress.matrix(I.records(spark, sf_dir)).drop("name")
 
 
-@query(_MATRIX + ", s as (select code, total, row_number() over (order by total desc, position) as place from z) select * from s where place <= 4", I.RECORDS_SQL)
+@query(_MATRIX + "select code, total, row_number() over (order by total desc, position) as place, row_number() over (order by published, position) as rising from z", I.RECORDS_SQL)
 def o05_sorted_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = [F.desc("total"), F.asc("position")]
-    return stats.ranking(progress.matrix(I.records(spark, sf_dir)), order, 4).select("code", "total", F.col("rank").alias("place"))
+    falling = progress.sorted_matrix(progress.matrix(I.records(spark, sf_dir)), "total", False)
+    rising = progress.sorted_matrix(falling.drop("place"), "published").select("code", F.col("place").alias("rising"))
+    return falling.select("code", "total", "place").join(rising, "code")
+
+
+@query("select k.key as current, a.up as ascending, c.key as chosen, not (k.key = c.key and a.up) as next_ascending from (select unnest(['name', 'total', 'allowed']) as key) k, (select unnest([true, false]) as up) a, (select unnest(['name', 'total', 'allowed']) as key) c")
+def o06_next_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state that each choice of a column leads to."""
+    found = [(k, up, c, *progress.next_sort((k, up), c)) for k in ("name", "total", "allowed") for up in (True, False) for c in ("name", "total", "allowed")]
+    return spark.createDataFrame(found, "current string, ascending boolean, chosen string, next string, next_ascending boolean").drop("next")
 
 
 @query("select count(*) as total, count(*) filter (publication_allowed) as allowed, count(*) filter (not publication_allowed) as blocked, cast(floor(count(*) filter (publication_allowed) * 100.0::double / count(*) + 0.5) as integer) as allowed_percent, round(count(*) filter (publication_allowed) * 360.0::double / count(*), 6) as allowed_angle from records", I.RECORDS_SQL)
@@ -204,10 +241,15 @@ def a24_p40_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.counts(I.records(spark, sf_dir), V.page_bucket(F.col("page_count")), "bucket")
 
 
-@query(_SUMMARY.format(name="'quantity'", rows="(select quantity as v from recs)").replace(" from (select quantity", ", min(v) as min, max(v) as max from (select quantity").replace("round(avg(v), 2)", "round(avg(v), 6)"), I.ORDERS_SQL)
+_LENGTHS = {"pages": "n_chars // 100", "tokens": r"len(regexp_extract_all(text, '[\p{L}\p{N}]+'))", "words": r"len(regexp_extract_all(text, '\p{Latin}+'))", "chars": r"length(regexp_replace(text, '[ \t\n\v\f\r]', '', 'g'))"}
+
+
+@query(" union all ".join(_SUMMARY.format(name=f"'{m}'", rows=f"(select {c} as v from documents)").replace("round(avg(v), 2) as mean", "round(avg(v), 6) as mean, cast(min(v) as double) as min, cast(max(v) as double) as max") for m, c in _LENGTHS.items()))
 def a25_length_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = stats.summary(I.orders(spark, sf_dir), "quantity", digits=None, extremes=True)
-    return found.select(F.lit("quantity").alias("metric"), "count", r("total", 2), r("mean"), "median", "p25", "p75", "min", "max")
+    c = F.col("text")
+    rows = t(spark, sf_dir, "documents").select(F.floor(F.col("n_chars") / 100).alias("pages"), X.unicode_tokens(c).alias("tokens"), X.latin_words(c).alias("words"), X.chars_without_space(c).alias("chars"))
+    found = stats.summaries(rows, {m: m for m in _LENGTHS}, digits=None, extremes=True)
+    return found.withColumn("mean", F.round("mean", 6))
 
 
 @query("select source, count(*) as count, cast(sum(n_chars) as bigint) as chars from documents group by 1")
@@ -270,7 +312,7 @@ def w01_p34_mid_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("c_custkey", r("pct_bal"), r("score"))
 
 
-@query("select record_id, title, row_number() over (order by lower(title), record_id) as position, count(*) over () as of, lpad(cast(row_number() over (order by lower(title), record_id) as varchar), 3, '0') as label from records where doc_id < 900", I.RECORDS_SQL)
+@query("select record_id, title, row_number() over (order by lower(title), record_id) as position, count(*) over () as of, case when row_number() over (order by lower(title), record_id) >= 100 then cast(row_number() over (order by lower(title), record_id) as varchar) else lpad(cast(row_number() over (order by lower(title), record_id) as varchar), 3, '0') end as label from records", I.RECORDS_SQL)
 def w02_w03_p31_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = I.records(spark, sf_dir).select("record_id", "title")
     found = ordering.numbered(rows, [F.lower("title"), F.col("record_id")])
@@ -331,7 +373,7 @@ def o02_f02_f04_search_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select \"group\", paper_count, row_number() over (order by paper_count desc, \"group\") as n from (select unnest(topics) as \"group\", count(*) as paper_count from records group by 1)", I.RECORDS_SQL)
 def o07_by_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = stats.list_counts(I.records(spark, sf_dir), "topics", "group").withColumnRenamed("count", "paper_count")
-    return stats.ranking(counted, [F.desc("paper_count"), F.asc("group")]).withColumnRenamed("rank", "n")
+    return stats.by_count(counted)
 
 
 @query("select array_to_string(list(k || '=' || n order by k), ',') as counts from (select o_orderpriority as k, count(*) as n from orders group by 1)")
@@ -383,9 +425,105 @@ def f18_clean_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.clean_texts(t(spark, sf_dir, "documents")).select("doc_id")
 
 
-@query(r"select doc_id from documents where regexp_matches(text, '(^|[^0-9])(541|273|268)($|[^0-9])')")
+@query(r"select doc_id from documents where regexp_matches(text || ' ' || case when doc_id % 3 = 0 then '' else '1' end || (530 + doc_id % 20) || '.', '(^|[^0-9])(541|273|268)($|[^0-9])')")
 def f19_numbers_alone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t(spark, sf_dir, "documents").filter(X.numbers_alone(F.col("text"), ["541", "273", "268"])).select("doc_id")
+    """Texts that end with a number, which every third time is no part of a longer one."""
+    k = F.col("doc_id")
+    text = F.concat("text", F.lit(" "), F.when(k % 3 == 0, "").otherwise("1"), 530 + k % 20, F.lit("."))
+    return t(spark, sf_dir, "documents").filter(X.numbers_alone(text, ["541", "273", "268"])).select("doc_id")
+
+
+# ---------------------------------------------------------------- sources and sinks
+
+
+@query("select n_nationkey, n_name, n_regionkey from nation")
+def s01_s09_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written as one array, and read again by its schema."""
+    rows, path = t(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"), f"{new_folder(spark, 'json')}/nation.json"
+    sinks.json_file(rows.orderBy("n_nationkey"), path)
+    return readers.json_records(spark, path, rows.schema)
+
+
+@query("select 'present' as kind, count(*) as n from region union all select 'absent', 0")
+def s02_optional_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, folder = t(spark, sf_dir, "region"), new_folder(spark, "optional")
+    sinks.json_file(rows, f"{folder}/region.json")
+    count = lambda name, kind: readers.optional(spark, f"{folder}/{name}.json", rows.schema).agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n")
+    return count("region", "present").unionByName(count("none", "absent"))
+
+
+@query("select 'm1' as machine_model, 'r' || r_regionkey as record_id, r_name as title_zh, cast(null as varchar) as status from region")
+def s03_wrapped_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{new_folder(spark, 'titles')}/titles.json"
+    found = [{"record_id": f"r{r.r_regionkey}", "title_zh": r.r_name} for r in t(spark, sf_dir, "region").collect()]
+    put_text(spark, path, json.dumps({"machine_model": " m1 ", "translations": found}))
+    return readers.titles(spark, path)
+
+
+@query("select r_regionkey, r_name from region")
+def s04_fetched_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, path = t(spark, sf_dir, "region").select("r_regionkey", "r_name"), f"{new_folder(spark, 'fetched')}/region.json"
+    sinks.json_file(rows, path)
+    return readers.fetched(spark, path if "://" in path else f"file://{path}", rows.schema)
+
+
+@query("select 'in/' || lower(r_name) || '.txt' as path, strlen(r_name) as length, true as dated from region")
+def s05_s15_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "files")
+    for r in t(spark, sf_dir, "region").collect():  # five rows
+        put_text(spark, f"{folder}/in/{r.r_name.lower()}.txt", r.r_name)
+    return readers.files(spark, folder).select("path", "length", F.col("modified").isNotNull().alias("dated"))
+
+
+@query("select doc_id, length(text) as n from documents where doc_id % 3 <> 0 and text is not null")
+def s06_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third file begins with a byte that is no UTF-8, and is skipped."""
+    content = F.concat(F.when(F.col("doc_id") % 3 == 0, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit(""))), F.col("text").cast("binary"))
+    return audit.decoded(t(spark, sf_dir, "documents").select("doc_id", content.alias("content"))).select("doc_id", F.length("text").alias("n"))
+
+
+@query("select cast(p_partkey as integer) as number, p_name || ' | ' || p_type as title, p_brand as authors, 'arXiv:' || p_partkey as external_id, case when p_partkey % 2 = 0 then 'AF,CF' else 'TF' end as frontiers, case when p_partkey % 2 = 0 then 'AF: x;CF: y' else 'TF: ' || p_type end as topics, p_size as placements from part")
+def s07_markdown_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    even, cell = F.col("p_partkey") % 2 == 0, F.lit(" | ")
+    line = F.concat(
+        F.lit("| "), "p_partkey", cell, "p_name", F.lit(" \\| "), "p_type", cell, "p_brand", cell, F.lit("arXiv:"), "p_partkey", cell, F.when(even, "AF, CF").otherwise("TF"), cell,
+        F.when(even, F.lit("AF: x; CF: y")).otherwise(F.concat(F.lit("TF: "), "p_type")), cell, "p_size", F.lit(" |"),
+    )
+    folder = new_folder(spark, "markdown")
+    t(spark, sf_dir, "part").select(line.alias("value")).write.text(folder)
+    put_text(spark, f"{folder}/head.md", "# Papers\n\n| # | Title | Authors | Record | Frontiers | Topics | Placements |\n|---:|---|---|---|---|---|---:|\n")
+    rows = readers.white_papers(spark, folder)
+    return rows.withColumns({"frontiers": X.joined(F.col("frontiers"), ","), "topics": X.joined(F.col("topics"), ";")})
+
+
+@query("select c_custkey, c_name || ', \"' || c_mktsegment || '\"' as label, c_acctbal from customer")
+def s08_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = t(spark, sf_dir, "customer").select("c_custkey", F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"')).alias("label"), "c_acctbal")
+    folder = new_folder(spark, "csv")
+    sinks.csv_folder(rows, folder)
+    return readers.csv_table(spark, folder, rows.schema)
+
+
+@query("select count(*) as records, '2026-08-' || lpad(cast(max(1 + n_nationkey) filter (n_nationkey % 5 <> 4) as varchar), 2, '0') as source_snapshot_date, count(*) filter (n_nationkey % 4 < 2) as publication_allowed, count(*) filter (n_nationkey % 4 >= 2) as needs_permission from nation")
+def s10_s11_summary_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest built from six files, by options, and its summary line."""
+    root = new_folder(spark, "manifest")
+    rows = sorted((r.n_nationkey, r.n_name) for r in t(spark, sf_dir, "nation").collect())  # 25 rows
+    licenses = ["CC-BY-4.0", "CC0-1.0", "ARXIV", None]
+    rights = [{"record_id": n, "source_license": licenses[k % 4], "permits_adaptation": True, "license_checked_at": "" if k % 5 == 4 else f"2026-08-{k + 1:02d}T00:00:00Z"} for k, n in rows]
+    given = manifest.paths_of(["--root", root, "--titles-zh", f"{root}/zh.json"])
+    for name, value in (("rights", rights), ("catalog", []), ("analysis", []), ("lengths", [{"record_id": rows[0][1], "page_count": 3}]), ("titles_zh", {"machine_model": "m", "translations": [{"record_id": n, "title_zh": "z"} for _, n in rows]})):
+        put_text(spark, given[name], json.dumps(value))
+    line = manifest.run(spark, given.pop("out_dir"), titles=given.pop("titles_zh"), **given)
+    return spark.createDataFrame([tuple(line.values())], "records long, source_snapshot_date string, publication_allowed long, needs_permission long")
+
+
+@query("select cast(r_regionkey as bigint) as r_regionkey, r_name, cast(null as varchar) as note from region")
+def s12_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appended to a table, and read in the columns and types of a schema."""
+    folder = new_folder(spark, "table")
+    sinks.appended(t(spark, sf_dir, "region").withColumn("note", F.lit(None).cast("string")), folder)
+    return readers.table(spark, folder, S.T.StructType([S.T.StructField("r_regionkey", S.LONG), S.T.StructField("r_name", S.STRING), S.T.StructField("note", S.STRING)]))
 
 
 # ---------------------------------------------------------------- joins and key checks
@@ -434,11 +572,12 @@ def j12_missing_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t(spark, sf_dir, "documents").select("doc_id").join(t(spark, sf_dir, "labels"), "doc_id", "left_anti")
 
 
-@query("select l_orderkey from lineitem where l_orderkey not in (select o_orderkey from orders) union all select doc_id from labels where doc_id not in (select doc_id from documents)")
+@query("select l_orderkey, l_linenumber from (select case when l_linenumber = 1 and l_orderkey % 50 = 0 then l_orderkey + 1000000000 else l_orderkey end as l_orderkey, l_linenumber from lineitem) where l_orderkey not in (select o_orderkey from orders)")
 def j13_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = keys.orphans(t(spark, sf_dir, "lineitem"), t(spark, sf_dir, "orders"), {"l_orderkey": "o_orderkey"}).select("l_orderkey")
-    b = keys.orphans(t(spark, sf_dir, "labels"), t(spark, sf_dir, "documents"), {"doc_id": "doc_id"})
-    return a.unionByName(b.select(F.col("doc_id").alias("l_orderkey")))
+    """Some lines point to orders that don't exist."""
+    k = F.col("l_orderkey")
+    lines = t(spark, sf_dir, "lineitem").select(F.when((F.col("l_linenumber") == 1) & (k % 50 == 0), k + 1_000_000_000).otherwise(k).alias("l_orderkey"), "l_linenumber")
+    return keys.orphans(lines, t(spark, sf_dir, "orders"), {"l_orderkey": "o_orderkey"}).select("l_orderkey", "l_linenumber")
 
 
 @query("select doc_id, coalesce(case when doc_id % 3 = 0 then lang end, case when doc_id % 2 = 0 then source end, 'listed') as value, case when doc_id % 3 = 0 then 'first' when doc_id % 2 = 0 then 'second' else 'third' end as origin from documents")
@@ -453,10 +592,17 @@ def j14_s14_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- scalar functions
 
 
-@query("select n_nationkey, case n_nationkey % 8 when 0 then 12.5 when 1 then 1 when 2 then 0 when 3 then 10 when 4 then 1 when 5 then -2000 end::double as v from nation where n_nationkey % 8 <> 7")
+@query("select n_nationkey, case n_nationkey % 10 when 0 then 12.5 when 1 then 1 when 2 then 0 when 3 then 10 when 4 then 1 when 5 then -2000 when 9 then 0.5 end::double as v from nation")
 def p05_to_number(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = F.element_at(F.array(*[F.lit(x) for x in (" 12.5 ", "true", "false", "1_0", "1", "-2e3", "abc")]), F.col("n_nationkey") % 8 + 1)
-    return t(spark, sf_dir, "nation").filter("n_nationkey % 8 <> 7").select("n_nationkey", V.to_number(raw).alias("v"))
+    raw = F.element_at(F.array(*[F.lit(x) for x in (" 12.5 ", "true", "false", "1_0", "1", "-2e3", "abc", "", None, ".5")]), F.col("n_nationkey") % 10 + 1)
+    return t(spark, sf_dir, "nation").select("n_nationkey", V.to_number(raw).alias("v"))
+
+
+@query("select code, zh, en, coalesce(f.n, code) as family from (values ('AF', '加速器前沿', 'Accelerator Frontier'), ('CF', '宇宙前沿', 'Cosmic Frontier'), ('EF', '能量前沿', 'Energy Frontier'), ('TF', '理论前沿', 'Theory Frontier'), ('NF', '中微子前沿', 'Neutrino Frontier'), ('XX', 'XX', 'XX')) l(code, zh, en) left join (select 'none' as c, 'none' as n) f on c = code where code in (select unnest(frontiers) from records)", I.RECORDS_SQL)
+def p22_j10_labels_in_two_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stats.facet_values(I.records(spark, sf_dir), "frontiers", many=True)
+    c, names = F.col("value"), S.LABELS["frontier"]
+    return rows.select(c.alias("code"), V.localized(c, names, chinese=True).alias("zh"), V.localized(c, names).alias("en"), V.family(c, S.FAMILIES).alias("family"))
 
 
 @query(r"""select page_id, case page_id % 4 when 0 then '2203.' || page_id when 1 then 'cds-' || page_id when 2 then 'hal-0' || page_id else 'id%20' || page_id || '%2Fx' end as slug,
@@ -482,10 +628,10 @@ def p20_escape_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t(spark, sf_dir, "pages").select("page_id", X.escape_html(F.col("html")).alias("escaped"))
 
 
-@query("select o_orderkey, format('{:,}', cast(floor(o_totalprice) as bigint)) as whole, strftime(o_orderdate, '%B ') || day(o_orderdate) || ', ' || year(o_orderdate) as day, strftime(o_orderdate, '%Y-%m-%d') as iso from orders")
+@query("select o_orderkey, format('{:,}', cast(floor(o_totalprice) as bigint)) as whole, strftime(o_orderdate, '%B ') || day(o_orderdate) || ', ' || year(o_orderdate) as day, strftime(o_orderdate, '%Y-%m-%d') as iso, year(o_orderdate) || '年' || month(o_orderdate) || '月' || day(o_orderdate) || '日' as day_zh from orders")
 def p14_p21_p32_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     date = F.col("o_orderdate")
-    return t(spark, sf_dir, "orders").select("o_orderkey", V.number_text(F.floor("o_totalprice")).alias("whole"), V.long_date(date.cast("string")).alias("day"), V.iso_date(date.cast("string")).alias("iso"))
+    return t(spark, sf_dir, "orders").select("o_orderkey", V.number_text(F.floor("o_totalprice")).alias("whole"), V.long_date(date.cast("string")).alias("day"), V.iso_date(date.cast("string")).alias("iso"), V.long_date(date.cast("string"), chinese=True).alias("day_zh"))
 
 
 @query("""select record_id, case when authorization_status = 'license-cleared' then 'badge-cleared' else 'badge-pending' end as auth, case translation_status when 'published' then 'badge-cleared' when 'withdrawn' then 'badge-blocked'
@@ -591,16 +737,29 @@ def v07_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return workflow.rewritten(before, after)
 
 
-@query("""select event_id, previous_status, new_status from (select *, lag(new_status) over (partition by request_id order by occurred_at, event_id) as previous_status from log)
-    where previous_status is not null and previous_status <> new_status and (previous_status, new_status) not in (('signup', 'view'), ('view', 'click'), ('click', 'purchase'), ('click', 'view'))""", I.LOG_SQL)
+def _edges(domain: list[str], edges: list[tuple[str, str]], kind: str) -> str:
+    allowed = ", ".join(f"('{a}', '{b}')" for a, b in edges)
+    return f"""select '{kind}' as kind, event_id, previous_status, new_status from (select *, lag(new_status) over (partition by request_id order by occurred_at, event_id) as previous_status from ({I.states_sql(domain)}))
+        where previous_status is not null and previous_status <> new_status and (previous_status, new_status) not in ({allowed})"""
+
+
+@query(_edges(S.TRANSLATION_STATES, S.TRANSLATION_EDGES, "translation") + " union all " + _edges(S.PRIVATE_AUTHORIZATION_STATES, S.AUTHORIZATION_EDGES, "authorization"))
 def v09_forbidden_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = [("signup", "view"), ("view", "click"), ("click", "purchase"), ("click", "view")]
-    return workflow.forbidden_changes(workflow.with_previous(I.log(spark, sf_dir)), edges).select("event_id", "previous_status", "new_status")
+    """Changes over the real domains that their edges don't allow."""
+    parts = []
+    for kind, domain, edges in (("translation", S.TRANSLATION_STATES, S.TRANSLATION_EDGES), ("authorization", S.PRIVATE_AUTHORIZATION_STATES, S.AUTHORIZATION_EDGES)):
+        found = workflow.forbidden_changes(workflow.with_previous(I.states(spark, sf_dir, domain)), edges)
+        parts.append(found.select(F.lit(kind).alias("kind"), "event_id", "previous_status", "new_status"))
+    return parts[0].unionByName(parts[1])
 
 
-@query("select record_id from records where title = record_id or not starts_with(record_id, 'doc:')", I.RECORDS_SQL)
+@query("select case when doc_id % 17 = 0 then 'dox:' || doc_id else record_id end as key, unnest(list_filter([case when doc_id % 13 = 0 then 'title differs' end, case when doc_id % 17 = 0 then 'prefix' end], lambda x: x is not null)) as rule from records where doc_id % 13 = 0 or doc_id % 17 = 0", I.RECORDS_SQL)
 def v12_v13_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return workflow.breaches(I.records(spark, sf_dir), "record_id", {"title differs": F.col("title") != F.col("record_id"), "prefix": F.col("record_id").startswith("doc:")}).select(F.col("key").alias("record_id"))
+    """Some titles are the record's id, and some ids have another prefix."""
+    k = F.col("doc_id")
+    rows = I.records(spark, sf_dir).withColumn("record_id", F.when(k % 17 == 0, F.concat(F.lit("dox:"), k)).otherwise(F.col("record_id")))
+    rows = rows.withColumn("title", F.when(k % 13 == 0, F.col("record_id")).otherwise(F.col("title")))
+    return workflow.breaches(rows, "record_id", {"title differs": F.col("title") != F.col("record_id"), "prefix": F.col("record_id").startswith("doc:")}).select("key", "rule")
 
 
 @query("""select email, contact_id, request_id from (select *, row_number() over (partition by split_part(email, '@', 2) order by request_id) as m from (

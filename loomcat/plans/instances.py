@@ -65,6 +65,74 @@ r0 as (
 )"""
 
 
+#: Titles whose order by case and accents matters.
+TITLES = ["éa", "Ea", "b", "A", "zeta", "résumé", "Resume", "_x"]
+
+
+def titled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with titles that differ in case and accents."""
+    k = F.col("doc_id")
+    name = F.element_at(F.array(*[F.lit(x) for x in TITLES]), (k % 8 + 1).cast("int"))
+    return t(spark, sf_dir, "documents").select(F.concat(F.lit("Doc:"), k).alias("record_id"), F.concat(name, F.lit(" "), F.lpad(F.floor(k / 40).cast("string"), 9, "0")).alias("title"))
+
+
+TITLED_SQL = "titled as (select 'Doc:' || doc_id as record_id, [" + ", ".join(f"'{x}'" for x in TITLES) + "][1 + doc_id % 8] || ' ' || lpad(cast(doc_id // 40 as varchar), 9, '0') as title from documents)"
+
+
+def sources(spark: SparkSession, sf_dir: str):
+    """The six sources of the manifest, made from documents: keys differ in case and spaces, values are missing, blank or no number."""
+    from loomcat.plans.manifest import Sources
+
+    r, k = records(spark, sf_dir), F.col("doc_id")
+    text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    none = F.lit(None).cast("string")
+    nothing = F.array().cast("array<string>")
+    rights = r.select(
+        text("Doc:", k).alias("record_id"), F.when(k % 2 == 0, text("p", k)).alias("paper_id"), F.when(k % 3 != 0, F.col("title")).otherwise("").alias("title"), F.lit("").alias("authors_as_listed"),
+        F.when(k % 5 == 0, nothing).otherwise(F.col("frontiers")).alias("frontiers"), F.lit(None).cast("array<string>").alias("topics"), F.when(k % 4 == 0, "").otherwise(text("https://r.invalid/", k)).alias("source_url"),
+        F.lit("v1").alias("source_version"), "source_license", none.alias("source_license_url"), "permits_adaptation", "license_decision",
+        F.when(k % 7 == 0, "").otherwise(text(F.col("earliest_date").cast("string"), "T01:02:03Z")).alias("license_checked_at"), F.when(k % 2 == 0, F.col("translation_status")).alias("translation_status"),
+        none.alias("translation_license"), F.lit("m0").alias("machine_model"), nothing.alias("human_reviewers"),
+    )
+    catalog = r.filter(k % 6 != 1).select(
+        text(" DOC:", k, " ").alias("record_id"), text("Listed ", k).alias("title"), F.when(k % 2 == 0, text("Author ", k)).alias("authors_as_listed"), F.array(F.lit("XX")).alias("frontiers"), "topics",
+        text("https://c.invalid/", k).alias("external_url"), F.lit(1).alias("number"), F.lit(1).alias("placement_count"),
+    )
+    analysis = r.filter(k % 4 != 2).select(
+        text("doc:", k).alias("record_id"), text("Analysed ", k).alias("title"), "publication_year", F.col("citation_count").cast("long").cast("string").alias("citation_count"), F.lit("n/a").alias("citation_count_without_self_citations"),
+        F.lit("").alias("citations_per_year"), F.lit("1_0.5").alias("impact_proxy_score_0_100"), F.lit(None).cast("array<string>").alias("frontier_labels"), F.when(k % 3 == 0, "").otherwise("hep-ph").alias("primary_arxiv_category"),
+    )
+    lengths = r.select(text("doc:", k).alias("record_id"), none.alias("title"), F.col("page_count").cast("long").cast("string").alias("page_count"), F.when(k % 8 == 0, "x").otherwise(F.col("n_chars").cast("string")).alias("unicode_token_count"))
+    titles = r.select(F.lit("m1").alias("machine_model"), text("doc:", k).alias("record_id"), text("T", k).alias("title_zh"), F.when(k % 9 == 0, "reviewed").alias("status"))
+    translations = r.filter(F.col("publication_allowed") & (k % 2 == 0)).select(
+        text("doc:", k).alias("record_id"), F.lit("published").alias("translation_status"), F.lit("CC-BY-4.0").alias("translation_license"), F.lit("").alias("machine_model"), F.array(F.lit("R")).alias("human_reviewers"),
+        text("https://t.invalid/", k).alias("publication_translation_url"), F.lit("ab").alias("publication_translation_sha256"), F.lit(12).cast("long").alias("publication_translation_size_bytes"),
+        F.lit("1").alias("translation_version"), F.lit("2026-08-09").alias("translation_published_at"),
+    )
+    return Sources(rights, catalog, analysis, lengths, titles, translations)
+
+
+SOURCES_SQL = """
+public as (
+    select case when doc_id % 2 = 0 then 'p' || doc_id else 'Doc:' || doc_id end as paper_id, 'Doc:' || doc_id as record_id,
+        case when doc_id % 3 <> 0 then title when doc_id % 6 <> 1 then 'Listed ' || doc_id else 'Analysed ' || doc_id end as title,
+        'T' || doc_id as title_zh, case when doc_id % 9 = 0 then 'reviewed' else 'machine-draft' end as title_zh_status, 'm1' as title_zh_model,
+        case when doc_id % 6 <> 1 and doc_id % 2 = 0 then 'Author ' || doc_id else '' end as authors_as_listed,
+        case when doc_id % 5 <> 0 then array_to_string(frontiers, ',') when doc_id % 6 <> 1 then 'XX' else '' end as frontiers, case when doc_id % 6 <> 1 then array_to_string(topics, ',') else '' end as topics,
+        case when doc_id % 4 <> 0 then 'https://r.invalid/' || doc_id when doc_id % 6 <> 1 then 'https://c.invalid/' || doc_id end as source_url, 'v1' as source_version, source_license,
+        cast(null as varchar) as source_license_url, permits_adaptation, license_decision,
+        case when tr then 'published' when doc_id % 2 = 0 then translation_status else 'not-started' end as translation_status, case when tr then 'CC-BY-4.0' end as translation_license, 'm0' as machine_model,
+        case when tr then 'R' else '' end as human_reviewers, authorization_status, publication_allowed, publication_basis, array_to_string(publication_conditions, ',') as publication_conditions,
+        case when tr then 'https://t.invalid/' || doc_id end as publication_translation_url, case when tr then 'ab' end as publication_translation_sha256, cast(case when tr then 12 end as bigint) as publication_translation_size_bytes,
+        case when tr then '1' end as translation_version, case when tr then '2026-08-09' end as translation_published_at,
+        case when doc_id % 7 = 0 then '' else cast(earliest_date as varchar) || 'T01:02:03Z' end as public_updated_at, case when doc_id % 4 <> 2 then publication_year end as publication_year,
+        case when doc_id % 4 <> 2 then citation_count end as citation_count, cast(null as double) as citation_count_without_self_citations, cast(null as double) as citations_per_year,
+        cast(case when doc_id % 4 <> 2 then 10.5 end as double) as impact_proxy_score_0_100, page_count, cast(case when doc_id % 8 <> 0 then n_chars end as double) as unicode_token_count, '' as frontier_labels,
+        case when doc_id % 4 <> 2 and doc_id % 3 <> 0 then 'hep-ph' end as primary_arxiv_category
+    from (select *, publication_allowed and doc_id % 2 = 0 as tr from records)
+)"""
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as records: the flags of their lines as frontiers, their suppliers as members, quantities as citations."""
     lines = t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
@@ -147,6 +215,17 @@ requests as (
 )"""
 
 
+def states(spark: SparkSession, sf_dir: str, domain: list[str]) -> DataFrame:
+    """The events as a log over a domain's states."""
+    state = F.element_at(F.array(*[F.lit(x) for x in domain]), (F.col("event_id") % len(domain) + 1).cast("int"))
+    return t(spark, sf_dir, "events").select(F.concat(F.lit("e"), "event_id").alias("event_id"), F.concat(F.lit("q"), "user_id").alias("request_id"), F.col("ts").alias("occurred_at"), state.alias("new_status"))
+
+
+def states_sql(domain: list[str]) -> str:
+    names = ", ".join(f"'{x}'" for x in domain)
+    return f"select 'e' || event_id as event_id, 'q' || user_id as request_id, ts as occurred_at, [{names}][1 + event_id % {len(domain)}] as new_status from events"
+
+
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a log of states: a user's events are a request's."""
     return t(spark, sf_dir, "events").select(

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import time
+import urllib.request
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +22,26 @@ def json_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
+def fetched(spark: SparkSession, url: str, schema: T.StructType, tries: int = 3, pause: float = 1.0, timeout: float = 30.0) -> DataFrame:
+    """The objects of an array at an address (http, https or file), asked for up to `tries` times. For bounded payloads: the driver reads it.
+
+    An answer that is no success fails with its last error; one that is no array fails at once.
+    """
+    for left in range(tries - 1, -1, -1):
+        try:
+            with urllib.request.urlopen(urllib.request.Request(url, headers={"Cache-Control": "no-cache"}), timeout=timeout) as answer:
+                payload = json.loads(answer.read())
+            break
+        except (OSError, ValueError):
+            if not left:
+                raise
+            time.sleep(pause)
+    if not isinstance(payload, list):
+        raise TypeError(f"{url} has no array")
+    rows = spark.createDataFrame([(json.dumps(x),) for x in payload], "value string")
+    return rows.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("x")).select("x.*")
+
+
 def json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Many files with an object a line: the form that splits, for large inputs."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)

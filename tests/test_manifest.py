@@ -1,6 +1,8 @@
 """The manifest from files, its checks, and sources and sinks."""
 
+import http.server
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,6 +53,8 @@ def test_build_from_files(spark, tmp_path):
     stats = json.loads((tmp_path / "out/stats.json").read_text())
     assert stats["frontier_counts"] == {"AF": 2, "CF": 1, "EF": 1, "TF": 1} and stats["license_counts"] == {"ARXIV": 1, "CC-BY-4.0": 1, "unknown": 1}
     assert stats["page_summary"] == {"count": 2, "total": 11, "mean": 5.5, "median": 5.5, "p25": 1, "p75": 10}
+    assert '"mean": 5.5' in (tmp_path / "out/stats.json").read_text() and '"total": 11,' in (tmp_path / "out/stats.json").read_text() and '"citation_count": 7,' in text
+    assert stats["data_notes"][0].startswith("Citation fields are an INSPIRE-derived snapshot")
     assert stats["year_counts"] == {"2022": 1} and stats["citation_summary"]["count"] == 1 and stats["publication_counts"] == {"allowed": 1, "blocked_or_pending": 2}
 
 
@@ -109,3 +113,52 @@ def test_csv_and_json_round_trips(spark, tmp_path):
     sinks.appended(df, str(tmp_path / "log"))
     sinks.appended(df, str(tmp_path / "log"))
     assert readers.table(spark, str(tmp_path / "log"), df.schema).count() == 4
+
+
+def test_json_keeps_doubles_and_whole_counts(spark, tmp_path):
+    df = spark.createDataFrame([(2.0, 2.0, 0.5)], "score double, count double, share double")
+    sinks.json_file(df, str(tmp_path / "x/y.json"), whole={"count"})
+    assert (tmp_path / "x/y.json").read_text() == '[\n  {\n    "score": 2.0,\n    "count": 2,\n    "share": 0.5\n  }\n]\n'
+
+
+class Answers(http.server.BaseHTTPRequestHandler):
+    tries = 0
+
+    def do_GET(self):
+        Answers.tries += 1
+        if self.path == "/flaky" and Answers.tries < 3 or self.path == "/down":
+            self.send_error(503)
+            return
+        self.send_response(200)
+        self.end_headers()
+        self.wfile.write(b'{"a": 1}' if self.path == "/object" else b'[{"k": "a", "n": 7}, {"k": null}]')
+
+    def log_message(self, *_):
+        pass
+
+
+def test_fetch_tries_again_and_wants_an_array(spark):
+    server = http.server.HTTPServer(("127.0.0.1", 0), Answers)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    at, schema = f"http://127.0.0.1:{server.server_port}", S.T.StructType([S.T.StructField("k", S.STRING), S.T.StructField("n", S.STRING)])
+    try:
+        assert [tuple(r) for r in readers.fetched(spark, f"{at}/flaky", schema, pause=0).collect()] == [("a", "7"), (None, None)] and Answers.tries == 3
+        with pytest.raises(OSError):
+            readers.fetched(spark, f"{at}/down", schema, tries=2, pause=0)
+        with pytest.raises(TypeError, match="array"):
+            readers.fetched(spark, f"{at}/object", schema)
+    finally:
+        server.shutdown()
+
+
+def test_tables_of_a_database(spark, tmp_path):
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    rows = spark.range(50).selectExpr("id as contact_id", "concat('r', id % 7) as record_id")
+    rows.write.format("jdbc").options(url=url, dbtable="contacts", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver").save()
+    found = readers.jdbc_table(spark, url, "contacts", "contact_id", 0, 50, 4, driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    assert found.rdd.getNumPartitions() == 4 and sorted(tuple(r) for r in found.collect()) == [(i, f"r{i % 7}") for i in range(50)]
+
+
+def test_options_have_defaults():
+    given = manifest.paths_of(["--root", "/data/", "--titles-zh", "/t.json"])
+    assert given["titles_zh"] == "/t.json" and given["rights"] == "/data/rights/rights.json" and set(given) == {"rights", "catalog", "analysis", "lengths", "titles_zh", "translations", "out_dir"}
