@@ -5,7 +5,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -15,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomcat.sources.folders import new_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -23,19 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 HEAVY_ROWS, HEAVY_KEYS, SALTS = 512, 1024, 64  # keys with so many rows, and at most so many keys, are dealt over so many salts
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Only a session in one process gets a folder of our own if it names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if spark.sparkContext.master.split("[")[0] != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        folder = f"file://{tempfile.mkdtemp(prefix='loomcat-')}"
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/loomcat/{name}-{uuid.uuid4().hex}"
+    return new_folder(spark, name)
 
 
 def ship(spark: SparkSession) -> None:
