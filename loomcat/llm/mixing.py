@@ -17,6 +17,9 @@ the metric of the cells' tokens, run as distributed aggregates over the cells un
 within `TOLERANCE` of their targets or no longer move (STEPS at most). A document then gets
 floor(rate) copies and one more with the fraction as probability, by the hash of its id.
 
+A target of more than REACH times a domain's own expected share is out of reach: it is lowered to that, and what is missing
+goes to the other domains in proportion, so that a domain that is all but absent does not bend the rates of all documents.
+
 Defined results: a null text has no tokens and the cell of an empty one; null languages are
 a language. Without labelled documents all rates are 1. Ids may repeat; null ids
 hash like 0. Domains in the labels that have no target get the target 0. Very long texts are read whole. Columns
@@ -43,6 +46,7 @@ TARGETS = {"good": 0.9, "poor": 0.08, "toxic": 0.02}
 DOMAIN = "case when toxic = 1 then 'toxic' when quality = 1 then 'good' when quality = 0 then 'poor' end"
 STEPS, TOLERANCE, FLOOR = 120, 0.005, 0.01
 PENALTY = 0.0002
+REACH = 5.0  # times a domain's share that its target may be
 CALIBRATIONS = 15  # rounds of fitting the factors at most
 KEPT_STEPS = 8  # steps between two written states
 BROADCAST_ROWS = 1 << 18  # rates, of some 60 bytes, are broadcast up to so many
@@ -187,6 +191,21 @@ def fitted_rates(cells: DataFrame, domains: list[str], targets: dict[str, float]
     return now.drop("ahead")
 
 
+def reachable(before: dict[str, float], targets: dict[str, float], reach: float = REACH) -> dict[str, float]:
+    """The targets, none above reach times a domain's share; what is missing goes to the others in proportion."""
+    goals, lowered = dict.fromkeys(before, 0.0) | targets, set()
+    total = sum(targets.values())
+    while over := {d for d, t in goals.items() if d not in lowered and t > reach * before.get(d, 0.0) + 1e-12}:
+        lowered |= over
+        goals |= {d: reach * before.get(d, 0.0) for d in over}
+        rest = sum(t for d, t in goals.items() if d not in lowered)
+        if not rest:
+            break
+        more = (total - sum(goals[d] for d in lowered)) / rest
+        goals |= {d: t * more for d, t in goals.items() if d not in lowered}
+    return goals
+
+
 def expected_totals(cells: DataFrame, domains: list[str], targets: dict[str, float], budget: float) -> list[dict]:
     """For each domain the target share of the tokens, the expected one without rates, and that with them."""
     p = [F.col("p")[i] for i in range(len(domains))]
@@ -224,8 +243,10 @@ def cell_rates(documents: DataFrame, marks: DataFrame, domains: list[str], level
         return cells.select("cell", F.lit(1.0).alias("rate")), []
     shares = written(posteriors(cells, marked, domains, levels).select("cell", (F.col("t") / F.lit(float(every))).alias("w"), "p"), "shares")
     shares = written(calibrated(shares, marked, domains), "shares")
-    rates = written(fitted_rates(shares, domains, targets, budget, steps, penalty), "rates")
-    return rates.select("cell", "rate"), expected_totals(rates, domains, targets, budget)
+    before = shares.agg(*[F.sum(F.col("w") * F.col("p")[i]) for i in range(len(domains))]).first()
+    goals = reachable(dict(zip(domains, (x or 0.0 for x in before), strict=True)), {d: budget * t for d, t in targets.items()})
+    rates = written(fitted_rates(shares, domains, goals, 1.0, steps, penalty), "rates")
+    return rates.select("cell", "rate"), [t | {"goal": goals[t["domain"]]} for t in expected_totals(rates, domains, targets, budget)]
 
 
 def with_copies(mix: Mix, id_col: str) -> DataFrame:
