@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomcat.sources.folders import new_folder
 
@@ -82,12 +83,15 @@ def spread_join(rows: DataFrame, facts: DataFrame, key: str, how: str = "inner")
     """rows joined (inner or left) with facts on one column of the same name; facts have a row for each key.
 
     The keys with most rows (HEAVY_KEYS at most, of HEAVY_ROWS rows at least) are dealt over SALTS tasks each, and their
-    facts are repeated for each salt: fewer copies than an eighth of the rows. The list of heavy keys is broadcast;
-    it has a bounded number of rows.
+    facts are repeated for each salt: fewer copies than an eighth of the rows. The list of heavy keys, which has a bounded
+    number of rows, goes through the driver and is broadcast.
     """
-    hot, salt = fresh(["hot", "salt"], rows, facts)
-    heavy = rows.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") >= HEAVY_ROWS).orderBy(F.desc("n"), key).limit(HEAVY_KEYS).select(key, F.lit(True).alias(hot))
-    heavy = F.broadcast(written(heavy, "heavy"))
+    count, hot, salt = fresh(["n", "hot", "salt"], rows, facts)
+    heavy = rows.groupBy(key).agg(F.count("*").alias(count)).filter(F.col(count) >= HEAVY_ROWS).dropna(subset=[key]).orderBy(F.desc(count), key).limit(HEAVY_KEYS).collect()
+    if not heavy:
+        return rows.join(facts, key, how)
+    kind = T.StructType([T.StructField(key, rows.schema[key].dataType), T.StructField(hot, T.BooleanType())])
+    heavy = F.broadcast(rows.sparkSession.createDataFrame([(r[key], True) for r in heavy], kind))
     mark = lambda x: F.when(F.col(hot), x)
     left = rows.join(heavy, key, "left").withColumn(salt, mark(F.pmod(F.xxhash64(*own_columns(rows)), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")).drop(hot)
     right = facts.join(heavy, key, "left").withColumn(salt, F.explode(mark(F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop(hot)

@@ -278,15 +278,17 @@ def near_duplicates(
     split = written(named.drop("words").join(blocks, "bucket"), "mixed")
     if not split.isEmpty():
         # blocks 0 to few - 1 have the smaller classes; a bucket's largest class needs no comparison with itself
-        split = split.join(reps.select("key", "sign", "bands"), "key")
-        rest = F.col("label") != F.col("most")
-        split = split.withColumn("block", F.when(rest, F.pmod(F.xxhash64("key"), "few")).otherwise(F.col("few") + F.pmod(F.xxhash64("key"), "many")))
-        split = split.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.when(rest, F.col("few") + F.col("many")).otherwise(F.col("few")) - 1)))
-        split = split.select("bucket", "key", "label", "sign", "bands", "block", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"))
-        pair = ["bucket", "one", "two"]
-        found = written(split.groupBy(*pair).applyInArrow(_partnered(threshold - margin), "bucket long, one long, two long, key binary"), "partnered")
+        rest, signs, pair = F.col("label") != F.col("most"), reps.select("key", "sign", "bands"), ["bucket", "one", "two"]
+
+        def dealt(members: DataFrame) -> DataFrame:
+            """members once for each block that theirs is compared with."""
+            out = members.withColumn("block", F.when(rest, F.pmod(F.xxhash64("key"), "few")).otherwise(F.col("few") + F.pmod(F.xxhash64("key"), "many")))
+            out = out.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.when(rest, F.col("few") + F.col("many")).otherwise(F.col("few")) - 1)))
+            return out.withColumns({"one": F.least("block", "with"), "two": F.greatest("block", "with")}).drop("most", "few", "many", "with")
+
+        found = written(dealt(split.join(signs, "key")).groupBy(*pair).applyInArrow(_partnered(threshold - margin), "bucket long, one long, two long, key binary"), "partnered")
         if not found.isEmpty():
-            near = split.join(found, [*pair, "key"], "left_semi").join(texts_of(found.select("key").distinct()), "key")
+            near = dealt(split).join(found, [*pair, "key"], "left_semi").join(signs, "key").join(texts_of(found.select("key").distinct()), "key")
             more = written(near.groupBy(*pair).applyInArrow(_joined(threshold - margin, threshold), "a binary, b binary").distinct(), "links")
             if not more.isEmpty():
                 labels = components(links.unionByName(more))
