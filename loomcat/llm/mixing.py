@@ -17,8 +17,9 @@ the metric of the cells' tokens, run as distributed aggregates over the cells un
 within `TOLERANCE` of their targets or no longer move (STEPS at most). A document then gets
 floor(rate) copies and one more with the fraction as probability, by the hash of its id.
 
-A target of more than REACH times a domain's own expected share is out of reach: it is lowered to that, and what is missing
-goes to the other domains in proportion, so that a domain that is all but absent does not bend the rates of all documents.
+A target of more than REACH times a domain's own expected share, or of more than that share if it is below RARE, is out of
+reach: it is lowered to that, and what is missing goes to the other domains in proportion, so that a domain that is all but
+absent, whose posteriors are little more than noise, does not bend the rates of all documents.
 
 Defined results: a null text has no tokens and the cell of an empty one; null languages are
 a language. Without labelled documents all rates are 1. Ids may repeat; null ids
@@ -46,7 +47,7 @@ TARGETS = {"good": 0.9, "poor": 0.08, "toxic": 0.02}
 DOMAIN = "case when toxic = 1 then 'toxic' when quality = 1 then 'good' when quality = 0 then 'poor' end"
 STEPS, TOLERANCE, FLOOR = 120, 0.005, 0.01
 PENALTY = 0.0002
-REACH = 5.0  # times a domain's share that its target may be
+REACH, RARE = 5.0, 0.01  # times a domain's share that its target may be; a domain of a lesser share is not raised at all
 CALIBRATIONS = 15  # rounds of fitting the factors at most
 KEPT_STEPS = 8  # steps between two written states
 BROADCAST_ROWS = 1 << 18  # rates, of some 60 bytes, are broadcast up to so many
@@ -191,13 +192,14 @@ def fitted_rates(cells: DataFrame, domains: list[str], targets: dict[str, float]
     return now.drop("ahead")
 
 
-def reachable(before: dict[str, float], targets: dict[str, float], reach: float = REACH) -> dict[str, float]:
-    """The targets, none above reach times a domain's share; what is missing goes to the others in proportion."""
+def reachable(before: dict[str, float], targets: dict[str, float], reach: float = REACH, rare: float = RARE) -> dict[str, float]:
+    """The targets, none above reach times a domain's share, or that share if it is rare; what is missing goes to the others in proportion."""
+    most = {d: x * (reach if x >= rare else 1.0) for d, x in before.items()}
     goals, lowered = dict.fromkeys(before, 0.0) | targets, set()
     total = sum(targets.values())
-    while over := {d for d, t in goals.items() if d not in lowered and t > reach * before.get(d, 0.0) + 1e-12}:
+    while over := {d for d, t in goals.items() if d not in lowered and t > most.get(d, 0.0) + 1e-12}:
         lowered |= over
-        goals |= {d: reach * before.get(d, 0.0) for d in over}
+        goals |= {d: most.get(d, 0.0) for d in over}
         rest = sum(t for d, t in goals.items() if d not in lowered)
         if not rest:
             break

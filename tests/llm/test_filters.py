@@ -442,7 +442,7 @@ def test_cells_are_numbered_apart(spark):
 def test_targets_out_of_reach_go_to_the_others(spark):
     assert mixing.reachable({"a": 0.7, "b": 0.3}, {"a": 0.9, "b": 0.1}) == {"a": 0.9, "b": 0.1}
     goals = mixing.reachable({"good": 0.899, "poor": 0.1, "toxic": 0.001}, mixing.TARGETS)
-    assert goals["toxic"] == pytest.approx(0.005) and sum(goals.values()) == pytest.approx(1) and goals["good"] / goals["poor"] == pytest.approx(0.9 / 0.08)
+    assert goals["toxic"] == pytest.approx(0.001) and sum(goals.values()) == pytest.approx(1) and goals["good"] / goals["poor"] == pytest.approx(0.9 / 0.08)
     assert mixing.reachable({"a": 0.0}, {"a": 1.0}) == {"a": 0.0} and mixing.reachable({"a": 0.9, "b": 0.1, "c": 0.0}, {"a": 0.2, "b": 0.8})["b"] == pytest.approx(0.5)
     loud = [(i, "BUY NOW!!! " * 5, "en") for i in range(300)] + [(1000 + i, "a calm line of words that goes on\n" * (5 + i % 9), "en") for i in range(700)]
     marks = spark.createDataFrame([(i, 0, 0) for i in range(60)] + [(1000 + i, 1, int(i == 3)) for i in range(140)], "doc_id long, quality int, toxic int")
